@@ -221,7 +221,7 @@ def stage_feed(
 
 def export_posts(spark: SparkSession, staging_dir: str, target: str) -> None:
     """Staged posts as JSON array documents, one folder per ticker."""
-    write_json_documents(read_staged(spark, "tweets", staging_dir), target, "ticker", "tweet_id")
+    write_json_documents(read_staged(spark, "tweets", staging_dir), target, "ticker", ["tweet_id"])
 
 
 def read_staged(spark: SparkSession, name: str, staging_dir: str) -> DataFrame:

@@ -25,14 +25,14 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], cluster_by:
     spread.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
-def json_documents(df: DataFrame, group: str, row_id: str, rows_per_document: int = 100_000) -> DataFrame:
+def json_documents(df: DataFrame, group: str, row_id: list[str], rows_per_document: int = 100_000) -> DataFrame:
     """`(group, value)` rows, `value` being a JSON array of the group's records.
 
     A group larger than `rows_per_document` is spread over several documents by the
-    hash of `row_id`, so no task ever builds the array of a whole hot group."""
+    hash of `row_id`, a unique key, so no task ever builds the array of a whole hot group."""
     sized = with_group_stats(df, [group], {"_rows": F.count("*")})
     documents = F.ceil(F.col("_rows") / F.lit(rows_per_document))
-    numbered = sized.withColumn("_document", F.pmod(F.xxhash64(row_id), documents))
+    numbered = sized.withColumn("_document", F.pmod(F.xxhash64(*row_id), documents))
     record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     return (
         numbered.groupBy(group, "_document")
@@ -42,7 +42,7 @@ def json_documents(df: DataFrame, group: str, row_id: str, rows_per_document: in
 
 
 def write_json_documents(
-    df: DataFrame, path: str, group: str, row_id: str, rows_per_document: int = 100_000
+    df: DataFrame, path: str, group: str, row_id: list[str], rows_per_document: int = 100_000
 ) -> None:
     """JSON array documents below one folder per group, one document per file."""
     documents = json_documents(df, group, row_id, rows_per_document)
