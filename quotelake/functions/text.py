@@ -20,7 +20,8 @@ def missing_to_null(c: str | Column) -> Column:
 
 
 def to_number(c: str | Column, type_name: str = "double") -> Column:
-    return F.trim(missing_to_null(c)).try_cast(type_name)
+    trimmed = F.trim(_col(c))
+    return F.when(~trimmed.isin(*MISSING_TEXTS), trimmed.try_cast(type_name))
 
 
 def parse_percent(c: str | Column, type_name: str = "double") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,7 @@ def stack_matrix(
         return F.struct(F.lit(name).alias(ticker), *values)
 
     bars = df.select(*index, F.explode(F.array(*[bar(t) for t in tickers])).alias("_bar"))
-    any_value = F.coalesce(*[F.col(f"_bar.`{f}`").cast("string") for f in fields]).isNotNull()
+    any_value = reduce(lambda a, b: a | b, [F.col(f"_bar.`{f}`").isNotNull() for f in fields])
     return bars.where(any_value).select(*index, f"_bar.`{ticker}`", *[f"_bar.`{f}`" for f in fields])
 
 
@@ -73,15 +75,6 @@ def transpose_statement(
     return pivot_labels(long, [*ids, date], metric, "_value", metrics)
 
 
-def transpose_date_map(
-    df: DataFrame, ids: list[str], metric: str, values: str, metrics: list[str], date: str = "date"
-) -> DataFrame:
-    """The same for statements that carry their dates as a `map<date, value>`; here
-    the dates are the id's own, so one without values stays as a row of NULLs."""
-    long = df.select(*ids, metric, F.explode(values).alias(date, "_value"))
-    return pivot_labels(long, [*ids, date], metric, "_value", metrics)
-
-
 def _pick(label: str, wanted: str, value: str) -> Column:
     return F.max(F.when(F.col(label) == wanted, F.col(value)))
 

@@ -19,7 +19,7 @@ from quotelake.functions.times import day_text, second_text
 from quotelake.operators.filters import nonempty_payload, not_null, select_posts
 from quotelake.operators.merge import union_all
 from quotelake.operators.projection import add_constants, conform, flatten_posts, snake_case_columns, type_text
-from quotelake.operators.reshape import pivot_labels, stack_matrix, transpose_date_map
+from quotelake.operators.reshape import pivot_labels, stack_matrix
 from quotelake.sources import readers
 from quotelake.sources.writers import write_json_documents, write_parquet
 
@@ -114,26 +114,26 @@ def _actions(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _statement(labels: dict[str, str] | None = None) -> Shape:
-    """Lines of `{"symbol": .., "metric": .., "<date>": .., ..}`. The dates differ
-    from ticker to ticker, so a line is read as a map and its date entries exploded."""
+    """Lines of `{"symbol": .., "metric": .., "<date>": .., ..}`, one per ticker and
+    metric. The dates differ from ticker to ticker, so the entries of a line are
+    exploded and the ones named like a day kept; a day without values stays a row."""
     renamed = {_label_key(raw): name for raw, name in (labels or {}).items()}
 
     def shape(raw: DataFrame, schema: T.StructType) -> DataFrame:
-        record = F.from_json("value", "map<string,string>")
-        lines = raw.select(record.alias("r"), *[c for c in raw.columns if c != "value"])
-        metric = F.lower(F.regexp_replace(F.trim(F.col("r")["metric"]), "[^0-9A-Za-z]+", "_"))
-        rows = lines.select(
-            F.col("r")["symbol"].alias("symbol"),
-            "period",
-            metric.alias("metric"),
-            F.map_filter("r", lambda key, _: key.rlike(r"^\d{4}-\d{2}-\d{2}")).alias("values"),
-        )
-        for key, name in renamed.items():
-            rows = rows.withColumn("metric", F.when(F.col("metric") == key, F.lit(name)).otherwise(F.col("metric")))
         wanted = [f.name for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
-        typed = rows.withColumn("values", F.transform_values("values", lambda _, v: to_number(v, "decimal(38,6)")))
-        wide = transpose_date_map(not_null(typed, "symbol"), ["symbol", "period"], "metric", "values", wanted)
-        return conform(wide.withColumn("date", day_text("date")), schema)
+        others = [c for c in raw.columns if c != "value"]
+        ids = raw.select(*others, "value", F.json_tuple("value", "symbol", "metric").alias("symbol", "metric"))
+        # The parsed map goes straight into the explode: kept as a column, Spark would
+        # parse the line again for each filter it derives from it.
+        entries = ids.select("symbol", "period", "metric", F.explode(F.from_json("value", "map<string,string>")))
+        key = F.lower(F.regexp_replace(F.trim("metric"), "[^0-9A-Za-z]+", "_"))
+        for raw_key, name in renamed.items():
+            key = F.when(key == raw_key, F.lit(name)).otherwise(key)
+        rows = not_null(entries, "symbol").where(F.col("key").rlike(r"^\d{4}-\d{2}-\d{2}"))
+        typed = rows.select(
+            "symbol", "period", day_text("key").alias("date"), key.alias("metric"), to_number("value", S.D20).alias("value")
+        )
+        return conform(pivot_labels(typed, ["symbol", "period", "date"], "metric", "value", wanted), schema)
 
     return shape
 
