@@ -1,24 +1,35 @@
-"""Sorting and limits. A limit always comes with an order that settles ties."""
+"""Sorting and limits.
+
+The columns that are not named settle ties. That makes every result reproducible,
+and lets the range partitioning of a sort cut through a value that many rows share."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _ties(df: DataFrame, columns: tuple[str, ...] | list[str]) -> list[str]:
+    return [name for name, kind in df.dtypes if name not in columns and "map<" not in kind]
+
+
 def sort_asc(df: DataFrame, *columns: str) -> DataFrame:
-    return df.orderBy(*[F.col(c).asc() for c in columns])
+    return df.orderBy(*_order(df, columns, descending=False))
 
 
 def sort_desc(df: DataFrame, *columns: str) -> DataFrame:
-    return df.orderBy(*[F.col(c).desc() for c in columns])
+    return df.orderBy(*_order(df, columns, descending=True))
+
+
+def _order(df: DataFrame, columns: tuple[str, ...], descending: bool) -> list[Column]:
+    ordered = [F.col(f"`{c}`") for c in (*columns, *_ties(df, columns))]
+    return [c.desc() if descending else c.asc() for c in ordered]
 
 
 def latest_n(df: DataFrame, n: int, by: list[str]) -> DataFrame:
-    """The `n` greatest rows by `by`, returned oldest first. Ties are settled by the
-    remaining columns; the top-n is taken per partition first."""
-    order = [*by, *[c for c in df.columns if c not in by]]
-    return sort_asc(sort_desc(df, *order).limit(n), *order)
+    """The `n` greatest rows by `by`, returned oldest first; the top-n is taken per
+    partition before rows meet."""
+    return sort_asc(sort_desc(df, *by).limit(n), *by)
 
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Lake tables as plain parquet folders that are never changed in place.
 
-Every update writes new folders `<table>/v=<n>/...` and then publishes a small
+Every update writes new folders `<table>/snapshot=<n>/...` and then publishes a small
 manifest that names the folders making up the table. Readers follow the newest
 manifest, so they see the old or the new state and nothing between, and a job that
 dies half way leaves the old state in place. A partitioned table rewrites only the
@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 
 from quotelake.operators.projection import conform
 
+# Folder prefix of the versions. Spark reads it as a partition column, so no table
+# may have a column of this name.
+VERSION = "snapshot"
+
 
 @dataclass(frozen=True)
 class LakeTable:
@@ -31,6 +35,10 @@ class LakeTable:
     partition_by: dict[str, Callable[[], Column]] = field(default_factory=dict)
     cluster_by: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        if VERSION in self.schema.fieldNames():
+            raise ValueError(f"{VERSION} is taken by the folders of {self.path}")
+
     # -- reading ---------------------------------------------------------------
 
     def read(self, spark: SparkSession) -> DataFrame | None:
@@ -97,7 +105,7 @@ class LakeTable:
     def _write(self, spark: SparkSession, rows: DataFrame) -> int:
         before = self._manifest(spark)
         version = self._next_version(spark)
-        target = f"{self.path}/v={version}"
+        target = f"{self.path}/{VERSION}={version}"
         observed = Observation()
         out = rows.observe(observed, F.count(F.lit(1)).alias("rows"))
         if self.partition_by:
@@ -123,7 +131,7 @@ class LakeTable:
 
     def _folder(self, folder: list) -> str:
         version, partition = folder
-        return f"{self.path}/v={version}" + (f"/{partition}" if partition else "")
+        return f"{self.path}/{VERSION}={version}" + (f"/{partition}" if partition else "")
 
     def _fs(self, spark: SparkSession, path: str):
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -151,7 +159,7 @@ class LakeTable:
 
     def _next_version(self, spark: SparkSession) -> int:
         """One past everything that exists, unfinished writes included."""
-        folders = [int(p.getName().split("=")[1]) for p in self._list(spark, "v=*")]
+        folders = [int(p.getName().split("=")[1]) for p in self._list(spark, f"{VERSION}=*")]
         return max([0, *folders, *self._manifest_versions(spark)]) + 1
 
     def _partition_folders(self, spark: SparkSession, target: str) -> list[str]:
@@ -176,11 +184,11 @@ class LakeTable:
             return []
         kept = versions[-keep:]
         used = {self._folder(f) for v in kept for f in self._manifest(spark, v)["folders"]}
-        depth = "/".join(["v=*", *["*=*"] * len(self.partition_by)])
+        depth = "/".join([f"{VERSION}=*", *["*=*"] * len(self.partition_by)])
         unused = []
         for place in self._list(spark, depth):
             tail = "/".join(place.toString().split("/")[-1 - len(self.partition_by):])
-            if f"{self.path}/{tail}" not in used and int(tail.split("/")[0][2:]) <= versions[-1]:
+            if f"{self.path}/{tail}" not in used and int(tail.split("/")[0].split("=")[1]) <= versions[-1]:
                 unused.append(place)
         for version in versions[:-keep]:
             unused.append(self._fs(spark, f"{self.path}/_manifest-{version}")[1])
