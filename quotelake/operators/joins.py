@@ -7,6 +7,7 @@ time. The keyed side has one row per key, so a frequent key can never multiply."
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotelake.operators.windows import keep_latest
 
@@ -21,13 +22,14 @@ def enrich(
 ) -> DataFrame:
     """Left join that adds `columns` of the keyed side, NULL without a match.
 
-    Several keyed rows for one key are cut to the latest first. That fixes the
-    layout of the keyed side, and Spark then leaves a hot key of `rows` in one task;
-    pass `keyed_is_unique` for a side known to have one row per key, or rows that
-    are unique themselves."""
+    Several keyed rows for one key are cut to the latest first, unless the caller
+    knows there is one row per key. They are grouped by a struct of the key: grouped
+    by the key itself they would already lie as the join wants them, and Spark only
+    splits a hot key of `rows` where the join shuffles both sides."""
     side = keyed.select(on, *columns)
     if not keyed_is_unique:
-        side = keep_latest(side.where(side[on].isNotNull()), [on], order_by)
+        grouped = side.where(side[on].isNotNull()).withColumn("_key", F.struct(on))
+        side = keep_latest(grouped, ["_key"], order_by).drop("_key")
     return rows.join(side, on, "left")
 
 

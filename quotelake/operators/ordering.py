@@ -1,7 +1,8 @@
 """Sorting and limits.
 
-The columns that are not named settle ties. That makes every result reproducible,
-and lets the range partitioning of a sort cut through a value that many rows share."""
+The columns that are not named settle ties, which makes every result reproducible.
+It also lets the range partitioning of a sort cut through a value that many rows
+share; the number of the input partition does the same for copies of a whole row."""
 
 from __future__ import annotations
 
@@ -14,14 +15,14 @@ def _ties(df: DataFrame, columns: tuple[str, ...] | list[str]) -> list[str]:
 
 
 def sort_asc(df: DataFrame, *columns: str) -> DataFrame:
-    return df.orderBy(*_order(df, columns, descending=False))
+    return df.orderBy(*_order(df, columns, descending=False), F.spark_partition_id())
 
 
 def sort_desc(df: DataFrame, *columns: str) -> DataFrame:
-    return df.orderBy(*_order(df, columns, descending=True))
+    return df.orderBy(*_order(df, columns, descending=True), F.spark_partition_id())
 
 
-def _order(df: DataFrame, columns: tuple[str, ...], descending: bool) -> list[Column]:
+def _order(df: DataFrame, columns: tuple[str, ...] | list[str], descending: bool) -> list[Column]:
     ordered = [F.col(f"`{c}`") for c in (*columns, *_ties(df, columns))]
     return [c.desc() if descending else c.asc() for c in ordered]
 
@@ -29,11 +30,12 @@ def _order(df: DataFrame, columns: tuple[str, ...], descending: bool) -> list[Co
 def latest_n(df: DataFrame, n: int, by: list[str]) -> DataFrame:
     """The `n` greatest rows by `by`, returned oldest first; the top-n is taken per
     partition before rows meet."""
-    return sort_asc(sort_desc(df, *by).limit(n), *by)
+    latest = df.orderBy(*_order(df, by, descending=True)).limit(n)
+    return latest.orderBy(*_order(df, by, descending=False))
 
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
-    return sort_asc(df, *order_by).limit(n)
+    return df.orderBy(*_order(df, order_by, descending=False)).limit(n)
 
 
 def first_n_symbols(universe: DataFrame, n: int, symbol: str = "Symbol", position: str = "position") -> DataFrame:

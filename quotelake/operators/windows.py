@@ -67,27 +67,37 @@ def keep_latest(df: DataFrame, keys: list[str], order_by: tuple[str, ...] | list
 
 def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -> DataFrame:
     """Every row with aggregates over all rows of its key, as a window over the whole
-    partition would give.
+    partition would give. An output may replace a column of the input.
 
-    The aggregates are built by partial aggregation. Rows of the most frequent keys
-    get theirs from a broadcast of those keys (bounded, see HOT_KEYS) and stay where
-    they are; only the others are shuffled to meet their key. An output may replace
-    a column of the input.
+    The aggregates are built by partial aggregation and joined back on the key and
+    its hash. Rows of the most frequent keys take theirs from a broadcast of those
+    keys (bounded, see HOT_KEYS); in the join they carry a hash of the whole row
+    instead, which spreads them over all tasks and finds no partner.
     """
-    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
-    key_names = [b for _, b in pairs]
     values = {name: f"_v{i}" for i, name in enumerate(stats)}
-
-    per_key = df.groupBy(*renamed).agg(
-        F.count("*").alias("_n"), *[column.alias(values[name]) for name, column in stats.items()]
+    per_key = (
+        df.groupBy(*[F.col(k).alias(r) for k, r in pairs])
+        .agg(F.count("*").alias("_n"), *[column.alias(values[name]) for name, column in stats.items()])
+        .withColumn("_place", F.xxhash64(*[r for _, r in pairs]))
     )
-    hot = F.broadcast(per_key.orderBy(F.desc("_n"), *key_names).limit(HOT_KEYS))
-
-    def attach(rows: DataFrame, found: DataFrame) -> DataFrame:
-        kept = [F.col(f"`{c}`") for c in df.columns if c not in stats]
-        joined = rows.join(found, same_key(rows, found, pairs))
-        return joined.select(*kept, *[F.col(v).alias(name) for name, v in values.items()])
-
-    cold = df.join(hot, same_key(df, hot, pairs), "left_anti")
-    return attach(df, hot).unionByName(attach(cold, per_key))
+    most_frequent = per_key.orderBy(F.desc("_n"), *[r for _, r in pairs]).limit(HOT_KEYS)
+    hot = F.broadcast(most_frequent.select(*[F.col(c).alias(f"_hot{c}") for c in per_key.columns]))
+
+    marked = df.join(hot, same_key(df, hot, [(k, f"_hot{r}") for k, r in pairs]), "left")
+    is_hot = F.col("_hot_n").isNotNull()
+    # The partition number tells copies of a row apart and stays the same if a task
+    # has to run again.
+    spread = F.xxhash64(*_hashable(df), F.spark_partition_id())
+    marked = marked.withColumn("_row_place", F.when(is_hot, spread).otherwise(F.xxhash64(*keys)))
+    joined = marked.join(per_key, same_key(marked, per_key, [*pairs, ("_row_place", "_place")]), "left")
+    # Asking for the count here too lets both uses of the aggregates share one shuffle.
+    found = {
+        name: F.when(is_hot, F.col(f"_hot{v}")).when(F.col("_n") > 0, F.col(v)).alias(name)
+        for name, v in values.items()
+    }
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in stats], *found.values())
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]

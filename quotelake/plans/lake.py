@@ -7,7 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotelake.operators.ordering import first_n_symbols
+from quotelake.operators.aggregates import duplicate_keys
+from quotelake.operators.ordering import first_n_symbols, preview
 from quotelake.operators.quality import assert_quality, lake_report, staging_report
 from quotelake.plans import analytics
 from quotelake.plans.entities import ENTITIES
@@ -57,6 +58,15 @@ class Lake:
         found = ENTITIES[entity].table(self.lake_dir).read(self.spark)
         return self.spark.createDataFrame([], ENTITIES[entity].schema) if found is None else found
 
+    def preview_staged(self, feed: str, n: int = 5) -> tuple[int, list[str], DataFrame]:
+        """Row count, columns and the first rows of a staged feed."""
+        rows = read_staged(self.spark, feed, self.staging_dir)
+        return rows.count(), rows.columns, preview(rows, n, rows.columns[:1])
+
+    def duplicates(self, entity: str) -> DataFrame:
+        """Keys of an entity that occur more than once; empty in a sound lake."""
+        return duplicate_keys(self.table(entity), ENTITIES[entity].keys)
+
     def staging_report(self) -> DataFrame:
         return staging_report({f: read_staged(self.spark, f, self.staging_dir) for f in FEEDS})
 

@@ -25,7 +25,7 @@ def test_text_is_kept_as_it_is(spark):
 
 def test_bad_numbers_do_not_stop_the_job(spark):
     assert one(spark, "s string", ("abc",), to_number("s")) is None
-    assert one(spark, "s string", ("12.5",), to_number("s", "int")) in (12, None)
+    assert one(spark, "s string", ("12.5",), to_number("s", "int")) is None
     assert one(spark, "s string", (" 7 ",), to_number("s", "bigint")) == 7
     assert one(spark, "s string", ("1e30",), to_number("s", "decimal(20,2)")) is None
 

@@ -2,9 +2,12 @@
 
 import pytest
 
+from quotelake.__main__ import main
 from quotelake.operators.quality import QualityError
 from quotelake.plans.entities import ENTITIES
+from quotelake.plans.feeds import FEEDS, export_posts, read_staged
 from quotelake.plans.lake import Lake
+from quotelake.sources.readers import read_json_documents
 from quotelake.streaming.incremental import entities_of, merge_new_files
 from tests.raw_files import post, write_raw
 
@@ -114,6 +117,31 @@ def test_analyses(lake):
     ]
 
 
+def test_preview_and_duplicate_listing(lake):
+    count, columns, head = lake.preview_staged("tickers_news", 3)
+    assert (count, columns[0]) == (9, "uuid")
+    assert [r["uuid"] for r in head.collect()] == ["n0", "n0", "n1"]
+    assert lake.duplicates("tickers_news_fact").count() == 0
+
+
+def test_command_line(lake, capsys):
+    folders = ["--raw", lake.raw_dir, "--staging", lake.staging_dir, "--lake", lake.lake_dir, "--local-cores", "8"]
+    main(["stage", "tickers_isin", *folders])
+    main(["build", "news_dim", "tickers_info_dim", *folders])
+    assert capsys.readouterr().out.split() == ["news_dim", "8", "tickers_info_dim", "2"]
+    main(["check", *folders])
+    with pytest.raises(SystemExit):
+        main(["build", "no_such_entity", *folders])
+
+
+def test_posts_exported_as_documents(spark, lake, tmp_path):
+    export_posts(spark, lake.staging_dir, f"{tmp_path}/posts")
+    schema = FEEDS["tweets"].schema
+    back = read_json_documents(spark, f"{tmp_path}/posts", schema).select(schema.fieldNames())
+    staged = read_staged(spark, "tweets", lake.staging_dir)
+    assert rows(back.distinct()) == rows(staged.distinct()) and back.count() == staged.count()
+
+
 def test_first_n_symbols(lake):
     assert [r[0] for r in lake.universe(2).collect()] == ["MMM", "AOS"]
 
