@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# How a hashtag and a retweet look. A tag ends where letters, digits and
+# underscores of any script end; the second form finds symbols such as `BRK.B`.
+HASHTAGS = (
+    r"(?<![\p{L}\p{N}_&])#([A-Za-z0-9_]+)(?![\p{L}\p{N}_])",
+    r"(?<![\p{L}\p{N}_&])#([A-Za-z0-9_]+[.-][A-Za-z0-9_]+)(?![\p{L}\p{N}_])",
+)
+RETWEET = r"^RT @"
+
+
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(_all([F.col(c).isNotNull() for c in columns]))
 
@@ -36,8 +45,8 @@ def select_posts(
     text: str,
     symbol: str = "Symbol",
     lang: tuple[str, str] | None = ("lang", "en"),
-    tag_pattern: str = r"#([A-Za-z0-9_]+)",
-    retweet_pattern: str = r"^RT @",
+    tag_patterns: tuple[str, ...] = HASHTAGS,
+    retweet_pattern: str = RETWEET,
     ticker: str = "ticker",
 ) -> DataFrame:
     """Posts in the wanted language that are no retweets, once per universe symbol
@@ -46,7 +55,8 @@ def select_posts(
     compared without regard to case."""
     wanted = posts if lang is None else equals(posts, **{lang[0]: lang[1]})
     wanted = wanted.where(~F.coalesce(F.col(text).rlike(retweet_pattern), F.lit(False)))
-    tags = F.regexp_extract_all(F.upper(F.col(text)), F.lit(tag_pattern), F.lit(1))
+    found = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in tag_patterns])
+    tags = F.transform(found, F.upper)
     symbols = not_null(universe, symbol).select(F.upper(symbol).alias("_tag"), F.col(symbol).alias(ticker)).distinct()
     tagged = wanted.withColumn("_tag", F.explode(F.array_distinct(tags)))
     return tagged.join(symbols, "_tag").drop("_tag")

@@ -264,17 +264,17 @@ def fil_nonempty_payload(t: Tables) -> DataFrame:
 
 @query(
     "fil_post_selection",
-    """with symbols as (select distinct unnest(regexp_extract_all(upper(text), '[A-Z]+')) as symbol from benchmark),
-       tags as (select distinct doc_id, unnest(regexp_extract_all(upper(text), '([A-Z]+)\\.', 1)) as symbol
+    """with symbols as (select distinct upper(unnest(regexp_extract_all(text, '[A-Za-z]+'))) as symbol from benchmark),
+       tags as (select distinct doc_id, upper(unnest(regexp_extract_all(text, '([A-Za-z]+)\\.', 1))) as symbol
                 from documents where lang = 'en' and not regexp_matches(text, '^The '))
        select doc_id, symbol as ticker from tags join symbols using (symbol)""",
 )
 def fil_post_selection(t: Tables) -> DataFrame:
     """The last words of sentences play the hashtags, the benchmark words the universe."""
-    words = F.regexp_extract_all(F.upper("text"), F.lit("[A-Z]+"), F.lit(0))
-    universe = t.benchmark.select(F.explode(words).alias("Symbol"))
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    universe = t.benchmark.select(F.explode(words).alias("word")).select(F.upper("word").alias("Symbol"))
     tagged = filters.select_posts(
-        t.documents, universe, "text", lang=("lang", "en"), tag_pattern=r"([A-Z]+)\.", retweet_pattern="^The "
+        t.documents, universe, "text", lang=("lang", "en"), tag_patterns=(r"([A-Za-z]+)\.",), retweet_pattern="^The "
     )
     return tagged.select("doc_id", "ticker")
 

@@ -93,13 +93,13 @@ def test_post_selection(spark):
     posts = spark.createDataFrame(
         [
             (1, "up #MMM and #aos #MMM", "en"), (2, "RT @a: #MMM", "en"), (3, "#MMM", "de"), (4, "MMM", "en"),
-            (5, None, "en"), (6, "#MMMX", "en"),
+            (5, None, "en"), (6, "#MMMX", "en"), (7, "#MMM\u00e4 a#MMM #\u00df", "en"), (8, "(#mmm), #BRK.B.", "en"),
         ],
         "id int, text string, lang string",
     )
-    universe = spark.createDataFrame([("MMM",), ("AOS",), ("AOS",), (None,)], "Symbol string")
+    universe = spark.createDataFrame([("MMM",), ("AOS",), ("AOS",), ("SS",), ("BRK.B",), (None,)], "Symbol string")
     picked = filters.select_posts(posts, universe, "text")
-    assert rows(picked.select("id", "ticker")) == [(1, "AOS"), (1, "MMM")]
+    assert rows(picked.select("id", "ticker")) == [(1, "AOS"), (1, "MMM"), (8, "BRK.B"), (8, "MMM")]
 
 
 def test_nonempty_payload(spark):
