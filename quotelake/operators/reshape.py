@@ -18,36 +18,43 @@ def stack_matrix(
     """Columns named `<ticker><sep><field>` -> one row per index row and ticker.
 
     The tickers are read off the column names. Each input row already holds all
-    fields of all its tickers, so this is a per-row explode: no grouping and no
-    shuffle. A ticker without any value in a row gives no row.
+    fields of all its tickers, so the `stack` generator does it row by row: no
+    grouping and no shuffle. A ticker without any value in a row gives no row.
     """
-    present = set(df.columns)
-    suffixes = {f: f"{sep}{f}" for f in fields}
-    tickers: dict[str, None] = {}
-    for name in df.columns:
-        for suffix in suffixes.values():
-            if name.endswith(suffix) and name not in index:
-                tickers[name[: -len(suffix)]] = None
+    types = dict(df.dtypes)
+    endings = [f"{sep}{f}" for f in fields]
+    series = [c for c in df.columns if c not in index]
+    tickers = list(dict.fromkeys(c[: -len(e)] for c in series for e in endings if c.endswith(e)))
     if not tickers:
-        raise ValueError(f"no column ends with one of {sorted(suffixes.values())}")
+        raise ValueError(f"no column ends with one of {endings}")
+    # A field has one type over all tickers; a ticker may lack a field.
+    kinds = {e: next((types[t + e] for t in tickers if t + e in types), "double") for e in endings}
+
+    def bar(name: str) -> str:
+        values = [_quoted(name + e) if name + e in types else f"cast(null as {kinds[e]})" for e in endings]
+        return ", ".join([_literal(name), *values])
+
+    # One SQL text: with hundreds of tickers, building the columns one by one in
+    # Python would take longer than the query.
+    names = ", ".join(_quoted(c) for c in (ticker, *fields))
+    bars = df.selectExpr(
+        *[_quoted(c) for c in index], f"stack({len(tickers)}, {', '.join(bar(t) for t in tickers)}) as ({names})"
+    )
+    missing = {
+        f: F.nanvl(F.col(f"`{f}`"), F.lit(None).cast(kinds[e]))
+        for f, e in zip(fields, endings)
+        if kinds[e] in ("double", "float")
+    }
+    any_value = reduce(lambda a, b: a | b, [F.col(f"`{f}`").isNotNull() for f in fields])
+    return bars.withColumns(missing).where(any_value)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    types = dict(df.dtypes)
 
-    def bar(name: str) -> Column:
-        values = []
-        for field, suffix in suffixes.items():
-            source = name + suffix
-            if source not in present:
-                values.append(F.lit(None).cast("double").alias(field))
-            elif types[source] in ("double", "float"):
-                values.append(F.nanvl(F.col(f"`{source}`"), F.lit(None)).alias(field))
-            else:
-                values.append(F.col(f"`{source}`").alias(field))
-        return F.struct(F.lit(name).alias(ticker), *values)
-
-    bars = df.select(*index, F.explode(F.array(*[bar(t) for t in tickers])).alias("_bar"))
-    any_value = reduce(lambda a, b: a | b, [F.col(f"_bar.`{f}`").isNotNull() for f in fields])
-    return bars.where(any_value).select(*index, f"_bar.`{ticker}`", *[f"_bar.`{f}`" for f in fields])
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def pivot_labels(df: DataFrame, ids: list[str], label: str, value: str, labels: list[str]) -> DataFrame:

@@ -143,9 +143,10 @@ def _label_key(label: str) -> str:
 
 
 def _prices(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    bars = stack_matrix(raw, ["ts", "interval"], S.PRICE_FIELDS)
-    named = snake_case_columns(bars)
-    return conform(named.withColumns({"datetime": second_text("ts"), "date": day_text("ts")}), schema)
+    # The times are formatted once per matrix row, before it turns into many bars.
+    timed = raw.withColumns({"datetime": second_text("ts"), "date": day_text("ts")}).drop("ts")
+    bars = stack_matrix(timed, ["datetime", "date", "interval"], S.PRICE_FIELDS)
+    return conform(snake_case_columns(bars), schema)
 
 
 def _posts(raw: DataFrame, schema: T.StructType) -> DataFrame:
