@@ -214,7 +214,7 @@ ENTITIES: dict[str, EntitySpec] = {
             lambda s: s["tweets"].select(*_columns("tweets_dim")),
             ("created_at",), BY_ID_RANGE, ("tweet_id",),
         ),
-        EntitySpec("user_id_dim", ("tweets",), ["user_id"], _users, cluster_by=("user_id",)),
+        EntitySpec("user_id_dim", ("tweets",), ["user_id"], _users),
         EntitySpec(
             "hashtags_dim", ("tweets",), ["tweet_id", "hashtag"], _hashtags,
             partition_by=BY_ID_RANGE, cluster_by=("hashtag",),

@@ -21,7 +21,7 @@ from quotelake.operators.merge import union_all
 from quotelake.operators.projection import add_constants, conform, flatten_posts, snake_case_columns, type_text
 from quotelake.operators.reshape import pivot_labels, stack_matrix
 from quotelake.sources import readers
-from quotelake.sources.writers import write_json_documents, write_parquet
+from quotelake.sources.writers import write_json_documents, write_parquet, write_partitioned
 
 Shape = Callable[[DataFrame, T.StructType], DataFrame]
 
@@ -29,12 +29,14 @@ Shape = Callable[[DataFrame, T.StructType], DataFrame]
 @dataclass(frozen=True)
 class FeedSpec:
     """`raw` is the DDL of the raw records; None means a parquet matrix, whose columns
-    are the data's own. `parts` maps raw subfolders to the constants of their rows."""
+    are the data's own. `parts` maps raw subfolders to the constants of their rows;
+    `partition_by` splits the staged dataset into one folder per value."""
 
     name: str
     raw: str | None
     shape: Shape
     parts: dict[str, dict[str, str]] = field(default_factory=lambda: {"": {}})
+    partition_by: tuple[str, ...] = ()
     documents: bool = False
     needs_universe: bool = False
 
@@ -157,7 +159,7 @@ FEEDS: dict[str, FeedSpec] = {
     f.name: f
     for f in [
         FeedSpec("markets_indexes", S.MARKETS_RAW, _as_is),
-        FeedSpec("tickers_exchanges", S.EXCHANGES_RAW, _as_is),
+        FeedSpec("tickers_exchanges", S.EXCHANGES_RAW, _as_is, partition_by=("market",)),
         FeedSpec("tickers_info", _text(S.INFO_COLUMNS), _info),
         FeedSpec("tickers_isin", _text("isin symbol"), _flat()),
         FeedSpec("tickers_major_holders", S.MAJOR_HOLDERS_RAW, _major_holders),
@@ -217,7 +219,11 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 def stage_feed(
     spark: SparkSession, feed: FeedSpec, raw_dir: str, staging_dir: str, universe: DataFrame | None = None
 ) -> None:
-    write_parquet(read_feed(spark, feed, raw_dir, universe), f"{staging_dir}/{feed.name}")
+    rows, path = read_feed(spark, feed, raw_dir, universe), f"{staging_dir}/{feed.name}"
+    if feed.partition_by:
+        write_partitioned(rows, path, list(feed.partition_by))
+    else:
+        write_parquet(rows, path)
 
 
 def export_posts(spark: SparkSession, staging_dir: str, target: str) -> None:
@@ -226,4 +232,5 @@ def export_posts(spark: SparkSession, staging_dir: str, target: str) -> None:
 
 
 def read_staged(spark: SparkSession, name: str, staging_dir: str) -> DataFrame:
-    return readers.read_parquet(spark, f"{staging_dir}/{name}", FEEDS[name].schema)
+    schema = FEEDS[name].schema
+    return readers.read_parquet(spark, f"{staging_dir}/{name}", schema).select(schema.fieldNames())

@@ -14,6 +14,7 @@ from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,13 +120,16 @@ class LakeTable:
             kept = [f for f in (before or {"folders": []})["folders"] if f[1] not in replaced]
             folders = kept + [[version, p] for p in written]
         else:
-            out = out.hint("rebalance")
             if self.cluster_by:
                 out = out.sortWithinPartitions(*self.cluster_by)
             out.write.mode("errorifexists").parquet(target)
             folders = [[version, ""]]
         self._publish(spark, version, folders)
-        return observed.get["rows"]
+        try:
+            return observed.get["rows"]
+        except Py4JJavaError:
+            # A plan that Spark finds to be empty while it runs loses its observation.
+            return 0
 
     # -- files -----------------------------------------------------------------
 

@@ -97,6 +97,15 @@ def test_update_rewrites_touched_partitions_only(spark, tmp_path):
     assert table.read(spark).count() == 4
 
 
+def test_empty_batches(spark, tmp_path):
+    for table in (partitioned(f"{tmp_path}/p"), LakeTable(f"{tmp_path}/u", schema(SCHEMA))):
+        assert table.update(spark, frame(spark, []), replace_by_key) == 0
+        assert rows(table.read(spark)) == []
+        assert table.update(spark, frame(spark, [(1, "d1", "a")]), replace_by_key) == 1
+        table.update(spark, frame(spark, []), replace_by_key)
+        assert rows(table.read(spark)) == [(1, "d1", "a")]
+
+
 def test_failed_write_leaves_the_old_state(spark, tmp_path):
     table = partitioned(str(tmp_path / "t"))
     table.update(spark, frame(spark, [(1, "d1", "a")]), replace_by_key)
