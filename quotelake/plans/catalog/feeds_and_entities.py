@@ -40,9 +40,7 @@ def _null_filled(contract: str, expressions: dict[str, str]) -> str:
     """Select list with all columns of a contract, NULL where nothing is given."""
     kinds = {"string": "varchar", "int": "integer"}
     return ", ".join(
-        f'{expressions.get(name, "null")}::{kinds.get(kind, kind)} as "{name}"'
-        if name not in expressions
-        else f'({expressions[name]})::{kinds.get(kind, kind)} as "{name}"'
+        f'({expressions.get(name, "null")})::{kinds.get(kind, kind)} as "{name}"'
         for name, kind in _fields(contract).items()
     )
 
@@ -143,7 +141,8 @@ def _raw_analysis(t: Tables) -> DataFrame:
     )
 
 
-# Metric labels per statement, by the last digit-bearing part of an order priority.
+# Metric labels per statement, by the leading digit of the order priority, and the
+# columns they are staged in; the fifth label is one no statement knows.
 STATEMENT_LABELS = {
     "tickers_balancesheet": ["Total Liab", "Cash", "Good Will", "Inventory", "Some Extra Metric"],
     "tickers_cashflow": ["Change To Netincome", "Investments", "Depreciation", "Net Income", "Some Extra Metric"],

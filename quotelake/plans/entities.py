@@ -28,7 +28,8 @@ Staged = dict[str, DataFrame]
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """`partition_by` must derive from the key, see `LakeTable.update`."""
+    """`partition_by` must derive from the key, see `LakeTable.update`. With
+    `any_source`, any one of the sources gives complete rows of its own."""
 
     name: str
     sources: tuple[str, ...]
@@ -37,6 +38,7 @@ class EntitySpec:
     order_by: tuple[str, ...] = ()
     partition_by: dict[str, Callable[[], Column]] = field(default_factory=dict)
     cluster_by: tuple[str, ...] = ()
+    any_source: bool = False
 
     @property
     def schema(self) -> T.StructType:
@@ -105,7 +107,8 @@ def _reports(staged: Staged, feed: str) -> DataFrame:
 
 
 def _report_dim(staged: Staged) -> DataFrame:
-    return union_all([_reports(staged, f).select("date", "ticker", "period", "reporting_id") for f in REPORT_FEEDS])
+    columns = _columns("financial_report_dim")
+    return union_all([_reports(staged, f).select(*columns) for f in REPORT_FEEDS if f in staged])
 
 
 def _report_fact(feed: str) -> Callable[[Staged], DataFrame]:
@@ -180,7 +183,7 @@ ENTITIES: dict[str, EntitySpec] = {
         EntitySpec(
             "tickers_news_fact", ("tickers_news",), ["uuid", "ticker"], _project("tickers_news", "tickers_news_fact")
         ),
-        EntitySpec("financial_report_dim", tuple(REPORT_FEEDS), ["reporting_id"], _report_dim),
+        EntitySpec("financial_report_dim", tuple(REPORT_FEEDS), ["reporting_id"], _report_dim, any_source=True),
         *[EntitySpec(f"{feed}_fact", (feed,), ["reporting_id"], _report_fact(feed)) for feed in REPORT_FEEDS],
         EntitySpec("tickers_eps_fact", ("tickers_eps",), ["id"], _eps, ("earnings_date",)),
         EntitySpec("tickers_actions_fact", ("tickers_actions",), ["id"], _actions),

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotelake.operators.aggregates import duplicate_keys
+from quotelake.operators.aggregates import duplicate_keys, join_symbols
 from quotelake.operators.ordering import first_n_symbols, preview
 from quotelake.operators.quality import assert_quality, lake_report, staging_report
 from quotelake.plans import analytics
@@ -31,6 +31,11 @@ class Lake:
         listed = read_universe(self.spark, f"{self.raw_dir}/universe.csv")
         return listed.select("Symbol") if symbols is None else first_n_symbols(listed, symbols)
 
+    def symbols_text(self, symbols: int) -> DataFrame:
+        """The first symbols of the universe as one text, separated by blanks."""
+        listed = read_universe(self.spark, f"{self.raw_dir}/universe.csv")
+        return join_symbols(listed, "Symbol", symbols, order_by="position")
+
     def stage(self, feeds: Iterable[str] = tuple(FEEDS), symbols: int | None = None) -> None:
         """Raw files to staged parquet, each feed replaced as a whole."""
         self._each(
@@ -58,6 +63,10 @@ class Lake:
         found = ENTITIES[entity].table(self.lake_dir).read(self.spark)
         return self.spark.createDataFrame([], ENTITIES[entity].schema) if found is None else found
 
+    def expire(self, keep: int = 2) -> None:
+        """Drop files that the newest `keep` states of the entities do not use."""
+        self._each(lambda name: ENTITIES[name].table(self.lake_dir).expire(self.spark, keep), ENTITIES)
+
     def preview_staged(self, feed: str, n: int = 5) -> tuple[int, list[str], DataFrame]:
         """Row count, columns and the first rows of a staged feed."""
         rows = read_staged(self.spark, feed, self.staging_dir)

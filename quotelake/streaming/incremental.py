@@ -17,7 +17,11 @@ from quotelake.plans.feeds import FEEDS, FeedSpec
 
 def entities_of(feed: str) -> list[str]:
     """The entities that can be built from this feed alone."""
-    return [name for name, spec in ENTITIES.items() if spec.sources == (feed,)]
+    return [
+        name
+        for name, spec in ENTITIES.items()
+        if spec.sources == (feed,) or (spec.any_source and feed in spec.sources)
+    ]
 
 
 def merge_new_files(

@@ -117,6 +117,37 @@ def test_analyses(lake):
     ]
 
 
+def test_holder_of_both_types(lake):
+    assert rows(lake.table("holders_dim")) == [("Vanguard", "institutional"), ("Vanguard", "mutual fund")]
+    assert lake.table("tickers_holders_fact").count() == 1
+
+
+def test_later_batch_replaces_values(spark, tmp_path):
+    import pandas as pd
+
+    write_raw(f"{tmp_path}/raw")
+    made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
+    names = ["tickers_historical_prices_fact"]
+    made.stage(["tickers_historical_prices"])
+    made.build(names)
+    late = {"ts": pd.to_datetime(["2022-12-27", "2022-12-28"]), "MMM_Close": [1.0, 2.0], "NEW_Close": [3.0, float("nan")]}
+    pd.DataFrame(late).to_parquet(
+        f"{tmp_path}/raw/tickers_historical_prices/1d/part.parquet", coerce_timestamps="us", index=False
+    )
+    made.stage(["tickers_historical_prices"])
+    made.build(names)
+    daily = made.table(names[0]).where("interval = '1d'").select("date", "ticker", "close", "open")
+    assert rows(daily.where("ticker = 'MMM'")) == [
+        ("2022-12-23", "MMM", 103.0, 100.0), ("2022-12-27", "MMM", 1.0, None), ("2022-12-28", "MMM", 2.0, None),
+        ("2023-01-03", "MMM", 105.0, 102.0),
+    ]
+    assert rows(daily.where("ticker = 'NEW'")) == [("2022-12-27", "NEW", 3.0, None)]
+    assert daily.where("ticker = 'AOS'").count() == 2
+    before = rows(made.table(names[0]))
+    made.expire(keep=1)
+    assert rows(made.table(names[0])) == before
+
+
 def test_preview_and_duplicate_listing(lake):
     count, columns, head = lake.preview_staged("tickers_news", 3)
     assert (count, columns[0]) == (9, "uuid")
@@ -144,6 +175,7 @@ def test_posts_exported_as_documents(spark, lake, tmp_path):
 
 def test_first_n_symbols(lake):
     assert [r[0] for r in lake.universe(2).collect()] == ["MMM", "AOS"]
+    assert lake.symbols_text(2).first()["symbols"] == "MMM AOS"
 
 
 def test_empty_feed_fails_the_check(spark, tmp_path):
@@ -168,3 +200,13 @@ def test_new_files_are_merged_as_they_come(spark, tmp_path):
     texts = {r["tweet_id"]: r["text"] for r in made.table("tweets_dim").collect()}
     assert set(texts) == {1, 2, 6, 7, 8} and texts[2] == "edited #MMM"
     assert "tweets_dim" in entities_of("tweets") and "tickers_info_dim" not in entities_of("tickers_info")
+
+
+def test_report_feeds_reach_the_shared_dimension_one_by_one(spark, tmp_path):
+    write_raw(f"{tmp_path}/raw")
+    made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
+    for feed in ("tickers_cashflow", "tickers_shares"):
+        merge_new_files(spark, feed, made.raw_dir, made.lake_dir, f"{tmp_path}/checkpoint")
+    found = {r["reporting_id"] for r in made.table("financial_report_dim").collect()}
+    assert found == {"MMM_2021-12-31_year", "MMM_2020-12-31_year", "MMM_2021-12-31_quarter", "MMM_2021_year"}
+    assert made.table("tickers_cashflow_fact").count() == 3

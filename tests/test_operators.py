@@ -154,6 +154,40 @@ def test_bucketed_row_numbers_match_brute_force(spark):
     assert rows(out) == rows(plain) == sorted(expected, key=repr)
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """Every join shuffles, and no partitions are merged afterwards."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_hot_keys_are_spread(spark, shuffled_joins, monkeypatch):
+    monkeypatch.setattr(windows, "HOT_KEYS", 5)
+    _, df = hot_rows(spark, 6000)
+    assert largest_share(df.join(df.select("k").distinct(), "k")) > 0.33
+    assert largest_share(windows.with_group_stats(df, ["k"], {"m": F.max("v")})) < 0.15
+    assert largest_share(windows.number_rows(df, ["k"], ["day", "id"], bucket=F.col("day"))) < 0.2
+
+
+def test_sort_spreads_copies_of_a_row(spark, shuffled_joins):
+    copies = spark.range(0, 16000, 1, 16).select(F.lit("same").alias("s"))
+    assert largest_share(ordering.sort_asc(copies, "s")) < 0.3
+
+
 def test_keep_latest_limits_groups_before_the_shuffle(spark):
     _, df = hot_rows(spark)
     plan = windows.keep_latest(df, ["k"], ["day"])._jdf.queryExecution().executedPlan().toString()
