@@ -185,7 +185,8 @@ FEEDS: dict[str, FeedSpec] = {
 
 
 def read_feed(spark: SparkSession, feed: FeedSpec, raw_dir: str, universe: DataFrame | None = None) -> DataFrame:
-    """Typed rows of a feed; no raw files give no rows, as a feed may be empty."""
+    """Typed rows of a feed; no raw files give no rows, as a feed may be empty. With a
+    universe, feeds about tickers keep the rows of its symbols."""
     shaped = []
     for folder, constants in feed.parts.items():
         path = "/".join(p for p in (raw_dir, feed.name, folder) if p)
@@ -197,7 +198,13 @@ def read_feed(spark: SparkSession, feed: FeedSpec, raw_dir: str, universe: DataF
                 raise ValueError(f"feed {feed.name} needs the ticker universe")
             raw = select_posts(raw, universe, "full_text", lang=("metadata.iso_language_code", "en"))
         shaped.append(feed.shape(raw, feed.schema))
-    return union_all(shaped) if shaped else spark.createDataFrame([], feed.schema)
+    if not shaped:
+        return spark.createDataFrame([], feed.schema)
+    rows = union_all(shaped)
+    ticker = next((c for c in ("symbol", "ticker") if c in rows.columns), None)
+    if universe is None or ticker is None or feed.needs_universe:
+        return rows
+    return rows.join(universe.select(F.col("Symbol").alias(ticker)), ticker, "left_semi")
 
 
 def _read_raw(spark: SparkSession, feed: FeedSpec, path: str) -> DataFrame:

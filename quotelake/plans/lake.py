@@ -37,17 +37,15 @@ class Lake:
         return join_symbols(listed, "Symbol", symbols, order_by="position")
 
     def stage(self, feeds: Iterable[str] = tuple(FEEDS), symbols: int | None = None) -> None:
-        """Raw files to staged parquet, each feed replaced as a whole."""
-        self._each(
-            lambda name: stage_feed(
-                self.spark,
-                FEEDS[name],
-                self.raw_dir,
-                self.staging_dir,
-                self.universe(symbols) if FEEDS[name].needs_universe else None,
-            ),
-            feeds,
-        )
+        """Raw files to staged parquet, each feed replaced as a whole. `symbols` limits
+        the feeds to the first symbols of the universe; posts always need it."""
+
+        def stage(name: str) -> None:
+            wanted = symbols is not None or FEEDS[name].needs_universe
+            universe = self.universe(symbols) if wanted else None
+            stage_feed(self.spark, FEEDS[name], self.raw_dir, self.staging_dir, universe)
+
+        self._each(stage, feeds)
 
     def build(self, entities: Iterable[str] = tuple(ENTITIES)) -> dict[str, int]:
         """Merge the staged rows into the entities; rows written per entity."""

@@ -178,6 +178,20 @@ def test_first_n_symbols(lake):
     assert lake.symbols_text(2).first()["symbols"] == "MMM AOS"
 
 
+def test_staging_the_first_symbols_only(spark, tmp_path):
+    write_raw(f"{tmp_path}/raw")
+    made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
+    made.stage(["tickers_isin", "tickers_historical_prices", "tweets", "markets_indexes"], symbols=1)
+
+    def found(feed, column):
+        return {r[0] for r in read_staged(spark, feed, made.staging_dir).select(column).collect()}
+
+    assert found("tickers_isin", "symbol") == {"MMM"}
+    assert found("tickers_historical_prices", "ticker") == {"MMM"}
+    assert found("tweets", "ticker") == {"MMM"}
+    assert len(found("markets_indexes", "market")) == 4
+
+
 def test_empty_feed_fails_the_check(spark, tmp_path):
     write_raw(f"{tmp_path}/raw", actions=False)
     made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
