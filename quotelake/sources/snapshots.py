@@ -10,6 +10,7 @@ partitions an update touches; its manifest keeps pointing at the others.
 from __future__ import annotations
 
 import json
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -44,14 +45,13 @@ class LakeTable:
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """The current state, or None before the first write."""
-        stored = self._read_stored(spark)
+        stored = self._scan(spark, self._newest(spark))
         return None if stored is None else stored.select(*self.schema.fieldNames())
 
-    def _read_stored(self, spark: SparkSession) -> DataFrame | None:
-        manifest = self._manifest(spark)
-        if manifest is None:
+    def _scan(self, spark: SparkSession, state: int) -> DataFrame | None:
+        if not state:
             return None
-        paths = [self._folder(f) for f in manifest["folders"]]
+        paths = [self._folder(f) for f in self._folders(spark, state)]
         if not paths:
             return spark.createDataFrame([], self._stored_schema())
         reader = spark.read.schema(self._stored_schema())
@@ -75,12 +75,13 @@ class LakeTable:
         of rows written. For a partitioned table `merge` gets the current rows of the
         partitions that occur in `incoming` and must not move rows between
         partitions, which holds when the partition columns derive from the key."""
-        current = self._read_stored(spark)
+        state = self._newest(spark)
+        current = self._scan(spark, state)
         if current is not None and self.partition_by:
             current = current.where(self._touched(incoming))
         if current is not None:
             current = current.select(*self.schema.fieldNames())
-        return self._write(spark, conform(merge(current, incoming), self.schema))
+        return self._write(spark, conform(merge(current, incoming), self.schema), state)
 
     def _touched(self, incoming: DataFrame) -> Column:
         """Filter for the partitions of the incoming rows. Only partition values come
@@ -101,10 +102,13 @@ class LakeTable:
         return wanted
 
     def _partition_columns(self) -> list[Column]:
-        return [expression().cast("string").alias(name) for name, expression in self.partition_by.items()]
+        """Empty texts count as NULL, since a folder name cannot tell them apart."""
+        return [
+            F.nullif(expression().cast("string"), F.lit("")).alias(name)
+            for name, expression in self.partition_by.items()
+        ]
 
-    def _write(self, spark: SparkSession, rows: DataFrame) -> int:
-        before = self._manifest(spark)
+    def _write(self, spark: SparkSession, rows: DataFrame, state: int) -> int:
         version = self._next_version(spark)
         target = f"{self.path}/{VERSION}={version}"
         observed = Observation()
@@ -117,14 +121,14 @@ class LakeTable:
             out.write.mode("errorifexists").partitionBy(*parts).parquet(target)
             written = self._partition_folders(spark, target)
             replaced = set(written)
-            kept = [f for f in (before or {"folders": []})["folders"] if f[1] not in replaced]
+            kept = [f for f in self._folders(spark, state) if f[1] not in replaced]
             folders = kept + [[version, p] for p in written]
         else:
             if self.cluster_by:
                 out = out.sortWithinPartitions(*self.cluster_by)
             out.write.mode("errorifexists").parquet(target)
             folders = [[version, ""]]
-        self._publish(spark, version, folders)
+        self._publish(spark, state + 1, folders)
         try:
             return observed.get["rows"]
         except Py4JJavaError:
@@ -145,57 +149,56 @@ class LakeTable:
         fs, place = self._fs(spark, f"{self.path}/{pattern}")
         return [status.getPath() for status in (fs.globStatus(place) or [])]
 
-    def _manifest_versions(self, spark: SparkSession) -> list[int]:
+    def _states(self, spark: SparkSession) -> list[int]:
         return sorted(int(p.getName().split("-")[1]) for p in self._list(spark, "_manifest-*"))
 
-    def _manifest(self, spark: SparkSession, version: int | None = None) -> dict | None:
-        if version is None:
-            versions = self._manifest_versions(spark)
-            if not versions:
-                return None
-            version = versions[-1]
-        fs, place = self._fs(spark, f"{self.path}/_manifest-{version}")
+    def _newest(self, spark: SparkSession) -> int:
+        return max(self._states(spark), default=0)
+
+    def _folders(self, spark: SparkSession, state: int) -> list[list]:
+        """`[version, partition folder]` pairs that make up a state."""
+        if not state:
+            return []
+        fs, place = self._fs(spark, f"{self.path}/_manifest-{state}")
         stream = fs.open(place)
         try:
-            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["folders"]
         finally:
             stream.close()
 
     def _next_version(self, spark: SparkSession) -> int:
-        """One past everything that exists, unfinished writes included."""
-        folders = [int(p.getName().split("=")[1]) for p in self._list(spark, f"{VERSION}=*")]
-        return max([0, *folders, *self._manifest_versions(spark)]) + 1
+        """One past all that exist, unfinished writes included."""
+        return max((int(p.getName().split("=")[1]) for p in self._list(spark, f"{VERSION}=*")), default=0) + 1
 
     def _partition_folders(self, spark: SparkSession, target: str) -> list[str]:
         version = target.rsplit("/", 1)[1]
         found = self._list(spark, "/".join([version, *["*=*"] * len(self.partition_by)]))
         return sorted("/".join(p.toString().split("/")[-len(self.partition_by):]) for p in found)
 
-    def _publish(self, spark: SparkSession, version: int, folders: list) -> None:
-        fs, draft = self._fs(spark, f"{self.path}/_draft-{version}")
-        final = self._fs(spark, f"{self.path}/_manifest-{version}")[1]
+    def _publish(self, spark: SparkSession, state: int, folders: list) -> None:
+        """Make `folders` the given state. If another job has done so since the state
+        before was read, its rows are not in `folders`, and this one must not win."""
+        fs, draft = self._fs(spark, f"{self.path}/_draft-{uuid.uuid4().hex}")
+        final = self._fs(spark, f"{self.path}/_manifest-{state}")[1]
         stream = fs.create(draft, False)
         stream.write(bytearray(json.dumps({"folders": folders}).encode()))
         stream.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"another job has published version {version} of {self.path}")
+        if fs.exists(final) or not fs.rename(draft, final):
+            raise RuntimeError(f"{self.path} was updated by another job meanwhile; run the update again")
 
     def expire(self, spark: SparkSession, keep: int = 2) -> list[str]:
         """Delete folders and manifests that the newest `keep` states do not use.
         Not to be run while a job still reads or writes an older state."""
-        versions = self._manifest_versions(spark)
-        if not versions:
-            return []
-        kept = versions[-keep:]
-        used = {self._folder(f) for v in kept for f in self._manifest(spark, v)["folders"]}
-        depth = "/".join([f"{VERSION}=*", *["*=*"] * len(self.partition_by)])
-        unused = []
-        for place in self._list(spark, depth):
+        states = self._states(spark)
+        used = [f for state in states[-keep:] for f in self._folders(spark, state)]
+        used_paths = {self._folder(f) for f in used}
+        last_version = max((version for version, _ in used), default=0)
+        unused = [self._fs(spark, f"{self.path}/_manifest-{state}")[1] for state in states[:-keep]]
+        for place in self._list(spark, "/".join([f"{VERSION}=*", *["*=*"] * len(self.partition_by)])):
             tail = "/".join(place.toString().split("/")[-1 - len(self.partition_by):])
-            if f"{self.path}/{tail}" not in used and int(tail.split("/")[0].split("=")[1]) <= versions[-1]:
+            version = int(tail.split("/")[0].split("=")[1])
+            if version < last_version and f"{self.path}/{tail}" not in used_paths:
                 unused.append(place)
-        for version in versions[:-keep]:
-            unused.append(self._fs(spark, f"{self.path}/_manifest-{version}")[1])
         for place in unused:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
         return [p.toString() for p in unused]

@@ -92,9 +92,11 @@ def test_update_rewrites_touched_partitions_only(spark, tmp_path):
         frame(spark, [(1, "2022-12", "a"), (2, "2023-01", "B"), (3, "2023-01", "c"), (4, None, "n")])
     )
     assert table.read(spark).columns == ["k", "day", "v"]
+    table.update(spark, frame(spark, [(5, "", "e")]), replace_by_key)
+    assert rows(table.read(spark).where("day is null")) == [(4, None, "n"), (5, None, "e")]
     deleted = table.expire(spark, keep=1)
     assert any("snapshot=1/day=2023-01" in d for d in deleted) and not any("day=2022-12" in d for d in deleted)
-    assert table.read(spark).count() == 4
+    assert table.read(spark).count() == 5
 
 
 def test_empty_batches(spark, tmp_path):
@@ -117,6 +119,23 @@ def test_failed_write_leaves_the_old_state(spark, tmp_path):
     assert rows(table.read(spark)) == [(1, "d1", "b")]
 
 
+def test_an_update_based_on_an_old_state_is_refused(spark, tmp_path):
+    table = LakeTable(str(tmp_path / "t"), schema(SCHEMA))
+    table.update(spark, frame(spark, [(1, "d1", "a")]), replace_by_key)
+
+    def overtaken(existing, incoming):
+        table.update(spark, frame(spark, [(2, "d1", "b")]), replace_by_key)
+        return replace_by_key(existing, incoming)
+
+    with pytest.raises(RuntimeError, match="run the update again"):
+        table.update(spark, frame(spark, [(3, "d1", "c")]), overtaken)
+    assert rows(table.read(spark)) == [(1, "d1", "a"), (2, "d1", "b")]
+    table.update(spark, frame(spark, [(3, "d1", "c")]), replace_by_key)
+    assert rows(table.read(spark)) == [(1, "d1", "a"), (2, "d1", "b"), (3, "d1", "c")]
+    table.expire(spark, keep=1)
+    assert table.read(spark).count() == 3
+
+
 def test_interval_like_partition_values_stay_text(spark, tmp_path):
     table = LakeTable(str(tmp_path / "t"), schema("interval string, v int"), {"interval": lambda: F.col("interval")})
     df = spark.createDataFrame([("1d", 1), ("1h", 2), ("1m", 3)], "interval string, v int")
