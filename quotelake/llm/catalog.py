@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from quotelake.llm import url_filter
+import public_tokenizers
+
+from pyspark.sql import functions as F
+
+from quotelake.llm import bpe, url_filter
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
 QUERIES, ORACLES = {}, {}
 
+# The vocabulary file that the token queries use.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(name, sql=None):
     def register(plan):
@@ -52,3 +59,12 @@ URL_RULES = [
 def op5_url_filter(t):
     rules = t.spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(t.pages, rules)
+
+
+@query("op6_bpe_words")
+def op6_bpe_words(t):
+    encoded = bpe.encode_documents(t.documents, VOCABULARY)
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
