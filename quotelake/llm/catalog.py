@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from quotelake.llm import bpe, url_filter
+from quotelake.llm import bpe, language_id, url_filter
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
@@ -68,3 +68,13 @@ def op6_bpe_words(t):
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_language_id")
+def op9_language_id(t):
+    docs = t.documents.withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    model = language_id.fit(docs.where("not coalesce(held_out, false)"))
+    return docs.withColumn("found", language_id.identify(docs, model)).select(
+        "doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
+    )
