@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from quotelake.llm import bpe, language_id, url_filter
+from quotelake.llm import bpe, html_text, language_id, topk, url_filter
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
@@ -78,3 +78,29 @@ def op9_language_id(t):
         "doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"),
         F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"),
     )
+
+
+@query(
+    "op7_top_k",
+    """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as vector
+        from embeddings
+        where embedding is not null and vec_id is not null
+            and list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+    scored as (
+        select q.vec_id as query_id, c.vec_id as vec_id,
+            cast(list_sum(list_transform(range(1, len(c.vector) + 1), lambda i: q.vector[i] * c.vector[i])) as bigint) as score
+        from v as q join v as c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.vector) = len(c.vector)),
+    ranked as (
+        select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+    select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+)
+def op7_top_k(t):
+    return topk.top_k(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op8_html_text")
+def op8_html_text(t):
+    return html_text.extract_pages(t.pages).withColumn("n_chars", F.length("text").cast("bigint"))
