@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from quotelake.llm import bpe, html_text, language_id, topk, url_filter
+from quotelake.llm import bpe, html_text, language_id, preferences, topk, url_filter
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
@@ -104,3 +104,62 @@ def op7_top_k(t):
 @query("op8_html_text")
 def op8_html_text(t):
     return html_text.extract_pages(t.pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def _rejected(conversations):
+    """Each conversation with its last answer taken from its neighbour (ids 2k and 2k + 1); the
+    turn goes if the neighbour has no answer."""
+    answers = conversations.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("own"))
+    swapped = answers.select(F.expr("conv_id ^ 1").alias("conv_id"), F.col("own.text").alias("other"))
+    last = answers.join(swapped, "conv_id", "left").select("conv_id", F.col("own.turn").alias("last"), "other")
+    is_last = F.coalesce((F.col("role") == "assistant") & (F.col("turn") == F.col("last")), F.lit(False))
+    return (
+        conversations.join(last, "conv_id", "left")
+        .where(~is_last | F.col("other").isNotNull())
+        .select("conv_id", "turn", "role", F.when(is_last, F.col("other")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+@query(
+    "op4_preference_pairs",
+    """
+    with answers as (
+        select conv_id, max(turn) as turn, arg_max(text, turn) as text from conversations where role = 'assistant' group by conv_id),
+    other as (
+        select c.conv_id, c.turn, c.role, case when l.conv_id is null then c.text else p.text end as text
+        from conversations as c
+        left join answers as l on l.conv_id = c.conv_id and l.turn = c.turn and c.role = 'assistant'
+        left join answers as p on p.conv_id = xor(c.conv_id, 1)
+        where l.conv_id is null or p.text is not null),
+    a as (select conv_id, role, text, row_number() over (partition by conv_id order by turn, role, text) as pos from conversations),
+    b as (select conv_id, role, text, row_number() over (partition by conv_id order by turn, role, text) as pos from other),
+    cut as (
+        select conv_id, count(a.role) as n, min(case when a.role is distinct from b.role or a.text is distinct from b.text
+            then pos end) as first from a full join b using (conv_id, pos) group by conv_id having count(b.role) > 0 and count(a.role) > 0),
+    shared as (select conv_id, coalesce(first - 1, n) as n from cut),
+    turns as (
+        select 0 as side, conv_id, pos, role, text from a union all select 1, conv_id, pos, role, text from b),
+    heads as (
+        select side, conv_id, pos, role, n, '<|im_start|>' || role || chr(10) as head, text || '<|im_end|>' || chr(10) as tail
+        from turns join shared using (conv_id)),
+    spans as (
+        select *, cast(coalesce(sum(length(head) + length(tail)) over (partition by side, conv_id, pos > n order by pos
+            rows between unbounded preceding and 1 preceding), 0) as bigint) + length(head) as start from heads),
+    parts as (
+        select side, conv_id, any_value(n) as n, coalesce(string_agg(head || tail, '' order by pos) filter (pos <= n), '') as prompt,
+            coalesce(string_agg(head || tail, '' order by pos) filter (pos > n), '') as completion,
+            coalesce(string_agg(start || '-' || (start + length(tail)), ',' order by pos)
+                filter (pos > n and role = 'assistant'), '') as mask
+        from spans group by side, conv_id)
+    select a.conv_id, cast(a.n as integer) as shared_turns, a.prompt as prompt, a.completion as chosen, a.mask as chosen_mask,
+        b.completion as rejected, b.mask as rejected_mask
+    from parts as a join parts as b on a.conv_id = b.conv_id and a.side = 0 and b.side = 1
+    """,
+)
+def op4_preference_pairs(t):
+    pairs = preferences.format_pairs(t.conversations, _rejected(t.conversations), key="conv_id")
+    spans = {
+        c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
+        for c in ("chosen_mask", "rejected_mask")
+    }
+    return pairs.withColumns(spans)
