@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from quotelake.llm import bpe, html_text, language_id, preferences, suffix_dedup, topk, url_filter
+from quotelake.llm import bpe, html_text, language_id, near_dedup, preferences, suffix_dedup, topk, url_filter
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
@@ -169,3 +169,8 @@ def op4_preference_pairs(t):
 def op1_suffix_dedup(t):
     cut = suffix_dedup.remove_repeats(t.documents, length=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(t):
+    return near_dedup.near_duplicates(t.documents)
