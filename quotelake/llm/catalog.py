@@ -6,7 +6,9 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from quotelake.llm import bpe, html_text, language_id, near_dedup, preferences, suffix_dedup, topk, url_filter
+from quotelake.llm import (
+    bpe, decontaminate, html_text, language_id, near_dedup, paragraph_dedup, preferences, suffix_dedup, topk, url_filter,
+)
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
 
@@ -174,3 +176,14 @@ def op1_suffix_dedup(t):
 @query("op3_near_duplicates")
 def op3_near_duplicates(t):
     return near_dedup.near_duplicates(t.documents)
+
+
+@query("op2_paragraph_dedup")
+def op2_paragraph_dedup(t):
+    cut = paragraph_dedup.remove_paragraphs(t.documents)
+    return cut.select("doc_id", "n_chars", "n_removed", "n_spans", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(t):
+    return decontaminate.contaminated(t.documents, t.benchmark)
