@@ -20,8 +20,9 @@ def day_text(c: str | Column) -> Column:
 
 
 def second_text(c: str | Column) -> Column:
-    """Timestamp or ISO text -> `yyyy-MM-dd HH:mm:ss`, fractions and zone cut off."""
-    return F.translate(F.substring(_col(c).cast("string"), 1, 19), "T", " ")
+    """Timestamp or ISO text -> `yyyy-MM-dd HH:mm:ss` as written, fractions and zone cut
+    off; NULL if the text is no time."""
+    return F.substring(_col(c).cast("string").try_cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def text_to_day(c: str | Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -33,6 +33,6 @@ def enrich(
     return rows.join(side, on, "left")
 
 
-def join_using(bridge: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def join_using(bridge: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join of a bridge table with the dimension it points to."""
     return bridge.join(dim, key)

@@ -39,13 +39,14 @@ def merge_latest(
     per key, as every stored entity does. Then its rows only need to make way for
     incoming keys: an anti join against the keys of the batch, which Spark runs
     without moving `existing` when those keys fit the broadcast limit, and whose keys
-    are unique on both sides when they do not.
+    are unique on both sides when they do not. The keys are those of the latest rows,
+    so that both uses of the batch share one shuffle.
     """
     latest = keep_latest(incoming, keys, order_by)
     if existing is None:
         return latest
     if existing_is_keyed:
-        replaced = incoming.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+        replaced = latest.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
         condition = same_key(existing, replaced, [(k, f"_k{i}") for i, k in enumerate(keys)])
         return existing.join(replaced, condition, "left_anti").unionByName(latest, allowMissingColumns=True)
     both = existing.withColumn("_batch", F.lit(0)).unionByName(

@@ -1,7 +1,7 @@
 """Per-key numbering, latest row per key, per-key statistics on every row.
 
 Each of them copes with a key that holds a large share of all rows: such a key is
-cut down before the shuffle, split over tasks, or never shuffled."""
+cut down before the shuffle or split over tasks."""
 
 from __future__ import annotations
 
@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 
 from quotelake.functions.keys import same_key
 
-# How many of the most frequent keys are handled without a shuffle. Any key
-# outside this list holds less than 1/HOT_KEYS of all rows, and the list itself
-# is what gets broadcast: never more than this many rows.
-HOT_KEYS = 1000
-
-
 def number_rows(
     df: DataFrame,
     keys: list[str],
@@ -28,7 +22,8 @@ def number_rows(
     `bucket` is a coarse, order-preserving function of the first order column (the
     hour of a timestamp, say). With it the rows of one key are numbered bucket by
     bucket in separate tasks and shifted by the number of rows in earlier buckets,
-    so a hot key does not end up in one task.
+    so a hot key does not end up in one task. Without it all rows of a key are
+    numbered by one task, which suits keys of a bounded size only.
     """
     if bucket is None:
         window = Window.partitionBy(*keys).orderBy(*order_by)
@@ -69,35 +64,15 @@ def with_group_stats(df: DataFrame, keys: list[str], stats: dict[str, Column]) -
     """Every row with aggregates over all rows of its key, as a window over the whole
     partition would give. An output may replace a column of the input.
 
-    The aggregates are built by partial aggregation and joined back on the key and
-    its hash. Rows of the most frequent keys take theirs from a broadcast of those
-    keys (bounded, see HOT_KEYS); in the join they carry a hash of the whole row
-    instead, which spreads them over all tasks and finds no partner.
+    The aggregates are built by partial aggregation and joined back. They are grouped
+    by a struct of the key: grouped by the key itself they would already lie as the
+    join wants them, and Spark only splits a hot key where the join shuffles both sides.
     """
     pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
     values = {name: f"_v{i}" for i, name in enumerate(stats)}
-    per_key = (
-        df.groupBy(*[F.col(k).alias(r) for k, r in pairs])
-        .agg(F.count("*").alias("_n"), *[column.alias(values[name]) for name, column in stats.items()])
-        .withColumn("_place", F.xxhash64(*[r for _, r in pairs]))
-    )
-    most_frequent = per_key.orderBy(F.desc("_n"), *[r for _, r in pairs]).limit(HOT_KEYS)
-    hot = F.broadcast(most_frequent.select(*[F.col(c).alias(f"_hot{c}") for c in per_key.columns]))
-
-    marked = df.join(hot, same_key(df, hot, [(k, f"_hot{r}") for k, r in pairs]), "left")
-    is_hot = F.col("_hot_n").isNotNull()
-    # The partition number tells copies of a row apart and stays the same if a task
-    # has to run again.
-    spread = F.xxhash64(*_hashable(df), F.spark_partition_id())
-    marked = marked.withColumn("_row_place", F.when(is_hot, spread).otherwise(F.xxhash64(*keys)))
-    joined = marked.join(per_key, same_key(marked, per_key, [*pairs, ("_row_place", "_place")]), "left")
-    # Asking for the count here too lets both uses of the aggregates share one shuffle.
-    found = {
-        name: F.when(is_hot, F.col(f"_hot{v}")).when(F.col("_n") > 0, F.col(v)).alias(name)
-        for name, v in values.items()
-    }
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in stats], *found.values())
-
-
-def _hashable(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
+    key = F.struct(*[F.col(k).alias(r) for k, r in pairs]).alias("_key")
+    per_key = df.groupBy(key).agg(*[column.alias(values[name]) for name, column in stats.items()])
+    per_key = per_key.select("_key.*", *values.values())
+    joined = df.join(per_key, same_key(df, per_key, pairs), "left")
+    found = [F.col(v).alias(name) for name, v in values.items()]
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns if c not in stats], *found)

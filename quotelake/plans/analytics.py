@@ -11,17 +11,19 @@ from quotelake.operators.aggregates import count_by, distinct_rows
 from quotelake.operators.filters import equals, since
 from quotelake.operators.joins import join_using
 from quotelake.operators.ordering import latest_n, sort_asc, sort_desc
+from quotelake.operators.windows import keep_latest
 
 
 def posts_per_day(
     bridge: DataFrame,
     posts: DataFrame,
     ticker: object,
-    key: str = "tweet_id",
+    key: str | list[str] = "tweet_id",
     ticker_column: str = "ticker",
     created_column: str = "created_at",
 ) -> DataFrame:
-    """`(date, cnt)`: posts of a ticker per day, oldest first."""
+    """`(date, cnt)`: posts of a ticker per day, oldest first. The key may be several
+    columns, such as the partition of a stored table and the id."""
     found = equals(join_using(bridge, posts, key), **{ticker_column: ticker})
     return sort_asc(count_by(found, day_text(created_column), "date"), "date")
 
@@ -44,6 +46,21 @@ def recent_bars(
     return latest_n(bars, n, list(order_by))
 
 
+def daily_bars(
+    prices: DataFrame,
+    ticker: object,
+    interval: object = "1d",
+    days: int = 10,
+    ticker_column: str = "ticker",
+    interval_column: str = "interval",
+    date_column: str = "date",
+    order_by: tuple[str, ...] = ("datetime",),
+) -> DataFrame:
+    """The last bar of each of the last `days` days, oldest first."""
+    bars = equals(prices, **{ticker_column: ticker, interval_column: interval})
+    return latest_n(keep_latest(bars, [date_column], order_by), days, [date_column])
+
+
 def bars_since(
     prices: DataFrame,
     ticker: object,
@@ -75,6 +92,6 @@ def news_feed(
 def price_vs_posts(bars: DataFrame, posts: DataFrame, date: str = "date", count: str = "cnt") -> DataFrame:
     """Bars side by side with the posts of their day; days without posts count 0.
 
-    Both sides come ready per day (`recent_bars`, `posts_per_day`)."""
+    Both sides come ready per day (`daily_bars`, `posts_per_day`)."""
     joined = bars.join(posts.select(date, count), date, "left")
     return sort_asc(joined.withColumn(count, F.coalesce(count, F.lit(0))), date)

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake import schemas as S
 from quotelake.functions.times import day_text
 from quotelake.operators.merge import merge_latest
+from quotelake.operators.ordering import with_position
 from quotelake.operators.quality import lake_report, staging_report
 from quotelake.plans import analytics
 from quotelake.plans.catalog.registry import Tables, query
+from quotelake.session import fresh_path
+from quotelake.sources.snapshots import LakeTable
 
 # -- merge ---------------------------------------------------------------------
 
@@ -65,21 +69,24 @@ def merge_latest_keyed(t: Tables) -> DataFrame:
          select l_partkey as ticker, l_shipdate as changed_at, l_orderkey as source_id, l_extendedprice as price,
                 0 as batch from lineitem
          union all
-         select p_partkey, timestamp '1990-01-01', p_size, p_retailprice, 1 from part where p_type <> 'PROMO')
+         select case when p_type <> 'PROMO' then p_partkey else -p_partkey end, timestamp '1990-01-01', p_size,
+                p_retailprice, 1 from part)
        select ticker, changed_at, source_id, price from (select *, row_number() over
          (partition by ticker order by batch desc, changed_at desc, source_id desc, price desc) as rn from both_sides)
        where rn = 1""",
 )
 def merge_latest_unkeyed(t: Tables) -> DataFrame:
-    """The stored side has several rows per key, so both sides are ranked."""
+    """The stored side has several rows per key, so both sides are ranked. Some parts get a
+    key that the other side does not have."""
     existing = t.lineitem.select(
         F.col("l_partkey").alias("ticker"),
         F.col("l_shipdate").alias("changed_at"),
         F.col("l_orderkey").alias("source_id"),
         F.col("l_extendedprice").alias("price"),
     )
-    incoming = t.part.where("p_type <> 'PROMO'").select(
-        F.col("p_partkey").alias("ticker"),
+    key = F.when(F.col("p_type") != "PROMO", F.col("p_partkey")).otherwise(-F.col("p_partkey"))
+    incoming = t.part.select(
+        key.alias("ticker"),
         F.expr("TIMESTAMP_NTZ'1990-01-01 00:00:00'").alias("changed_at"),
         F.col("p_size").cast("bigint").alias("source_id"),
         F.col("p_retailprice").alias("price"),
@@ -87,6 +94,76 @@ def merge_latest_unkeyed(t: Tables) -> DataFrame:
     return merge_latest(existing, incoming, ["ticker"], ["changed_at", "source_id"])
 
 
+# -- stored updates --------------------------------------------------------------
+
+BALANCES = "ticker bigint, balance double, label string, changed_at timestamp_ntz, change_id bigint"
+VOLUMES = "`symbol` bigint, line int, month string, volume double, price double, batch int"
+
+
+def _loaded(t: Tables, table: LakeTable, merge, batches: list[DataFrame]) -> DataFrame:
+    for batch in batches:
+        table.update(t.spark, batch, merge)
+    return table.read(t.spark)
+
+
+@query(
+    "merge_stored_update",
+    """with changes as (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
+         from orders)
+       select o_custkey as ticker, o_totalprice as balance, o_orderstatus as label, o_orderdate as changed_at,
+         o_orderkey as change_id from changes where rn = 1
+       union all
+       select c_custkey, c_acctbal, c_mktsegment, null, null from customer
+       where c_custkey not in (select o_custkey from orders)""",
+)
+def merge_stored_update(t: Tables) -> DataFrame:
+    """A stored table of balances, loaded from the customers and updated from their orders."""
+    table = LakeTable(fresh_path(t.spark, "balances"), S.schema(BALANCES))
+    first = t.customer.selectExpr(
+        "c_custkey as ticker", "c_acctbal as balance", "c_mktsegment as label",
+        "cast(null as timestamp_ntz) as changed_at", "cast(null as bigint) as change_id",
+    )
+
+    def merge(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
+        return merge_latest(stored, incoming, ["ticker"], ["changed_at", "change_id"], existing_is_keyed=True)
+
+    return _loaded(t, table, merge, [first, _balances_from_orders(t)])
+
+
+@query(
+    "merge_stored_partitions",
+    """with first as (select l_partkey as symbol, l_linenumber as line, strftime(l_shipdate, '%Y-%m') as month,
+         l_quantity as volume, l_extendedprice as price, 0 as batch from lineitem
+         qualify row_number() over (partition by l_partkey, l_linenumber, strftime(l_shipdate, '%Y-%m')
+           order by l_extendedprice desc, l_quantity desc) = 1),
+       later as (select l_partkey as symbol, l_linenumber as line, strftime(l_shipdate, '%Y-%m') as month,
+         l_quantity as volume, l_discount as price, 1 as batch from lineitem where l_shipdate >= timestamp '1998-06-01'
+         qualify row_number() over (partition by l_partkey, l_linenumber, strftime(l_shipdate, '%Y-%m')
+           order by l_discount desc, l_quantity desc) = 1)
+       select * from later
+       union all
+       select * from first where (symbol, line, month) not in (select (symbol, line, month) from later)""",
+)
+def merge_stored_partitions(t: Tables) -> DataFrame:
+    """A table stored by month under a key of three columns; the second batch touches its last months only."""
+    month = F.substring(day_text("l_shipdate"), 1, 7)
+    table = LakeTable(
+        fresh_path(t.spark, "volumes"), S.schema(VOLUMES), {"month": lambda: F.col("month")}, ("symbol", "line")
+    )
+
+    def batch(number: int, price: str, rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("l_partkey").alias("symbol"), F.col("l_linenumber").alias("line"), month.alias("month"),
+            F.col("l_quantity").alias("volume"), F.col(price).alias("price"), F.lit(number).alias("batch"),
+        )
+
+    def merge(stored: DataFrame | None, incoming: DataFrame) -> DataFrame:
+        return merge_latest(stored, incoming, ["symbol", "line", "month"], ["price", "volume"], existing_is_keyed=True)
+
+    late = t.lineitem.where("l_shipdate >= timestamp_ntz'1998-06-01 00:00:00'")
+    return _loaded(t, table, merge, [batch(0, "l_extendedprice", t.lineitem), batch(1, "l_discount", late)])
+
+
 # -- quality -------------------------------------------------------------------
 
 # The driver tables with the columns that should identify a row.
@@ -158,47 +235,59 @@ def _bars(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("close"),
         F.col("l_quantity").alias("volume"),
         F.col("l_orderkey").alias("bar_id"),
+        F.col("l_linenumber").alias("line"),
     )
 
 
+BAR_ORDER = ("date", "datetime", "bar_id", "line", "close", "volume")
+
+
 BARS_SQL = """select l_returnflag as ticker, l_linestatus as interval, strftime(l_shipdate, '%Y-%m-%d') as date,
-    l_shipdate as datetime, l_extendedprice as close, l_quantity as volume, l_orderkey as bar_id from lineitem"""
-RECENT_SQL = f"""select * from ({BARS_SQL}) where ticker = 'N' and "interval" = 'O'
-    order by date desc, datetime desc, close desc, volume desc, bar_id desc limit """
+    l_shipdate as datetime, l_extendedprice as close, l_quantity as volume, l_orderkey as bar_id, l_linenumber as line
+    from lineitem"""
 
 
-@query("ana_recent_bars", RECENT_SQL + "10")
+@query(
+    "ana_recent_bars",
+    f"""select * from ({BARS_SQL}) where ticker = 'N' and "interval" = 'O'
+        order by {", ".join(f"{c} desc" for c in ("date", "datetime", "bar_id", "line", "close", "volume"))} limit 10""",
+)
 def ana_recent_bars(t: Tables) -> DataFrame:
-    return analytics.recent_bars(_bars(t), "N", "O", 10)
+    return analytics.recent_bars(_bars(t), "N", "O", 10, order_by=BAR_ORDER)
 
 
 @query(
     "ana_bars_since",
-    f"""select * from ({BARS_SQL}) where ticker = 'R' and "interval" = 'F' and date >= '1998-12-25'""",
+    f"""select *, row_number() over (order by date, datetime, bar_id, line, close, volume) as position
+        from ({BARS_SQL}) where ticker = 'R' and "interval" = 'F' and date >= '1998-12-25'""",
 )
 def ana_bars_since(t: Tables) -> DataFrame:
-    return analytics.bars_since(_bars(t), "R", "F", "1998-12-25")
+    return with_position(analytics.bars_since(_bars(t), "R", "F", "1998-12-25", order_by=BAR_ORDER))
 
 
 @query(
     "ana_news_feed",
     """select doc_id, quality as ticker, toxic, source, lang, text,
-       make_timestamp((1672531200 + doc_id * 61) * 1000000) as provider_publish_time
+       make_timestamp((1672531200 + doc_id * 61) * 1000000) as provider_publish_time,
+       row_number() over (order by doc_id desc) as position
        from documents join labels using (doc_id) where quality = 1""",
 )
 def ana_news_feed(t: Tables) -> DataFrame:
     bridge = t.labels.select("doc_id", F.col("quality").alias("ticker"), "toxic")
     published = (F.col("doc_id") * 61 + 1672531200).cast("string").alias("provider_publish_time")
     news = t.documents.select("doc_id", "source", "lang", "text", published)
-    return analytics.news_feed(bridge, news, 1, key="doc_id")
+    return with_position(analytics.news_feed(bridge, news, 1, key="doc_id"))
 
 
 @query(
     "ana_price_vs_posts",
     f"""select bars.*, coalesce(cnt, 0) as cnt
-        from ({RECENT_SQL} 2000) as bars left join
+        from (select * from ({BARS_SQL}) where ticker = 'N' and "interval" = 'O'
+              qualify row_number() over (partition by date
+                order by datetime desc, close desc, volume desc, bar_id desc, line desc) = 1
+              order by date desc limit 60) as bars left join
           (select strftime(o_orderdate, '%Y-%m-%d') as date, count(*) as cnt
            from orders join customer on o_custkey = c_custkey where c_mktsegment = 'BUILDING' group by 1) using (date)""",
 )
 def ana_price_vs_posts(t: Tables) -> DataFrame:
-    return analytics.price_vs_posts(analytics.recent_bars(_bars(t), "N", "O", 2000), ana_posts_per_day(t))
+    return analytics.price_vs_posts(analytics.daily_bars(_bars(t), "N", "O", 60), ana_posts_per_day(t))

@@ -77,8 +77,8 @@ def cast_decimal(t: Tables) -> DataFrame:
 
 @query(
     "cast_numeric_text",
-    """select event_id, try_cast(case event_type when 'error' then 'NaN' when 'view' then 'x' || user_id
-       when 'signup' then '' else cast(user_id as varchar) end as bigint) as number from events""",
+    """select event_id, case when event_type in ('error', 'view', 'signup') or event_id % 4 = 3 then null
+       when event_id % 4 = 2 then user_id * 1000 else user_id end::bigint as number from events""",
 )
 def cast_numeric_text(t: Tables) -> DataFrame:
     kind = F.col("event_type")
@@ -86,6 +86,9 @@ def cast_numeric_text(t: Tables) -> DataFrame:
         F.when(kind == "error", F.lit("NaN"))
         .when(kind == "view", F.concat(F.lit("x"), "user_id"))
         .when(kind == "signup", F.lit(""))
+        .when(F.col("event_id") % 4 == 1, F.concat("user_id", F.lit(".0")))
+        .when(F.col("event_id") % 4 == 2, F.concat("user_id", F.lit("e3")))
+        .when(F.col("event_id") % 4 == 3, F.concat("user_id", F.lit(".5")))
         .otherwise(F.col("user_id").cast("string"))
     )
     return t.events.select("event_id", to_number(text, "bigint").alias("number"))
@@ -188,10 +191,20 @@ def str_percent_to_number(t: Tables) -> DataFrame:
 
 @query(
     "dat_format",
-    """select event_id, strftime(ts, '%Y-%m-%d') as day, strftime(ts, '%Y-%m-%d %H:%M:%S') as second from events""",
+    """select event_id, strftime(ts, '%Y-%m-%d') as day, strftime(ts, '%Y-%m-%d %H:%M:%S') as second,
+       case when event_type not in ('error', 'view') then strftime(ts, '%Y-%m-%d %H:%M:%S') end as of_text from events""",
 )
 def dat_format(t: Tables) -> DataFrame:
-    return t.events.select("event_id", day_text("ts").alias("day"), second_text("ts").alias("second"))
+    """Of texts: ISO ones with a zone, and some that are no times."""
+    kind = F.col("event_type")
+    text = (
+        F.when(kind == "error", "garbage text that is long")
+        .when(kind == "view", "Tue Oct 10 20:19:24 +0000 2018")
+        .otherwise(F.concat(F.translate(F.col("ts").cast("string"), " ", "T"), F.lit("+05:00")))
+    )
+    return t.events.select(
+        "event_id", day_text("ts").alias("day"), second_text("ts").alias("second"), second_text(text).alias("of_text")
+    )
 
 
 @query(

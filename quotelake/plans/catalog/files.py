@@ -59,10 +59,18 @@ def src_payload_typed(t: Tables) -> DataFrame:
 
 @query(
     "src_payload_inferred",
-    "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events",
+    """select event_id, case when event_id % 11 <> 0 then cast(json_extract_string(props, '$.k') as bigint) end as k,
+       case when event_id % 11 <> 0 then cast(event_id as double) + 0.5 end as half,
+       case when event_id % 11 = 0 then null when event_id % 2 = 0 then cast(event_id as varchar) else 'odd' end as mixed
+       from events""",
 )
 def src_payload_inferred(t: Tables) -> DataFrame:
-    return readers.parse_payload(t.events.select("event_id", "props"), "props")
+    """Objects with a whole, a fractional and a mixed field, between arrays."""
+    whole = F.get_json_object("props", "$.k").cast("bigint").alias("k")
+    half = (F.col("event_id") + F.lit(0.5)).alias("half")
+    fields = {kind: F.to_json(F.struct(whole, half, value.alias("mixed"))) for kind, value in (("number", F.col("event_id")), ("text", F.lit("odd")))}
+    payload = F.when(F.col("event_id") % 11 == 0, "[1, 2]").when(F.col("event_id") % 2 == 0, fields["number"]).otherwise(fields["text"])
+    return readers.parse_payload(t.events.select("event_id", payload.alias("payload")), "payload")
 
 
 @query("snk_parquet", "select * from orders")
@@ -80,7 +88,7 @@ def snk_parquet(t: Tables) -> DataFrame:
 def snk_json_documents(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "event_type", "value", day_text("ts").alias("day"))
     path = fresh_path(t.spark, "event-documents")
-    writers.write_json_documents(rows, path, "event_type", ["event_id"], rows_per_document=20_000)
+    writers.write_json_documents(rows, path, "event_type", ["event_id"])
     return readers.read_json_documents(t.spark, path, rows.schema).select(rows.columns)
 
 

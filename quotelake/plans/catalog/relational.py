@@ -13,7 +13,9 @@ from quotelake.plans.catalog.registry import Tables, query
 
 
 def _customer_with_nation(t: Tables) -> DataFrame:
-    nations = t.nation.where("n_regionkey <> 0").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    # Nations of one region get other keys, so that some customers find no nation.
+    key = F.when(F.col("n_regionkey") == 0, -1 - F.col("n_nationkey")).otherwise(F.col("n_nationkey"))
+    nations = t.nation.select(key.alias("c_nationkey"), "n_name")
     return joins.enrich(
         t.customer.select("c_custkey", "c_name", "c_nationkey"), nations, "c_nationkey", ["n_name"], keyed_is_unique=True
     )
@@ -153,20 +155,27 @@ def win_partition_max(t: Tables) -> DataFrame:
 # -- sorting -------------------------------------------------------------------
 
 
-@query("srt_asc", "select o_orderkey, o_orderdate from orders")
+@query(
+    "srt_asc",
+    "select o_orderkey, o_orderdate, row_number() over (order by o_orderdate, o_orderkey) as position from orders",
+)
 def srt_asc(t: Tables) -> DataFrame:
-    return ordering.sort_asc(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate")
+    return ordering.with_position(ordering.sort_asc(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey"))
 
 
-@query("srt_multi", "select l_shipdate, l_orderkey, l_linenumber, l_extendedprice from lineitem")
+@query(
+    "srt_multi",
+    """select l_shipdate, l_orderkey, l_linenumber, l_extendedprice, row_number() over
+       (order by l_shipdate, l_orderkey, l_linenumber, l_extendedprice) as position from lineitem""",
+)
 def srt_multi(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
-    return ordering.sort_asc(rows, "l_shipdate", "l_orderkey")
+    columns = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"]
+    return ordering.with_position(ordering.sort_asc(t.lineitem.select(*columns), *columns))
 
 
-@query("srt_desc", "select event_id, ts, value from events")
+@query("srt_desc", "select event_id, ts, value, row_number() over (order by ts desc, event_id desc) as position from events")
 def srt_desc(t: Tables) -> DataFrame:
-    return ordering.sort_desc(t.events.select("event_id", "ts", "value"), "ts")
+    return ordering.with_position(ordering.sort_desc(t.events.select("event_id", "ts", "value"), "ts", "event_id"))
 
 
 @query(
@@ -175,7 +184,7 @@ def srt_desc(t: Tables) -> DataFrame:
        order by o_orderdate desc, o_orderkey desc limit 10""",
 )
 def top_latest_n(t: Tables) -> DataFrame:
-    return ordering.latest_n(t.orders.select("o_orderdate", "o_orderkey", "o_totalprice"), 10, ["o_orderdate"])
+    return ordering.latest_n(t.orders.select("o_orderdate", "o_orderkey", "o_totalprice"), 10, ["o_orderdate", "o_orderkey"])
 
 
 # -- set operations ------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import schemas as S
-from quotelake.functions.keys import composite_key, concat_key, stable_id
+from quotelake.functions.keys import composite_key, concat_key, same_key, stable_id
 from quotelake.functions.times import day_text
 from quotelake.operators.filters import not_null
 from quotelake.operators.joins import enrich
@@ -129,16 +129,13 @@ def _actions(staged: Staged) -> DataFrame:
 def _users(staged: Staged) -> DataFrame:
     """Highest counters over a user's posts, other attributes from the latest post."""
     attributes = ["user_created_at", "user_description", "user_location", "user_name", "user_verified"]
-    return (
-        staged["tweets"]
-        .groupBy("user_id")
-        .agg(
-            F.max(F.struct("created_at", "tweet_id", *attributes)).alias("latest"),
-            F.max("user_followers_count").alias("user_followers_count"),
-            F.max("friends_count").alias("friends_count"),
-        )
-        .select("user_id", *[f"latest.{a}" for a in attributes], "user_followers_count", "friends_count")
+    posts = staged["tweets"]
+    latest = keep_latest(posts.select("user_id", "created_at", "tweet_id", *attributes), ["user_id"], ["created_at", "tweet_id"])
+    counters = posts.groupBy(F.col("user_id").alias("_user")).agg(
+        F.max("user_followers_count").alias("user_followers_count"), F.max("friends_count").alias("friends_count")
     )
+    joined = latest.join(counters, same_key(latest, counters, [("user_id", "_user")]))
+    return joined.select("user_id", *attributes, "user_followers_count", "friends_count")
 
 
 def _hashtags(staged: Staged) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotelake.operators.aggregates import duplicate_keys, join_symbols
 from quotelake.operators.ordering import first_n_symbols, preview
@@ -57,9 +58,13 @@ class Lake:
 
         return self._each(update, entities)
 
-    def table(self, entity: str) -> DataFrame:
-        found = ENTITIES[entity].table(self.lake_dir).read(self.spark)
-        return self.spark.createDataFrame([], ENTITIES[entity].schema) if found is None else found
+    def table(self, entity: str, where: Column | None = None, partitions: bool = False) -> DataFrame:
+        """An entity as it is stored; see `LakeTable.read` for the rest."""
+        stored = ENTITIES[entity].table(self.lake_dir)
+        found = stored.read(self.spark, where, partitions)
+        if found is not None:
+            return found
+        return self.spark.createDataFrame([], stored.stored_schema() if partitions else stored.schema)
 
     def expire(self, keep: int = 2) -> None:
         """Drop files that the newest `keep` states of the entities do not use."""
@@ -92,7 +97,9 @@ class Lake:
     # -- analyses ----------------------------------------------------------------
 
     def posts_per_day(self, ticker: str) -> DataFrame:
-        return analytics.posts_per_day(self.table("tickers_tweets_users_fact"), self.table("tweets_dim"), ticker)
+        # Both are stored by ranges of the post id: the ranges of the ticker's posts are the only ones read.
+        bridge, posts = (self.table(e, partitions=True) for e in ("tickers_tweets_users_fact", "tweets_dim"))
+        return analytics.posts_per_day(bridge, posts, ticker, key=["id_range", "tweet_id"])
 
     def ticker_profile(self, ticker: str) -> DataFrame:
         return analytics.ticker_profile(self.table("tickers_info_dim"), ticker)
@@ -101,10 +108,12 @@ class Lake:
         return analytics.recent_bars(self.table("tickers_historical_prices_fact"), ticker, interval, n)
 
     def bars_since(self, ticker: str, interval: str, date: str) -> DataFrame:
-        return analytics.bars_since(self.table("tickers_historical_prices_fact"), ticker, interval, date)
+        months = F.col("month") >= F.lit(date[:7])
+        return analytics.bars_since(self.table("tickers_historical_prices_fact", months), ticker, interval, date)
 
     def news_feed(self, ticker: str) -> DataFrame:
         return analytics.news_feed(self.table("tickers_news_fact"), self.table("news_dim"), ticker)
 
     def price_vs_posts(self, ticker: str, days: int = 10) -> DataFrame:
-        return analytics.price_vs_posts(self.recent_bars(ticker, "1d", days), self.posts_per_day(ticker))
+        bars = analytics.daily_bars(self.table("tickers_historical_prices_fact"), ticker, "1d", days)
+        return analytics.price_vs_posts(bars, self.posts_per_day(ticker))

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -53,22 +51,16 @@ def build_session(app_name: str = "quotelake", local_cores: int | None = None) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by `spark.checkpoint.dir`.
-
-    Only a local session may go without the setting; the process then makes one
-    temporary folder for it.
-    """
+    """The folder every executor can reach: `spark.checkpoint.dir`, or else a folder in
+    the warehouse, which a cluster shares as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_dir()
+    return configured or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="quotelake-")
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

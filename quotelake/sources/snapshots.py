@@ -1,6 +1,6 @@
 """Lake tables as plain parquet folders that are never changed in place.
 
-Every update writes new folders `<table>/snapshot=<n>/...` and then publishes a small
+Every update writes new folders `<table>/snapshot=<state>-<id>/...` and then publishes a small
 manifest that names the folders making up the table. Readers follow the newest
 manifest, so they see the old or the new state and nothing between, and a job that
 dies half way leaves the old state in place. A partitioned table rewrites only the
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.operators.projection import conform
+from quotelake.session import fresh_path, remove_path
 
 # Folder prefix of the versions. Spark reads it as a partition column, so no table
 # may have a column of this name.
@@ -43,23 +44,29 @@ class LakeTable:
 
     # -- reading ---------------------------------------------------------------
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        """The current state, or None before the first write."""
+    def read(self, spark: SparkSession, where: Column | None = None, partitions: bool = False) -> DataFrame | None:
+        """The current state, or None before the first write. `where` may use the partition
+        columns, so that only folders that can match are opened; with `partitions` they are
+        part of the result, for joins that are to be pruned at run time."""
         stored = self._scan(spark, self._newest(spark))
-        return None if stored is None else stored.select(*self.schema.fieldNames())
+        if stored is None:
+            return None
+        if where is not None:
+            stored = stored.where(where)
+        return stored if partitions else stored.select(*self.schema.fieldNames())
 
     def _scan(self, spark: SparkSession, state: int) -> DataFrame | None:
         if not state:
             return None
         paths = [self._folder(f) for f in self._folders(spark, state)]
         if not paths:
-            return spark.createDataFrame([], self._stored_schema())
-        reader = spark.read.schema(self._stored_schema())
+            return spark.createDataFrame([], self.stored_schema())
+        reader = spark.read.schema(self.stored_schema())
         if self.partition_by:
             reader = reader.option("basePath", self.path)
-        return reader.parquet(*paths)
+        return reader.parquet(*paths).select(*self.stored_schema().fieldNames())
 
-    def _stored_schema(self) -> T.StructType:
+    def stored_schema(self) -> T.StructType:
         extra = [T.StructField(c, T.StringType()) for c in self.partition_by if c not in self.schema.fieldNames()]
         return T.StructType([*self.schema.fields, *extra])
 
@@ -77,11 +84,18 @@ class LakeTable:
         partitions, which holds when the partition columns derive from the key."""
         state = self._newest(spark)
         current = self._scan(spark, state)
-        if current is not None and self.partition_by:
-            current = current.where(self._touched(incoming))
-        if current is not None:
-            current = current.select(*self.schema.fieldNames())
-        return self._write(spark, conform(merge(current, incoming), self.schema), state)
+        if current is None or not self.partition_by:
+            if current is not None:
+                current = current.select(*self.schema.fieldNames())
+            return self._write(spark, conform(merge(current, incoming), self.schema), state)
+        # Both the partitions and the rows are needed, so the batch is computed and written once.
+        path = fresh_path(spark, "batch")
+        incoming.write.parquet(path)
+        incoming = spark.read.schema(incoming.schema).parquet(path)
+        current = current.where(self._touched(incoming)).select(*self.schema.fieldNames())
+        rows = self._write(spark, conform(merge(current, incoming), self.schema), state)
+        remove_path(spark, path)
+        return rows
 
     def _touched(self, incoming: DataFrame) -> Column:
         """Filter for the partitions of the incoming rows. Only partition values come
@@ -109,7 +123,7 @@ class LakeTable:
         ]
 
     def _write(self, spark: SparkSession, rows: DataFrame, state: int) -> int:
-        version = self._next_version(spark)
+        version = f"{state + 1}-{uuid.uuid4().hex}"  # no two writers share a folder
         target = f"{self.path}/{VERSION}={version}"
         observed = Observation()
         out = rows.observe(observed, F.count(F.lit(1)).alias("rows"))
@@ -166,10 +180,6 @@ class LakeTable:
         finally:
             stream.close()
 
-    def _next_version(self, spark: SparkSession) -> int:
-        """One past all that exist, unfinished writes included."""
-        return max((int(p.getName().split("=")[1]) for p in self._list(spark, f"{VERSION}=*")), default=0) + 1
-
     def _partition_folders(self, spark: SparkSession, target: str) -> list[str]:
         version = target.rsplit("/", 1)[1]
         found = self._list(spark, "/".join([version, *["*=*"] * len(self.partition_by)]))
@@ -177,7 +187,9 @@ class LakeTable:
 
     def _publish(self, spark: SparkSession, state: int, folders: list) -> None:
         """Make `folders` the given state. If another job has done so since the state
-        before was read, its rows are not in `folders`, and this one must not win."""
+        before was read, its rows are not in `folders`, and this one must not win. A rename
+        that refuses to overwrite is one step on HDFS; on stores where it is not, a table
+        must have one writer at a time."""
         fs, draft = self._fs(spark, f"{self.path}/_draft-{uuid.uuid4().hex}")
         final = self._fs(spark, f"{self.path}/_manifest-{state}")[1]
         stream = fs.create(draft, False)
@@ -192,12 +204,12 @@ class LakeTable:
         states = self._states(spark)
         used = [f for state in states[-keep:] for f in self._folders(spark, state)]
         used_paths = {self._folder(f) for f in used}
-        last_version = max((version for version, _ in used), default=0)
+        newest = states[-1] if states else 0
         unused = [self._fs(spark, f"{self.path}/_manifest-{state}")[1] for state in states[:-keep]]
         for place in self._list(spark, "/".join([f"{VERSION}=*", *["*=*"] * len(self.partition_by)])):
             tail = "/".join(place.toString().split("/")[-1 - len(self.partition_by):])
-            version = int(tail.split("/")[0].split("=")[1])
-            if version < last_version and f"{self.path}/{tail}" not in used_paths:
+            made_for = int(tail.split("/")[0].split("=")[1].split("-")[0])
+            if made_for <= newest and f"{self.path}/{tail}" not in used_paths:
                 unused.append(place)
         for place in unused:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

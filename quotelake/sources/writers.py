@@ -6,10 +6,10 @@ task per hot value comes out."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from quotelake.operators.windows import with_group_stats
+from pyspark.sql import types as T
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -25,25 +25,30 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], cluster_by:
     spread.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
-def json_documents(df: DataFrame, group: str, row_id: list[str], rows_per_document: int = 100_000) -> DataFrame:
-    """`(group, value)` rows, `value` being a JSON array of the group's records.
+def json_documents(df: DataFrame, group: str, row_id: list[str]) -> DataFrame:
+    """`(group, value)` rows, `value` being a JSON array of records of the group.
+
+    The records are sorted by group and `row_id`, a unique key, and every task writes its
+    run of them as it comes: a document holds the records of one group in one Arrow
+    batch. A group of any size is treated alike, and no task holds more than a batch.
+    """
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_record")
+    lines = df.select(F.col(group), *[F.col(c).alias(f"_id{i}") for i, c in enumerate(row_id)], record)
+    lines = lines.orderBy(group, *[f"_id{i}" for i in range(len(row_id))]).select(F.col(group).cast("string"), "_record")
+
+    def arrays(batches):
+        for batch in batches:
+            groups, records = (column.to_pylist() for column in batch.columns)
+            starts = [i for i in range(len(groups)) if i == 0 or groups[i] != groups[i - 1]]
+            values = [f"[{','.join(records[a:b])}]" for a, b in zip(starts, [*starts[1:], len(groups)], strict=True)]
+            yield pa.record_batch([pa.array([groups[a] for a in starts], pa.string()), pa.array(values, pa.string())], [group, "value"])
 
-    A group larger than `rows_per_document` is spread over several documents by the
-    hash of `row_id`, a unique key, so no task ever builds the array of a whole hot group."""
-    sized = with_group_stats(df, [group], {"_rows": F.count("*")})
-    documents = F.ceil(F.col("_rows") / F.lit(rows_per_document))
-    numbered = sized.withColumn("_document", F.pmod(F.xxhash64(*row_id), documents))
-    record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return (
-        numbered.groupBy(group, "_document")
-        .agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value"))
-        .select(group, "value")
-    )
+    schema = T.StructType([T.StructField(group, T.StringType()), T.StructField("value", T.StringType())])
+    documents = lines.mapInArrow(arrays, schema)
+    return documents.select(F.col(group).cast(df.schema[group].dataType).alias(group), "value")
 
 
-def write_json_documents(
-    df: DataFrame, path: str, group: str, row_id: list[str], rows_per_document: int = 100_000
-) -> None:
+def write_json_documents(df: DataFrame, path: str, group: str, row_id: list[str]) -> None:
     """JSON array documents below one folder per group, one document per file."""
-    documents = json_documents(df, group, row_id, rows_per_document)
+    documents = json_documents(df, group, row_id)
     documents.write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(group).text(path)

@@ -1,18 +1,20 @@
 """Entities kept up to date from raw files as they arrive.
 
-Each run picks up the files that came since the last one and merges their rows into
-the entities of the feed. A run that dies and repeats a batch merges the same rows
-again, which changes nothing."""
+Each run picks up all files that came since the last one, shapes them together, and
+merges their rows into the entities of the feed: one batch, however many files and
+sibling folders the rows are spread over. A run that dies and repeats its batch merges
+the same rows again, which changes nothing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.operators.filters import select_posts
-from quotelake.operators.projection import add_constants
 from quotelake.plans.entities import ENTITIES
-from quotelake.plans.feeds import FEEDS, FeedSpec
+from quotelake.plans.feeds import FEEDS, FeedSpec, _has_files
+from quotelake.session import fresh_path, remove_path
 
 
 def entities_of(feed: str) -> list[str]:
@@ -31,43 +33,56 @@ def merge_new_files(
     lake_dir: str,
     checkpoint_dir: str,
     universe: DataFrame | None = None,
-    files_per_batch: int = 1000,
-) -> list[StreamingQuery]:
-    """One `availableNow` query per sibling folder of the feed; they run one after the
-    other, since they update the same entities."""
+) -> StreamingQuery | None:
+    """One finished `availableNow` query over all sibling folders of the feed; None if
+    a feed that shows its columns by its files has none yet."""
     spec = FEEDS[feed]
     if spec.needs_universe and universe is None:
         raise ValueError(f"feed {feed} needs the ticker universe")
-    finished = []
-    for folder, constants in spec.parts.items():
-        path = "/".join(p for p in (raw_dir, spec.name, folder) if p)
+    source = _read_stream(spark, spec, raw_dir)
+    if source is None:
+        return None
 
-        def merge(batch: DataFrame, _: int, constants=constants) -> None:
-            rows = add_constants(batch, constants)
-            if spec.needs_universe:
-                rows = select_posts(rows, universe, "full_text", lang=("metadata.iso_language_code", "en"))
-            shaped = spec.shape(rows, spec.schema)
-            for name in entities_of(feed):
-                entity = ENTITIES[name]
-                entity.table(lake_dir).update(batch.sparkSession, entity.build({feed: shaped}), entity.merge)
+    def merge(batch: DataFrame, _: int) -> None:
+        rows = batch
+        if spec.needs_universe:
+            rows = select_posts(rows, universe, "full_text", lang=("metadata.iso_language_code", "en"))
+        # Written once, since several entities and several steps of each merge read it.
+        session, path = batch.sparkSession, fresh_path(batch.sparkSession, f"shaped-{feed}")
+        spec.shape(rows, spec.schema).write.parquet(path)
+        shaped = session.read.schema(spec.schema).parquet(path)
+        for name in entities_of(feed):
+            entity = ENTITIES[name]
+            entity.table(lake_dir).update(session, entity.build({feed: shaped}), entity.merge)
+        remove_path(session, path)
 
-        query = (
-            _read_stream(spark, spec, path, files_per_batch)
-            .writeStream.foreachBatch(merge)
-            .option("checkpointLocation", f"{checkpoint_dir}/{feed}/{folder or 'all'}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        finished.append(query)
-    return finished
+    query = (
+        source.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", f"{checkpoint_dir}/{feed}")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
 
 
-def _read_stream(spark: SparkSession, spec: FeedSpec, path: str, files_per_batch: int) -> DataFrame:
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+def _read_stream(spark: SparkSession, spec: FeedSpec, raw_dir: str) -> DataFrame | None:
+    """The raw rows of all sibling folders with their constants, without a limit on files."""
+    folders = [f for f in spec.parts if f]
+    path = f"{raw_dir}/{spec.name}" + (f"/{{{','.join(folders)}}}" if folders else "")
     if spec.raw is None:
-        columns = spark.read.option("mergeSchema", True).parquet(path).schema
-        return reader.schema(columns).parquet(path)
-    if spec.raw == "value string":
-        return reader.text(path)
-    return reader.schema(spec.raw).option("multiLine", spec.documents).json(path)
+        found = [f"{raw_dir}/{spec.name}/{f}" for f in folders if _has_files(spark, f"{raw_dir}/{spec.name}/{f}")]
+        if not found:
+            return None
+        columns = spark.read.option("mergeSchema", True).parquet(*found).schema
+        rows = spark.readStream.schema(columns).parquet(path)
+    elif spec.raw == "value string":
+        rows = spark.readStream.text(path)
+    else:
+        rows = spark.readStream.schema(spec.raw).option("multiLine", spec.documents).json(path)
+    folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+    constants = {}
+    for name, values in spec.parts.items():
+        for column, value in values.items():
+            constants[column] = F.when(folder == name, F.lit(value)).otherwise(constants.get(column, F.lit(None)))
+    return rows.withColumns(constants)

@@ -63,6 +63,8 @@ def test_times(spark):
     assert one(spark, "t timestamp_ntz", (at,), day_text("t")) == "2022-12-25"
     assert one(spark, "t timestamp_ntz", (at,), second_text("t")) == "2022-12-25 09:08:07"
     assert one(spark, "t string", ("2022-12-25T23:30:00-05:00",), second_text("t")) == "2022-12-25 23:30:00"
+    assert one(spark, "t string", ("Tue Oct 10 20:19:24 +0000 2018",), second_text("t")) is None
+    assert one(spark, "t string", ("garbage text that is long",), second_text("t")) is None
     assert one(spark, "t string", ("2022-12-25 23:30:00-05:00",), day_text("t")) == "2022-12-25"
     assert one(spark, "t string", ("garbage",), day_text("t")) is None
     assert one(spark, "t string", ("2022-12-25 09:08:07",), text_to_day("t")) == "2022-12-25"

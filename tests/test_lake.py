@@ -102,8 +102,11 @@ def test_bars(lake):
 
 def test_price_filters_reach_the_folders_and_the_scan(lake):
     plan = lake.bars_since("MMM", "1h", "2022-12-25")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(interval" in plan
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "(month#" in filters and ">= 2022-12" in filters and "(interval#" in filters and "= 1h" in filters
     assert "EqualTo(ticker,MMM)" in plan
+    posts = lake.posts_per_day("MMM")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(id_range" in posts
 
 
 def test_analyses(lake):
@@ -192,6 +195,61 @@ def test_staging_the_first_symbols_only(spark, tmp_path):
     assert len(found("markets_indexes", "market")) == 4
 
 
+def test_files_and_folders_do_not_change_what_is_merged(spark, tmp_path):
+    """The rows of every feed in one file and in many give the tables of a whole build."""
+    write_raw(f"{tmp_path}/raw")
+    whole = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
+    whole.stage()
+    whole.build()
+    spread = Lake(spark, f"{tmp_path}/many", f"{tmp_path}/none", f"{tmp_path}/merged")
+    scatter(f"{tmp_path}/raw", f"{tmp_path}/many")
+    for feed, spec in FEEDS.items():
+        universe = whole.universe() if spec.needs_universe else None
+        merge_new_files(spark, feed, spread.raw_dir, spread.lake_dir, f"{tmp_path}/checkpoint", universe)
+        for entity in entities_of(feed):
+            if not ENTITIES[entity].any_source:
+                assert rows(spread.table(entity)) == rows(whole.table(entity)), entity
+    assert rows(spread.table("financial_report_dim")) == rows(whole.table("financial_report_dim"))
+
+
+def scatter(source, target):
+    """Copies raw files line by line, and arrays element by element, into files of one record each."""
+    import json
+    import os
+    import shutil
+
+    for folder, _, names in os.walk(source):
+        there = folder.replace(source, target, 1)
+        os.makedirs(there, exist_ok=True)
+        for name in names:
+            path = os.path.join(folder, name)
+            if not name.endswith((".json", ".jsonl", ".txt")):
+                shutil.copy(path, there)
+                continue
+            text = open(path).read()
+            parts = [json.dumps([r]) for r in json.loads(text)] if text.startswith("[") else text.splitlines()
+            for i, part in enumerate(parts):
+                with open(os.path.join(there, f"{i}-{name}"), "w") as out:
+                    out.write(part + "\n")
+
+
+def test_counters_of_a_user_in_two_files(spark, tmp_path):
+    import json
+    import os
+
+    raw = f"{tmp_path}/raw"
+    os.makedirs(f"{raw}/tweets")
+    old = post(1, "a #MMM", ["MMM"], user=5, name="Old", followers=99, created="2022-12-25 10:00:00")
+    new = post(2, "b #MMM", ["MMM"], user=5, name="Ann", followers=3, created="2022-12-26 10:00:00")
+    for name, record in (("a", new), ("b", old)):
+        with open(f"{raw}/tweets/{name}.json", "w") as out:
+            json.dump([record], out)
+    universe = spark.createDataFrame([("MMM",)], "Symbol string")
+    merge_new_files(spark, "tweets", raw, f"{tmp_path}/lake", f"{tmp_path}/checkpoint", universe)
+    made = Lake(spark, raw, f"{tmp_path}/staging", f"{tmp_path}/lake")
+    assert [(u["user_name"], u["user_followers_count"]) for u in made.table("user_id_dim").collect()] == [("Ann", 99)]
+
+
 def test_empty_feed_fails_the_check(spark, tmp_path):
     write_raw(f"{tmp_path}/raw", actions=False)
     made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
