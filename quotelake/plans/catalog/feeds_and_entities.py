@@ -13,7 +13,9 @@ from quotelake.operators.filters import select_posts
 from quotelake.plans.catalog.columns import FLAT_POSTS_SQL, posts_from_events
 from quotelake.plans.catalog.registry import Tables, query
 from quotelake.plans.entities import ENTITIES
-from quotelake.plans.feeds import FEEDS
+from quotelake.plans.feeds import FEEDS, read_feed, report_rows
+from quotelake.session import fresh_path
+from quotelake.sources.writers import write_json_documents
 
 # -- shared bits -----------------------------------------------------------------
 
@@ -92,7 +94,7 @@ def _raw_major_holders(t: Tables) -> DataFrame:
     kind = F.col("event_type")
     return t.events.select(
         _customer_name("user_id").alias("symbol"),
-        F.when(kind == "signup", F.col("event_id").cast("string"))
+        F.when(kind == "signup", F.concat(F.col("event_id").cast("string"), F.lit(".0")))
         .otherwise(F.concat(_money("value"), F.lit("%")))
         .alias("value"),
         F.when(kind == "click", F.lit(insider))
@@ -253,11 +255,15 @@ def _raw_prices(t: Tables) -> DataFrame:
     )
 
 
-def _raw_posts(t: Tables) -> DataFrame:
-    """Posts tagged with their event type; the universe lacks one of the types."""
+def _tagged_posts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Posts tagged with their event type, and a universe that lacks one of the types."""
     posts = posts_from_events(t)
     tagged = posts.withColumn("full_text", F.concat(F.lit("#"), "ticker", F.lit(" "), "full_text")).drop("ticker")
-    universe = t.events.where("event_type <> 'error'").select(F.col("event_type").alias("Symbol"))
+    return tagged, t.events.where("event_type <> 'error'").select(F.col("event_type").alias("Symbol"))
+
+
+def _raw_posts(t: Tables) -> DataFrame:
+    tagged, universe = _tagged_posts(t)
     return select_posts(tagged, universe, "full_text", lang=("metadata.iso_language_code", "en"))
 
 
@@ -296,12 +302,12 @@ def _statement_sql(feed: str) -> str:
 
 
 def _major_holders_sql() -> str:
-    percent = "try_cast(trim(max(cast(cast(value as decimal(20,2)) as varchar) || '%') filter (event_type = '{}'), '%') as decimal(20,2))"
+    percent = "max(cast(value as decimal(20,2))) filter (event_type = '{}')"
     names = list(S.MAJOR_HOLDER_LABELS.values())
     expressions = {
         "symbol": _customer_name_sql("user_id"),
         **{n: percent.format(e) for n, e in zip(names, ["click", "view", "purchase"])},
-        names[3]: "max(cast(event_id as varchar)) filter (event_type = 'signup')",
+        names[3]: "max(event_id) filter (event_type = 'signup')",
     }
     return f"""select {_null_filled(S.STAGING["tickers_major_holders"], expressions)}
                from events where event_type <> 'error' group by user_id"""
@@ -424,6 +430,33 @@ for _feed in FEEDS:
     _register_feed(_feed)
 
 
+# -- feeds through raw files ---------------------------------------------------------
+
+
+@query(
+    "feed_files_statement",
+    f"""select * from ({STAGED_SQL["tickers_cashflow"]})
+        where symbol in (select c_name from customer where c_custkey % 2 = 0)""",
+)
+def feed_files_statement(t: Tables) -> DataFrame:
+    """Statement lines in the sibling folders of the raw files, read for half of the symbols."""
+    feed, base = FEEDS["tickers_cashflow"], fresh_path(t.spark, "raw")
+    lines = RAW[feed.name](t)
+    for folder, constants in feed.parts.items():
+        lines.where(F.col("period") == constants["period"]).select("value").write.text(f"{base}/{feed.name}/{folder}")
+    universe = t.customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("Symbol"))
+    return read_feed(t.spark, feed, base, universe)
+
+
+@query("feed_files_posts", f"select {SHOWN_SQL['tweets']} from ({STAGED_SQL['tweets']})")
+def feed_files_posts(t: Tables) -> DataFrame:
+    """Posts as files of JSON arrays, filtered by language, retweets and universe on reading."""
+    feed, base = FEEDS["tweets"], fresh_path(t.spark, "raw")
+    posts, universe = _tagged_posts(t)
+    write_json_documents(posts, f"{base}/{feed.name}", "source", ["id"])
+    return _shown(read_feed(t.spark, feed, base, universe))
+
+
 # -- entity queries ------------------------------------------------------------------
 
 _MARKETS = """(select abbreviation || '_market' as market, market as country, unnest("index") as i from markets_indexes)"""
@@ -501,7 +534,9 @@ def _register_entity(name: str) -> None:
     spec = ENTITIES[name]
 
     def plan(t: Tables) -> DataFrame:
-        built = spec.merge(None, spec.build({f: staged(t, f) for f in spec.sources}))
+        # The shared dimension only needs the keys of its feeds.
+        rows = (lambda f: report_rows(FEEDS[f], RAW[f](t))) if name == "financial_report_dim" else (lambda f: staged(t, f))
+        built = spec.merge(None, spec.build({f: rows(f) for f in spec.sources}))
         # The id is a hash that no other engine computes; its tests are elsewhere.
         return built.select(*spec.schema.fieldNames()).drop("hashtag_id")
 

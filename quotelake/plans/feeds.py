@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,40 +79,35 @@ def _as_is(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return conform(raw, schema)
 
 
-def _flat(overrides: dict[str, str] | None = None, days: tuple[str, ...] = ()) -> Shape:
-    """Snake-case the names, cut timestamps in `days` to their day, type the rest."""
+def _flat(overrides: dict[str, str] | None = None, days: tuple[str, ...] = (), times: tuple[str, ...] = ()) -> Shape:
+    """Snake-case the names, cut timestamps in `days` to their day, take those in `times` as
+    written without their zone, type the rest."""
 
     def shape(raw: DataFrame, schema: T.StructType) -> DataFrame:
         named = snake_case_columns(raw, overrides)
-        return type_text(named.withColumns({c: day_text(c) for c in days}), schema)
+        read = {**{c: day_text(c) for c in days}, **{c: second_text(c) for c in times}}
+        return type_text(named.withColumns(read), schema)
 
     return shape
 
 
-def _info(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    return type_text(raw, schema)
-
-
 def _earnings(raw: DataFrame, schema: T.StructType) -> DataFrame:
     named = snake_case_columns(raw)
     return type_text(named.withColumn("period_detail", F.coalesce("year", "quarter")), schema)
 
 
 def _major_holders(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    # Numbers before the pivot: maxima of texts would sort every row, and compare wrongly.
     labelled = nonempty_payload(raw, "value", "label")
-    wide = pivot_labels(labelled, ["symbol"], "label", "value", list(S.MAJOR_HOLDER_LABELS))
-    return wide.select(
-        "symbol",
-        *[
-            parse_percent(F.col(f"`{label}`"), schema[name].dataType.simpleString()).alias(name)
-            for label, name in S.MAJOR_HOLDER_LABELS.items()
-        ],
-    )
+    typed = labelled.withColumn("value", parse_percent("value", "decimal(38,6)"))
+    wide = pivot_labels(typed, ["symbol"], "label", "value", list(S.MAJOR_HOLDER_LABELS))
 
+    def value(label: str, kind: T.DataType) -> Column:
+        found = F.col(f"`{label}`")
+        whole = F.when(found == F.floor(found), found) if isinstance(kind, T.IntegralType) else found
+        return whole.try_cast(kind)
 
-def _actions(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    named = snake_case_columns(raw)
-    return type_text(named, schema)
+    return wide.select("symbol", *[value(label, schema[n].dataType).alias(n) for label, n in S.MAJOR_HOLDER_LABELS.items()])
 
 
 def _statement(labels: dict[str, str] | None = None) -> Shape:
@@ -123,23 +118,36 @@ def _statement(labels: dict[str, str] | None = None) -> Shape:
 
     def shape(raw: DataFrame, schema: T.StructType) -> DataFrame:
         wanted = [f.name for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
-        others = [c for c in raw.columns if c != "value"]
-        ids = raw.select(*others, "value", F.json_tuple("value", "symbol", "metric").alias("symbol", "metric"))
-        # The parsed map goes straight into the explode: kept as a column, Spark would
-        # parse the line again for each filter it derives from it.
-        entries = ids.select("symbol", "period", "metric", F.explode(F.from_json("value", "map<string,string>")))
         key = F.lower(F.regexp_replace(F.trim("metric"), "[^0-9A-Za-z]+", "_"))
-        for raw_key, name in renamed.items():
-            key = F.when(key == raw_key, F.lit(name)).otherwise(key)
-        rows = not_null(entries, "symbol").where(F.col("key").rlike(r"^\d{4}-\d{2}-\d{2}"))
-        typed = rows.select(
-            "symbol", "period", day_text("key").alias("date"), key.alias("metric"), to_number("value", S.D20).alias("value")
+        if renamed:
+            names = F.create_map(*[F.lit(x) for pair in renamed.items() for x in pair])
+            key = F.coalesce(names[key], key)
+        typed = _statement_entries(raw).select(
+            "symbol", "period", "date", key.alias("metric"), to_number("value", S.D20).alias("value")
         )
         return conform(pivot_labels(typed, ["symbol", "period", "date"], "metric", "value", wanted), schema)
 
     return shape
 
 
+def _statement_entries(raw: DataFrame) -> DataFrame:
+    """`symbol, period, metric, date, value`, one row per dated entry of a statement line."""
+    others = [c for c in raw.columns if c != "value"]
+    ids = raw.select(*others, "value", F.json_tuple("value", "symbol", "metric").alias("symbol", "metric"))
+    # The parsed map goes straight into the explode: kept as a column, Spark would
+    # parse the line again for each filter it derives from it.
+    entries = ids.select("symbol", "period", "metric", F.explode(F.from_json("value", "map<string,string>")))
+    dated = not_null(entries, "symbol").where(F.col("key").rlike(r"^\d{4}-\d{2}-\d{2}"))
+    return dated.withColumn("date", day_text("key")).drop("key")
+
+
+def report_rows(feed: FeedSpec, raw: DataFrame) -> DataFrame:
+    """The keys of a report feed, repeated, without its values: statements are not pivoted."""
+    if feed.raw == "value string":
+        return _statement_entries(raw).select("symbol", "period", "date")
+    return feed.shape(raw, feed.schema)
+
+
 def _label_key(label: str) -> str:
     return label.strip().lower().replace(" ", "_")
 
@@ -160,7 +168,7 @@ FEEDS: dict[str, FeedSpec] = {
     for f in [
         FeedSpec("markets_indexes", S.MARKETS_RAW, _as_is),
         FeedSpec("tickers_exchanges", S.EXCHANGES_RAW, _as_is, partition_by=("market",)),
-        FeedSpec("tickers_info", _text(S.INFO_COLUMNS), _info),
+        FeedSpec("tickers_info", _text(S.INFO_COLUMNS), type_text),
         FeedSpec("tickers_isin", _text("isin symbol"), _flat()),
         FeedSpec("tickers_major_holders", S.MAJOR_HOLDERS_RAW, _major_holders),
         FeedSpec("tickers_holders", _text(HOLDERS_RAW), _flat(S.HOLDERS_LABELS, ("date_reported",)), S.HOLDER_TYPES),
@@ -171,7 +179,7 @@ FEEDS: dict[str, FeedSpec] = {
         FeedSpec("tickers_financials", "value string", _statement(), S.YEAR_AND_QUARTER),
         FeedSpec("tickers_earnings", _text(EARNINGS_RAW), _earnings, S.YEAR_AND_QUARTER),
         FeedSpec("tickers_eps", _text(EPS_RAW), _flat(S.EPS_LABELS, ("earnings_date",))),
-        FeedSpec("tickers_actions", _text(ACTIONS_RAW), _actions),
+        FeedSpec("tickers_actions", _text(ACTIONS_RAW), _flat(times=("date",))),
         FeedSpec("tickers_news", _text(NEWS_RAW), _flat()),
         FeedSpec("tickers_recommendations", _text(RECOMMENDATIONS_RAW), _flat(days=("date",))),
         FeedSpec("tickers_shares", _text(SHARES_RAW), _flat()),
