@@ -7,10 +7,12 @@ corpus (a bounded run of documents) a word crosses the network once, however oft
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +22,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from quotelake.llm.shared import text_runs
+
 # Fixed value: where byte-level vocabularies split a text before any merge.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+# The same for texts of plain ASCII and accented Latin letters, where the faster engine agrees.
+SIMPLE_WORDS = re.compile(
+    r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+"
+    r"| ?[^\sA-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|\s+(?!\S)|\s+"
+)
+BEYOND_SIMPLE = re.compile(r"[^\t\n\r\x20-\x7e\u00c0-\u024f]")
 BEYOND_LATIN = regex.compile(r"[^\x00-\u024f]")
 
-WORD_SCHEMA = "part bigint, slot int, word string"
-BLOCK_SCHEMA = "part bigint, words int, doc_id bigint, codes binary"
+WORD_SCHEMA = "part bigint, bucket int, slots binary, lengths binary, words binary"
+WORD_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+CODE_SCHEMA = "part bigint, words int, doc_ids array<bigint>, sizes array<int>, codes binary"
+ID_SCHEMA = "part bigint, slots binary, counts binary, ids binary"
 TOKEN_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
 
+ROW_CHARS = 1 << 20  # characters of the documents that share a row
+CODEC = pa.Codec("zstd", compression_level=3)
+SAME_ORDER = "are the documents read in the same order each time?"
+
 
 @lru_cache(maxsize=2)
 def _tokenizer(vocabulary: str) -> Tokenizer:
@@ -76,6 +92,8 @@ def _unsettled():
 
 
 def _plain_words(text: str, tokenizer: Tokenizer) -> list[str]:
+    if not BEYOND_SIMPLE.search(text):
+        return SIMPLE_WORDS.findall(text)
     if BEYOND_LATIN.search(text) and _unsettled().search(text):
         return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
     return WORDS.findall(text)
@@ -116,75 +134,137 @@ def _parts(batches: Iterator[pa.RecordBatch], part_chars: int):
         yield number, ids, texts
 
 
-def _split(docs: DataFrame, vocabulary, part_chars: int, want: str) -> DataFrame:
-    """want="words": each part's distinct words, numbered. want="codes": its documents as word numbers."""
+def _pack(numbers: np.ndarray) -> bytes:
+    """32-bit integers, compressed; bytes of one weight stand together, as the high ones are mostly zero."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(numbers).to_bytes(4, "little") + CODEC.compress(planes, asbytes=True)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:4], "little")
+    planes = np.frombuffer(CODEC.decompress(packed[4:], 4 * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+
+
+def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
+    raw = [w.encode() for w in words]
+    text = b"".join(raw)
+    return _pack(np.fromiter(map(len, raw), np.int64, len(raw))), len(text).to_bytes(4, "little") + CODEC.compress(text, asbytes=True)
+
+
+def _unpack_words(lengths: bytes, text: bytes) -> list[str]:
+    raw = CODEC.decompress(text[4:], int.from_bytes(text[:4], "little"), asbytes=True)
+    ends = np.cumsum(_unpack(lengths).astype(np.int64)).tolist()
+    return [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _distinct(texts: list[str], vocabulary: str) -> dict[str, int]:
+    """The distinct words of `texts`, numbered as they first come."""
+    found: dict[str, int] = {}
+    for text in texts:
+        found.update(dict.fromkeys(split_words(text, vocabulary)))
+    return dict(zip(found, range(len(found)), strict=True))
+
+
+def _numbered(texts: list[str], vocabulary: str) -> tuple[dict[str, int], list[np.ndarray]]:
+    """The same, and each text as word numbers."""
+    slots: dict[str, int] = defaultdict()
+    slots.default_factory = slots.__len__
+    return slots, [np.fromiter(map(slots.__getitem__, split_words(t, vocabulary)), np.uint32) for t in texts]
+
+
+def _part_words(vocabulary, part_chars: int, buckets: int):
+    """The distinct words of each part, dealt into buckets by their hash."""
 
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=3)
-        for number, ids, texts in _parts(batches, part_chars):
-            slots: dict[str, int] = defaultdict()
-            slots.default_factory = slots.__len__
-            codes = [np.fromiter(map(slots.__getitem__, split_words(t, vocabulary.value)), np.uint32) for t in texts]
-            if want == "words":
-                for i in range(0, len(slots), 100_000):
-                    words = list(slots)[i : i + 100_000]
-                    yield pa.record_batch([
-                        pa.array([number] * len(words), pa.int64()),
-                        pa.array(range(i, i + len(words)), pa.int32()),
-                        pa.array(words, pa.string()),
-                    ], ["part", "slot", "word"])
-                continue
-            # The bytes of each size together: the high ones are mostly zero.
-            packed = [
-                codec.compress(np.ascontiguousarray(c.view(np.uint8).reshape(-1, 4).T).tobytes(), asbytes=True) if len(c) else b""
-                for c in codes
-            ]
-            packed = [len(c).to_bytes(4, "little") + p for c, p in zip(codes, packed, strict=True)]
-            for i in range(0, len(ids), 5_000):
-                yield pa.record_batch([
-                    pa.array([number] * len(ids[i : i + 5_000]), pa.int64()),
-                    pa.array([len(slots)] * len(ids[i : i + 5_000]), pa.int32()),
-                    pa.array(ids[i : i + 5_000], pa.int64()),
-                    pa.array(packed[i : i + 5_000], pa.binary()),
-                ], ["part", "words", "doc_id", "codes"])
+        for number, _, texts in _parts(batches, part_chars):
+            words = list(_distinct(texts, vocabulary.value))
+            bucket = np.fromiter((crc32(w.encode()) for w in words), np.int64, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            rows = []
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+                rows.append((number, int(bucket[own[0]]), _pack(own), *_pack_words([words[i] for i in own])))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), WORD_TYPES, strict=True)],
+                    ["part", "bucket", "slots", "lengths", "words"],
+                )
 
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, WORD_SCHEMA if want == "words" else BLOCK_SCHEMA)
+    return run
 
 
-def word_table(words: DataFrame, vocabulary) -> DataFrame:
-    """`word, ids` for each distinct `word`; ids are little-endian unsigned 32-bit integers."""
+def _part_codes(vocabulary, part_chars: int):
+    """The documents of each part as the numbers of their words, some documents in a row."""
 
     def run(batches):
-        tokenizer = _tokenizer(vocabulary.value)
-        for batch in batches:
-            encoded = tokenizer.encode_batch_fast(batch.column(0).to_pylist(), add_special_tokens=False)
-            ids = [np.array(e.ids, "<u4").tobytes() for e in encoded]
-            yield pa.record_batch([batch.column(0).cast(pa.string()), pa.array(ids, pa.binary())], ["word", "ids"])
+        for number, ids, texts in _parts(batches, part_chars):
+            slots, codes = _numbered(texts, vocabulary.value)
+            for own in text_runs(texts, ROW_CHARS):
+                sizes = list(map(len, codes[own]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number], pa.int64()), pa.array([len(slots)], pa.int32()),
+                    pa.array([ids[own]], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([_pack(np.concatenate(codes[own]))], pa.binary()),
+                ], ["part", "words", "doc_ids", "sizes", "codes"])
 
-    return words.select("word").distinct().mapInArrow(run, "word string, ids binary")
+    return run
+
+
+def _encode_bucket(vocabulary):
+    """One bucket of the word table: each distinct word is encoded once, for all parts that hold it."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        held = [_unpack_words(a, b) for a, b in zip(rows["lengths"].to_pylist(), rows["words"].to_pylist(), strict=True)]
+        table = {w: i for i, w in enumerate(dict.fromkeys(w for words in held for w in words))}
+        encoded = _tokenizer(vocabulary.value).encode_batch_fast(list(table), add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        starts = np.cumsum([0, *map(len, ids)])
+        flat = np.fromiter((i for own in ids for i in own), np.int64, starts[-1])
+        counts, found = [], []
+        for words in held:
+            at, lengths = _gather(starts, np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
+            counts.append(_pack(lengths))
+            found.append(_pack(flat[at]))
+        return pa.table(
+            [rows["part"], rows["slots"], pa.array(counts, pa.binary()), pa.array(found, pa.binary())],
+            ["part", "slots", "counts", "ids"],
+        )
+
+    return run
 
 
 def _join_back(vocabulary):
     """One part: the ids of each document from those of its words, and its text from the ids."""
 
-    def run(key, blocks: pa.Table, words: pa.Table):
+    def run(rows: pa.Table, words: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            raise RuntimeError(f"words without documents; {SAME_ORDER}")
         piece_bytes, piece_starts = _pieces(vocabulary.value)
-        count = blocks.column("words")[0].as_py() if blocks.num_rows else 0
-        if words.num_rows != count:
-            raise RuntimeError(f"part {key[0].as_py()} has {count} words and found {words.num_rows}; are its documents read in the same order each time?")
-        words = words.sort_by("slot")
-        found = words.column("ids").to_pylist()
-        ids = np.frombuffer(b"".join(found), "<u4")
-        starts = np.cumsum([0, *(len(x) // 4 for x in found)])
-        codec, doc_ids, out, texts = pa.Codec("zstd"), blocks.column("doc_id").to_pylist(), [], []
-        for packed in blocks.column("codes").to_pylist():
-            n = int.from_bytes(packed[:4], "little")
-            planes = codec.decompress(packed[4:], 4 * n, asbytes=True) if n else b""
-            codes = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").ravel()
-            own = ids[_gather(starts, codes.astype(np.int64))[0]]
-            out.append(own.tobytes())
-            texts.append(piece_bytes[_gather(piece_starts, own.astype(np.int64))[0]].tobytes().decode("utf-8", "replace"))
+        slots, counts, ids = (
+            np.concatenate([np.zeros(0, np.int64), *(_unpack(x).astype(np.int64) for x in words[c].to_pylist())])
+            for c in ("slots", "counts", "ids")
+        )
+        if len(slots) != rows["words"][0].as_py():
+            raise RuntimeError(f"{rows['words'][0].as_py()} words expected, {len(slots)} found; {SAME_ORDER}")
+        # From the order of the buckets to that of the slots.
+        ends = np.cumsum(counts)
+        place = np.empty(len(slots), np.int64)
+        place[slots] = np.arange(len(slots))
+        starts = np.concatenate([[0], ends])
+        at, counts = _gather(starts, place)
+        ids, starts = ids[at], np.concatenate([[0], np.cumsum(counts)])
+        doc_ids, out, texts = [], [], []
+        for own_ids, sizes, packed in zip(*(rows[c].to_pylist() for c in ("doc_ids", "sizes", "codes")), strict=True):
+            at, lengths = _gather(starts, _unpack(packed).astype(np.int64))
+            tokens = ids[at]
+            spelled, widths = _gather(piece_starts, tokens)
+            text = piece_bytes[spelled].tobytes()
+            word_ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *sizes])]
+            byte_ends = np.concatenate([[0], np.cumsum(widths)])[word_ends]
+            raw = tokens.astype("<u4").tobytes()
+            doc_ids += own_ids
+            out += [raw[4 * a : 4 * b] for a, b in zip(word_ends[:-1], word_ends[1:], strict=True)]
+            texts += [text[a:b].decode("utf-8", "replace") for a, b in zip(byte_ends[:-1], byte_ends[1:], strict=True)]
         return pa.table([
             pa.array(doc_ids, pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()),
             pa.array(out, pa.binary()), pa.array(texts, pa.string()),
@@ -193,21 +273,25 @@ def _join_back(vocabulary):
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 25) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 25, buckets: int | None = None) -> DataFrame:
     """`doc_id, n_tokens, ids, decoded` for every row of `docs` (`doc_id, text`).
 
     `ids` are what the tokenizers library gives for the whole text without adding special tokens, as
     little-endian unsigned 32-bit integers; `decoded` is the text that the ids stand for. Rows
     stay apart when they repeat or share an id; a null text counts as empty and an empty one has no
     ids. Other columns are not read. `part_chars` bounds what one task holds (a longer document is a
-    part of its own). The vocabulary is read by the driver; it must be byte-level BPE.
+    part of its own); the word table has `buckets` buckets, by default four for each shuffle
+    partition. The vocabulary is read by the driver; it must be byte-level BPE.
 
     The documents are read twice, and each part must come out the same both times, as it does from a
     stored table; write other plans to a table first. A mismatch ends the job with an error.
     """
+    spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as f:
-        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
-    words = _split(docs, vocabulary, part_chars, "words")
-    blocks = _split(docs, vocabulary, part_chars, "codes")
-    placed = words.join(word_table(words, vocabulary), "word").select("part", "slot", "ids")
-    return blocks.groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(_join_back(vocabulary), TOKEN_SCHEMA)
+        vocabulary = spark.sparkContext.broadcast(f.read())
+    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    words = source.mapInArrow(_part_words(vocabulary, part_chars, buckets), WORD_SCHEMA)
+    ids = words.groupBy("bucket").applyInArrow(_encode_bucket(vocabulary), ID_SCHEMA)
+    codes = source.mapInArrow(_part_codes(vocabulary, part_chars), CODE_SCHEMA)
+    return codes.groupBy("part").cogroup(ids.groupBy("part")).applyInArrow(_join_back(vocabulary), TOKEN_SCHEMA)
