@@ -64,5 +64,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has written to yet."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path in the shared folder that nothing has written to yet. It lies in a folder of the
+    application, which is deleted when the driver ends."""
+    folder = os.path.join(shared_dir(spark), spark.sparkContext.applicationId)
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
