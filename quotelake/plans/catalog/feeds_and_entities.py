@@ -517,13 +517,48 @@ PROJECTED_SQL = {
 }
 
 
+# The key of each entity, and by which columns the latest row of a key is found. Written out
+# here, so that the SQL does not take them from the objects that it is to check.
+KEYS = {
+    "market_indexes_dim": "index_id market",
+    "markets_dim": "market",
+    "exchanges_dim": "exchange",
+    "location_dim": "zip",
+    "sector_dim": "industry",
+    "tickers_info_dim": "ticker",
+    "news_dim": "uuid",
+    "tickers_news_fact": "uuid ticker",
+    "financial_report_dim": "reporting_id",
+    "tickers_financials_fact": "reporting_id",
+    "tickers_balancesheet_fact": "reporting_id",
+    "tickers_cashflow_fact": "reporting_id",
+    "tickers_earnings_fact": "reporting_id",
+    "tickers_shares_fact": "reporting_id",
+    "tickers_eps_fact": "id",
+    "tickers_actions_fact": "id",
+    "holders_dim": "holder holder_type",
+    "tickers_holders_fact": "ticker holder",
+    "tickers_analysis_fact": "ticker period",
+    "tickers_recommendations_fact": "ticker firm date",
+    "tickers_options_fact": "contract_symbol",
+    "tickers_historical_prices_fact": "ticker date datetime interval",
+    "tweets_dim": "tweet_id",
+    "user_id_dim": "user_id",
+    "hashtags_dim": "tweet_id hashtag",
+    "tickers_tweets_users_fact": "ticker user_id tweet_id",
+}
+FIRST_BY = {
+    "tickers_eps_fact": "earnings_date", "tickers_holders_fact": "date_reported",
+    "tickers_options_fact": "last_trade_date", "tweets_dim": "created_at",
+}
+
+
 def _entity_sql(name: str) -> str:
-    spec = ENTITIES[name]
-    feeds = ", ".join(f"{f} as ({STAGED_SQL[f]})" for f in spec.sources)
+    feeds = ", ".join(f"{f} as ({STAGED_SQL[f]})" for f in ENTITIES[name].sources)
     columns = list(_fields(S.ENTITIES[name]))
-    order = [*spec.order_by, *[c for c in columns if c not in spec.keys and c not in spec.order_by]]
-    ranking = ", ".join(f'"{c}" desc nulls last' for c in order) or "1"
-    keys = ", ".join(f'"{k}"' for k in spec.keys)
+    own, first = KEYS[name].split(), FIRST_BY.get(name, "").split()
+    ranking = ", ".join(f'"{c}" desc nulls last' for c in [*first, *[c for c in columns if c not in (*own, *first)]]) or "1"
+    keys = ", ".join(f'"{k}"' for k in own)
     shown = ", ".join(f'"{c}"' for c in columns if c != "hashtag_id")
     return f"""with {feeds}, projected as ({PROJECTED_SQL[name]})
                select {shown} from projected
