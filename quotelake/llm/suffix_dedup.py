@@ -9,8 +9,10 @@ everywhere, which lets them stand for ranks. To find strings of `length` bytes t
    All windows with one anchor form a stretch. An anchor whose name is unique ends here, and so
    does a stretch that is an exact copy of an earlier one: all of it is removed.
 2. What is left are first stretches whose anchor also stands in a different stretch: the edges of
-   repeated passages. Their windows are sorted by the pair of 64-byte names that covers each; of
-   equal windows all but the first are removed.
+   repeated passages. They are cut into groups of eight windows, counted from the anchor, and sorted
+   again by the pair of names that covers what the eight share: unique ones end, copies go.
+3. The windows of the groups that are still open are sorted by the pair of names that covers each;
+   of equal windows all but the first are removed.
 
 What repeats within one batch of a task is settled there, so that a string that stands in a third of
 all documents reaches the sort once for each batch, and no task has to hold its group.
@@ -29,12 +31,14 @@ from quotelake.llm.grams import U64, mix, salt
 from quotelake.llm.shared import stored
 
 SEED = 32  # bytes of an anchor
+GROUP = 8  # windows that are sorted together in the second step
 RUN_BYTES = 1 << 20
-#: Rows of the first sort: settled (a removed range), an anchor, an anchor known to have several
-#: stretches, and the news of that for the anchor's other rows.
+#: Rows of a sort: settled (a removed range), a stretch, a stretch whose name is known to have
+#: several, and the news of that for the other rows of the name.
 SETTLED, SINGLE, SEVERAL, NEWS = 0, 1, 2, 3
-ANCHOR_SCHEMA = "name bigint, stretch bigint, doc_id bigint, tie int, start int, stop int, kind byte"
-WINDOW_SCHEMA = "name bigint, name_2 bigint, doc_id bigint, tie int, start int, stop int, settled boolean"
+#: `name`; `packed`: the stretch's own name (48 bits), windows less one (7), place of the anchor (7),
+#: kind (2), or for a settled row its length (62) and kind; `place`: tie (32 bits) and start (32).
+ROW_SCHEMA = "name bigint, packed bigint, doc_id bigint, place bigint"
 
 
 def names(data: np.ndarray, upto: int) -> dict[int, np.ndarray]:
@@ -156,7 +160,40 @@ def _first_of_group(columns: tuple[np.ndarray, ...], place: np.ndarray, start: n
     return first
 
 
+def _rows(own: _Batch, length: int, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The rows to sort for stretches (name, own name, row, first window, windows, place of the
+    anchor), after settling what repeats within the batch."""
+    name, whole, row, start, count, anchor = (np.concatenate(c) for c in zip(*found, strict=True))
+    whole = whole >> U64(16)
+    first = _first_of_group((name, whole), own.place[row], start)
+    doc, done_start, done_stop = _merged(row[~first], start[~first], (start + count - 1 + length)[~first])
+    name, whole, row, start, count, anchor = (c[first] for c in (name, whole, row, start, count, anchor))
+    # Names with different stretches: their rows are dealt out by stretch, and one row brings the news.
+    order = np.argsort(name, kind="stable")
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = name[order][1:] != name[order][:-1]
+    heads = np.flatnonzero(fresh)
+    low, high = (f.reduceat(whole[order], heads) if len(order) else whole for f in (np.minimum, np.maximum))
+    several = np.empty(len(order), bool)
+    several[order] = (low != high)[np.cumsum(fresh) - 1]
+    news = order[heads][low != high]
+    kind = np.where(several, SEVERAL, SINGLE)
+    packed = (whole << U64(16)) | ((count - 1) << 9 | anchor << 2 | kind).astype(U64)
+    keys = [mix(doc.astype(U64) * salt(3) + done_start.astype(U64)), np.where(several, mix(name + whole), name), name[news]]
+    rows = np.concatenate([doc, row, row[news]])
+    starts = np.concatenate([done_start, start, np.zeros(len(news), np.int64)])
+    at = pa.array(rows)
+    tie = own.ties.take(at).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = [((done_stop - done_start) << 2).astype(U64), packed, np.full(len(news), NEWS, U64)]
+    return pa.record_batch([
+        pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(values).view(np.int64)),
+        own.doc_ids.take(at), pa.array((tie << 32) | starts),
+    ], ["name", "packed", "doc_id", "place"])
+
+
 def _anchors(length: int):
+    """First step: the stretches of all documents."""
+
     def run(batches):
         for batch in batches:
             own, found = _Batch(*batch.columns), []
@@ -167,83 +204,51 @@ def _anchors(length: int):
                     continue
                 named = names(own.data[base : own.starts[b]], 64)
                 first, last, anchor = stretches(named[32], starts, length)
-                long = named[64]
-                stop = last + length
-                name = named[32][anchor]
+                long, stop = named[64], last + length
                 # Three overlapping names and both lengths stand for the whole stretch.
                 whole = mix(long[first] + salt(1)) + mix(long[first + (stop - first - 64) // 2] + salt(2))
                 whole = mix(whole + mix(long[stop - 64] + ((anchor - first) * 1000 + last - first).astype(U64)))
                 row = np.searchsorted(starts, first, "right") - 1
-                found.append((name, whole, row + a, first - starts[row], stop - starts[row]))
-            if not found:
-                continue
-            name, whole, row, start, stop = (np.concatenate(c) for c in zip(*found, strict=True))
-            place = own.place[row]
-            first = _first_of_group((name, whole), place, start)
-            doc, done_start, done_stop = _merged(row[~first], start[~first], stop[~first])
-            name, whole, row, start, stop = (c[first] for c in (name, whole, row, start, stop))
-            # Anchors with different stretches: their rows are dealt out by stretch.
-            order = np.argsort(name, kind="stable")
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = name[order][1:] != name[order][:-1]
-            group = np.cumsum(fresh) - 1
-            low = np.minimum.reduceat(whole[order], np.flatnonzero(fresh)) if len(order) else whole
-            high = np.maximum.reduceat(whole[order], np.flatnonzero(fresh)) if len(order) else whole
-            several = np.empty(len(order), bool)
-            several[order] = (low != high)[group]
-            news = order[fresh][low != high]
-            kinds = [np.full(len(doc), SETTLED), np.where(several, SEVERAL, SINGLE), np.full(len(news), NEWS)]
-            spread = mix(doc.astype(U64) * salt(3) + done_start.astype(U64))
-            keys = np.concatenate([spread, np.where(several, mix(name + whole), name), name[news]])
-            rows = np.concatenate([doc, row, row[news]])
-            none = np.zeros(len(news), np.int64)
-            yield pa.record_batch([
-                pa.array(keys.view(np.int64)),
-                pa.array(np.concatenate([np.zeros(len(doc), U64), whole, none.view(U64)]).view(np.int64)),
-                *own.columns(rows),
-                pa.array(np.concatenate([done_start, start, none]).astype(np.int32)),
-                pa.array(np.concatenate([done_stop, stop, none]).astype(np.int32)),
-                pa.array(np.concatenate(kinds).astype(np.int8)),
-            ], ["name", "stretch", "doc_id", "tie", "start", "stop", "kind"])
+                found.append((named[32][anchor], whole, row + a, first - starts[row], last - first + 1, anchor - first))
+            if found:
+                yield _rows(own, length, found)
 
     return run
 
 
-def _windows(length: int):
+def _edges(length: int, group: int):
+    """Second and third step: the open stretches of each document in groups of windows, or one by one."""
+
     def run(batches):
         for batch in batches:
             own, found = _Batch(*batch.columns[:3]), []
-            ranges = batch.column(3)
-            first_range = ranges.offsets.to_numpy()
-            flat = ranges.flatten()
-            lows, highs = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-            rows = np.repeat(np.arange(len(ranges)), np.diff(first_range))
+            ranges, flat = batch.column(3), batch.column(3).flatten()
+            held = np.diff(ranges.offsets.to_numpy())
+            fields = [flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+            rows = np.repeat(np.arange(len(ranges)), held)
             for i in range(0, len(rows), 5_000):
-                row, low, high = rows[i : i + 5_000], lows[i : i + 5_000], highs[i : i + 5_000]
+                row, (low, high, anchor) = rows[i : i + 5_000], (f[i : i + 5_000] for f in fields)
                 sizes = high - low
                 ends = np.cumsum(sizes)
                 data = own.data[np.repeat(own.starts[row] + low - ends + sizes, sizes) + np.arange(ends[-1])]
                 long = names(data, 64)[64]
-                held = sizes - length + 1
-                upto = np.cumsum(held)
-                inner = np.arange(upto[-1]) - np.repeat(upto - held, held)
-                at = np.repeat(ends - sizes, held) + inner
-                found.append((long[at], long[at + length - 64], np.repeat(row, held), np.repeat(low, held) + inner))
-            if not found:
-                continue
-            name, name_2, row, start = (np.concatenate(c) for c in zip(*found, strict=True))
-            first = _first_of_group((name, name_2), own.place[row], start)
-            doc, done_start, done_stop = _merged(row[~first], start[~first], start[~first] + length)
-            name, name_2, row, start = (c[first] for c in (name, name_2, row, start))
-            spread = mix(doc.astype(U64) * salt(3) + done_start.astype(U64))
-            yield pa.record_batch([
-                pa.array(np.concatenate([spread, name]).view(np.int64)),
-                pa.array(np.concatenate([spread, name_2]).view(np.int64)),
-                *own.columns(np.concatenate([doc, row])),
-                pa.array(np.concatenate([done_start, start]).astype(np.int32)),
-                pa.array(np.concatenate([done_stop, start + length]).astype(np.int32)),
-                pa.array(np.arange(len(doc) + len(row)) < len(doc)),
-            ], ["name", "name_2", "doc_id", "tie", "start", "stop", "settled"])
+                # Groups are counted from the anchor, so that equal windows are in equal groups.
+                head, tail = -anchor // group, (sizes - length - anchor) // group
+                count = tail - head + 1
+                upto = np.cumsum(count)
+                which = np.repeat(np.arange(len(row)), count)
+                inner = np.arange(upto[-1]) - (upto - count)[which] + head[which]
+                base = (ends - sizes)[which]
+                middle = anchor[which] + inner * group
+                first = np.maximum(middle, 0)
+                last = np.minimum(middle + group - 1, (sizes - length)[which])
+                # The bytes that all windows of a whole group share lie in each window of it.
+                name = mix(long[base + middle + group - 1] + mix(long[base + middle + length - 64] + salt(4)))
+                whole = mix(long[base + first] + mix(long[base + last + length - 64] + salt(5)))
+                whole = mix(whole + ((first - middle) * 100 + last - first).astype(U64))
+                found.append((name, whole, row[which], low[which] + first, last - first + 1, np.zeros(len(which), np.int64)))
+            if found:
+                yield _rows(own, length, found)
 
     return run
 
@@ -274,39 +279,54 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """`doc_id, n_bytes, n_removed, n_spans, spans, kept` for every row of `docs` (`doc_id, text`).
 
     Texts are taken as UTF-8 bytes, a null one as empty. A byte is removed if it lies in a string of
-    `length` bytes (from 64 to 128) that also starts earlier: in a document before it, or further
+    `length` bytes (from 80 to 128) that also starts earlier: in a document before it, or further
     up in its own. Documents are ordered by id, a null id first, and those that share an id by a hash
     of their text; rows that repeat id and text are one document, with a row each in the result.
     Strings are judged on the input and never reach across documents. `spans` are the removed ranges
     and `kept` the remaining bytes. Other columns are not read.
     """
-    if not 64 <= length <= 128:
-        raise ValueError("length must be from 64 to 128")
+    if not 80 <= length <= 128:
+        raise ValueError("length must be from 80 to 128")
     text = F.col("text").cast("string")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("tie"), text.alias("text"))
-    anchors = source.mapInArrow(_anchors(length), ANCHOR_SCHEMA)
-    order = [F.asc_nulls_first("doc_id"), "tie", "start"]
-    by_name = Window.partitionBy("name").orderBy("stretch", *order)
-    whole = by_name.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    stretch = F.when(F.col("kind") != NEWS, F.col("stretch"))
-    several = (F.max("kind").over(whole) >= SEVERAL) | (F.min(stretch).over(whole) != F.max(stretch).over(whole))
-    copy = F.rank().over(Window.partitionBy("name", "stretch").orderBy(*order)) > 1
-    found = (
-        anchors.withColumns({"several": several, "copy": copy})
-        .where(f"kind = {SETTLED} or (kind in ({SINGLE}, {SEVERAL}) and (copy or several))")
-        .select("doc_id", "tie", "start", "stop", F.expr(f"kind <> {SETTLED} and not copy").alias("open"))
-    )
-    found = stored(found, "stretches")
-    ranges = F.collect_list(F.struct("start", "stop")).alias("ranges")
 
-    def with_ranges(rows: DataFrame, how: str) -> DataFrame:
-        rows = rows.groupBy("doc_id", "tie").agg(ranges)
+    def with_ranges(rows: DataFrame, how: str, *columns: str) -> DataFrame:
+        rows = rows.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
         same = source["doc_id"].eqNullSafe(rows["doc_id"]) & (source["tie"] == rows["tie"])
         return source.join(rows, same, how).select(source["doc_id"], source["tie"], "text", "ranges")
 
-    windows = with_ranges(found.where("open"), "inner").mapInArrow(_windows(length), WINDOW_SCHEMA)
-    earlier = F.rank().over(Window.partitionBy("name", "name_2").orderBy(*order)) > 1
-    edges = windows.withColumn("earlier", earlier).where("settled or earlier").select("doc_id", "tie", "start", "stop")
-    removed = found.where("not open").drop("open").unionByName(edges)
+    def still_open(found: DataFrame) -> DataFrame:
+        return with_ranges(found.where("open"), "inner", "start", "stop", "anchor")
+
+    first = stored(_judged(source.mapInArrow(_anchors(length), ROW_SCHEMA), length), "stretches")
+    second = _judged(still_open(first).mapInArrow(_edges(length, GROUP), ROW_SCHEMA), length)
+    third = _judged(still_open(second).mapInArrow(_edges(length, 1), ROW_SCHEMA), length)
+    removed = [found.where("not open").select("doc_id", "tie", "start", "stop") for found in (first, second, third)]
     cut_schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
-    return with_ranges(removed, "left").mapInArrow(_cut, cut_schema)
+    everything = removed[0].unionByName(removed[1]).unionByName(removed[2])
+    return with_ranges(everything, "left", "start", "stop").mapInArrow(_cut, cut_schema)
+
+
+def _judged(rows: DataFrame, length: int) -> DataFrame:
+    """`doc_id, tie, start, stop, anchor, open` of removed ranges, and of first stretches (open)
+    whose name has others."""
+    kind = F.col("packed").bitwiseAND(3)
+    settled = kind == SETTLED
+    count = F.shiftright("packed", 9).bitwiseAND(127) + 1
+    # Dealt out before the row is taken apart, so that only the packed one travels.
+    apart = rows.repartition("name").select(
+        "name", "doc_id", "place", kind.alias("kind"), F.shiftrightunsigned("packed", 16).alias("stretch"),
+        F.shiftright("place", 32).cast("int").alias("tie"), F.col("place").bitwiseAND(0xFFFFFFFF).cast("int").alias("start"),
+        F.when(settled, F.shiftright("packed", 2)).otherwise(count + (length - 1)).cast("int").alias("size"),
+        F.when(settled, 0).otherwise(F.shiftright("packed", 2).bitwiseAND(127)).cast("int").alias("anchor"),
+    )
+    order = [F.asc_nulls_first("doc_id"), "place"]
+    whole = Window.partitionBy("name").orderBy("stretch", *order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stretch = F.when(F.col("kind") != NEWS, F.col("stretch"))
+    several = (F.max("kind").over(whole) >= SEVERAL) | (F.min(stretch).over(whole) != F.max(stretch).over(whole))
+    copy = F.rank().over(Window.partitionBy("name", "stretch").orderBy(*order)) > 1
+    return (
+        apart.withColumns({"several": several, "copy": copy})
+        .where(f"kind = {SETTLED} or (kind in ({SINGLE}, {SEVERAL}) and (copy or several))")
+        .select("doc_id", "tie", "start", F.expr("start + size").alias("stop"), "anchor", F.expr(f"kind <> {SETTLED} and not copy").alias("open"))
+    )
