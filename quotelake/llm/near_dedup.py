@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.grams import RUN_CHARS, U64, mix, numbered_repeats, salt, shingles, word_hashes
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import stored, text_runs
+from quotelake.llm.shared import keyed, row_key, stored, text_runs
 
 ROWS, BANDS = 4, 25  # a pair of similarity 0.8 misses all bands once in 500,000 times
 COORDINATES = ROWS * BANDS
@@ -103,10 +103,10 @@ def _sketch(batches):
         texts = batch.column("text").to_pylist()
         for own, elements, starts, units in _runs(texts):
             keys = band_keys(dart_signatures(elements, starts)[0], ROWS)
-            bands = lists(keys)
+            # A text without words has no bands.
+            filled = np.diff(starts) > 0
             bands = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(np.where(np.diff(starts) > 0, BANDS, 0))]), pa.int32()),
-                bands.values.filter(pa.array(np.repeat(np.diff(starts) > 0, BANDS))),
+                pa.array(np.concatenate([[0], np.cumsum(np.where(filled, BANDS, 0))]), pa.int32()), lists(keys[filled]).values
             )
             rows = [batch.column(c).slice(own.start, own.stop - own.start) for c in ("doc_id", "row", "tie")]
             yield pa.record_batch([*rows, units, bands], ["doc_id", "row", "tie", "unit", "bands"])
@@ -122,17 +122,9 @@ def _sets(batches):
             )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """`doc_id, row, tie, text`: `row` and `tie` are hashes that tell the rows of one id apart."""
-    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    return docs.select(
-        doc_id.alias("doc_id"), F.xxhash64(doc_id.isNull(), doc_id, text).alias("row"), F.hash(text).alias("tie"), text.alias("text")
-    )
-
-
 def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     """`doc_id, row, tie, root` of every document with a text; near copies have one root."""
-    source = _keyed(docs).where("text is not null")
+    source = keyed(docs).where("text is not null")
     sketch = stored(source.mapInArrow(_sketch, SKETCH_SCHEMA), "sketch")
     buckets = shared_buckets(sketch)
     # One document for each candidate unit gives its set.
@@ -170,9 +162,9 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     grouped = _grouped(docs, threshold)
     first = Window.partitionBy("root").orderBy(F.asc_nulls_last("doc_id"), "row", "tie")
     kept = grouped.withColumn("place", F.row_number().over(first)).where("place = 1").select("row", "tie")
-    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    keyed = docs.withColumns({"_row": F.xxhash64(doc_id.isNull(), doc_id, text), "_tie": F.hash(text)})
-    match = (keyed["_row"] == kept["row"]) & (keyed["_tie"] == kept["tie"])
-    chosen = keyed.where("text is not null").join(kept, match, "left_semi")
+    row, tie = row_key()
+    marked = docs.withColumns({"_row": row, "_tie": tie})
+    match = (marked["_row"] == kept["row"]) & (marked["_tie"] == kept["tie"])
+    chosen = marked.where("text is not null").join(kept, match, "left_semi")
     once = chosen.withColumn("_copy", F.row_number().over(Window.partitionBy("_row", "_tie").orderBy("_row"))).where("_copy = 1")
     return once.select(*docs.columns).unionByName(docs.where("text is null"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.grams import RUN_CHARS, U64, salt, shingles, sort_segments, word_hashes
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import stored, text_runs
+from quotelake.llm.shared import keyed, row_key, stored, text_runs
 
 ROWS, BANDS = 3, 16
 BAND_SCHEMA = "unit binary, bands array<bigint>"
@@ -125,16 +125,9 @@ def _cut(batches):
         ], ["doc_id", "n_chars", "n_removed", "n_spans", "spans", "kept"])
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    return docs.select(
-        doc_id.alias("doc_id"), F.xxhash64(doc_id.isNull(), doc_id, text).alias("row"), F.hash(text).alias("tie"), text.alias("text")
-    )
-
-
 def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
     """`row, tie, removed`: the numbers of the paragraphs that go from a document, if any do."""
-    source = _keys(docs)
+    source = keyed(docs)
     buckets = shared_buckets(source.mapInArrow(_bands(min_words), BAND_SCHEMA))
     candidates = buckets.select("unit").distinct()
     sets = source.mapInArrow(_sets(min_words), SET_SCHEMA).join(candidates, "unit", "left_semi").dropDuplicates(["unit"])
@@ -162,17 +155,16 @@ def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int =
     if threshold < 0.8:
         raise ValueError("the bands are made for similarities of 0.8 or more")
     removed = repeated_paragraphs(docs, threshold, min_words)
-    whole = _keys(docs).join(removed, ["row", "tie"], "left").select("doc_id", "text", "removed")
+    whole = keyed(docs).join(removed, ["row", "tie"], "left").select("doc_id", "text", "removed")
     return whole.mapInArrow(_cut, CUT_SCHEMA)
 
 
 def trim_documents(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
     """All columns of `docs`, with `text` cut as by `remove_paragraphs` and, where there is the
     column, `n_chars` counted again. A document whose text is cut to nothing but blanks goes."""
-    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
-    keys = {"_row": F.xxhash64(doc_id.isNull(), doc_id, text), "_tie": F.hash(text)}
+    row, tie = row_key()
     removed = repeated_paragraphs(docs, threshold, min_words).withColumnsRenamed({"row": "_row", "tie": "_tie", "removed": "_removed"})
-    joined = docs.withColumns(keys).join(removed, ["_row", "_tie"], "left")
+    joined = docs.withColumns({"_row": row, "_tie": tie}).join(removed, ["_row", "_tie"], "left")
     lines = F.split("text", "\n", -1)
     numbered = F.filter(lines, lambda line, i: ~F.array_contains("_removed", i))
     cut = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(numbered, "\n"))

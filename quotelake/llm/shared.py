@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quotelake.session import fresh_path
 
@@ -31,6 +32,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> tuple[Column, Column]:
+    """Two hashes of `doc_id` and `text` that stand for a row: rows that repeat both have the same."""
+    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
+    return F.xxhash64(doc_id.isNull(), doc_id, text), F.hash(text)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """`doc_id, row, tie, text`, the key of a row being `row` and `tie`; other columns go."""
+    row, tie = row_key()
+    doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
+    return docs.select(doc_id.alias("doc_id"), row.alias("row"), tie.alias("tie"), text.alias("text"))
+
+
 def text_runs(texts: Sequence[str | None], most: int) -> Iterator[slice]:
     """Slices of consecutive texts with at most `most` characters each, or one longer text alone."""
     begin, size = 0, 0
