@@ -42,6 +42,7 @@ ID_SCHEMA = "part bigint, slots binary, counts binary, ids binary"
 TOKEN_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
 
 ROW_CHARS = 1 << 20  # characters of the documents that share a row
+BUCKET_BYTES, MOST_BUCKETS = 1 << 22, 1 << 26
 CODEC = pa.Codec("zstd", compression_level=3)
 SAME_ORDER = "are the documents read in the same order each time?"
 
@@ -280,8 +281,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1
     little-endian unsigned 32-bit integers; `decoded` is the text that the ids stand for. Rows
     stay apart when they repeat or share an id; a null text counts as empty and an empty one has no
     ids. Other columns are not read. `part_chars` bounds what one task holds (a longer document is a
-    part of its own); the word table has `buckets` buckets, by default four for each shuffle
-    partition. The vocabulary is read by the driver; it must be byte-level BPE.
+    part of its own); the word table has `buckets` buckets, by default one for each 4 MB of input and
+    at least four for each shuffle partition, so that a bucket stays small at any size. The vocabulary is read by the driver; it must be byte-level BPE.
 
     The documents are read twice, and each part must come out the same both times, as it does from a
     stored table; write other plans to a table first. A mismatch ends the job with an error.
@@ -289,8 +290,10 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if buckets is None:
+        size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES, MOST_BUCKETS))
     words = source.mapInArrow(_part_words(vocabulary, part_chars, buckets), WORD_SCHEMA)
     ids = words.groupBy("bucket").applyInArrow(_encode_bucket(vocabulary), ID_SCHEMA)
     codes = source.mapInArrow(_part_codes(vocabulary, part_chars), CODE_SCHEMA)
