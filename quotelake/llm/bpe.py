@@ -292,7 +292,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1
         vocabulary = spark.sparkContext.broadcast(f.read())
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if buckets is None:
-        size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES, MOST_BUCKETS))
     words = source.mapInArrow(_part_words(vocabulary, part_chars, buckets), WORD_SCHEMA)
     ids = words.groupBy("bucket").applyInArrow(_encode_bucket(vocabulary), ID_SCHEMA)
