@@ -217,8 +217,10 @@ def _encode_bucket(vocabulary):
     def run(rows: pa.Table) -> pa.Table:
         held = [_unpack_words(a, b) for a, b in zip(rows["lengths"].to_pylist(), rows["words"].to_pylist(), strict=True)]
         table = {w: i for i, w in enumerate(dict.fromkeys(w for words in held for w in words))}
-        encoded = _tokenizer(vocabulary.value).encode_batch_fast(list(table), add_special_tokens=False)
-        ids = [e.ids for e in encoded]
+        distinct, tokenizer = list(table), _tokenizer(vocabulary.value)
+        ids = []
+        for i in range(0, len(distinct), 5_000):  # what the library returns takes far more room than the ids
+            ids += [e.ids for e in tokenizer.encode_batch_fast(distinct[i : i + 5_000], add_special_tokens=False)]
         starts = np.cumsum([0, *map(len, ids)])
         flat = np.fromiter((i for own in ids for i in own), np.int64, starts[-1])
         counts, found = [], []
@@ -274,7 +276,7 @@ def _join_back(vocabulary):
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 25, buckets: int | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 23, buckets: int | None = None) -> DataFrame:
     """`doc_id, n_tokens, ids, decoded` for every row of `docs` (`doc_id, text`).
 
     `ids` are what the tokenizers library gives for the whole text without adding special tokens, as
