@@ -18,6 +18,8 @@ from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequenc
 from quotelake.llm.shared import keyed, row_key, stored, text_runs
 
 ROWS, BANDS = 3, 16
+#: The shortest line that has a shingle of five words; with it, wrapped passages are compared line by line.
+SHORTEST = 5
 BAND_SCHEMA = "unit binary, bands array<bigint>"
 SET_SCHEMA = "unit binary, n int, bits array<bigint>, grams binary"
 PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int"

@@ -154,6 +154,29 @@ def test_paragraphs(spark):
         assert sum(s.stop - s.start for s in r.spans) <= r.n_removed and len(r.spans) == r.n_spans
 
 
+def query_cut(spark, tmp_path, rows):
+    """What `op2_paragraph_dedup` gives for documents: the id, the characters removed, the digest of the rest."""
+    from quotelake.llm.catalog import QUERIES
+
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    return {r.doc_id: (r.n_removed, r.kept_sha256) for r in QUERIES["op2_paragraph_dedup"](spark, str(tmp_path)).collect()}
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_a_wrapped_passage_of_the_query(spark, tmp_path):
+    """A repeated passage of 72 words with 12 words to a line; a line without a shingle stays."""
+    rng = random.Random(21)
+    passage = "\n".join(words_of(rng, 12, 5000) for _ in range(6))
+    rows = [(i, f"{words_of(rng, 60, 5000)}\n{passage}\na short line\n{words_of(rng, 9, 5000)}") for i in range(5)]
+    got = query_cut(spark, tmp_path, rows)
+    assert got[0] == (0, digest(rows[0][1]))
+    for i, text in rows[1:]:
+        assert got[i] == (len(passage) + 1, digest(text.replace(passage + "\n", "")))
+
+
 def test_paragraph_edge_rows(spark):
     line = words_of(random.Random(3), 45)
     schema = "doc_id bigint, text string, unit string, row int, paragraph int, n_chars int, _removed int"
