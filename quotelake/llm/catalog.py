@@ -180,7 +180,7 @@ def op3_near_duplicates(t):
 
 @query("op2_paragraph_dedup")
 def op2_paragraph_dedup(t):
-    cut = paragraph_dedup.remove_paragraphs(t.documents, min_words=paragraph_dedup.SHORTEST)
+    cut = paragraph_dedup.remove_passages(t.documents)
     return cut.select("doc_id", "n_chars", "n_removed", "n_spans", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 

@@ -68,9 +68,7 @@ def code_points(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words (runs of letters and digits, lower case), and where each text's begin."""
     codes, text_starts = code_points(texts)
-    inside = word_characters()[codes]
-    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
-    starts, ends = edges[::2], edges[1::2]
+    starts, ends = _word_edges(codes)
     terms = np.zeros(len(codes) + 1, U64)
     np.cumsum((codes.astype(U64) + U64(1)) * MIX_1 * _power_table(BASE, len(codes)), out=terms[1:])
     inverse = pow(BASE, -1, 2**64)
@@ -78,6 +76,24 @@ def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, text_starts)
 
 
+def _word_edges(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-cased characters begin and end."""
+    inside = word_characters()[codes]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
+    return edges[::2], edges[1::2]
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words that `word_hashes` finds begin and end in the text itself."""
+    codes, _ = code_points([text])
+    starts, ends = _word_edges(codes)
+    if len(codes) == len(text) + 1:
+        return starts, ends
+    # A few characters are several ones in lower case.
+    origin = np.append(np.repeat(np.arange(len(text)), [len(c.lower()) for c in text]), len(text))
+    return origin[starts], origin[ends - 1] + 1
+
+
 def shingles(words: np.ndarray, starts: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all runs of `width` words in each text, in order, and where each text's begin.
 
@@ -96,6 +112,16 @@ def shingles(words: np.ndarray, starts: np.ndarray, width: int = 5) -> tuple[np.
     return out, np.concatenate([[0], ends])
 
 
+def runs_of_words(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each run of `width` words, whatever text they are from; empty if there are fewer words."""
+    if len(words) < width:
+        return np.zeros(0, U64)
+    terms = np.zeros(len(words) + 1, U64)
+    np.cumsum(words * _power_table(BASE, len(words)), out=terms[1:])
+    inverse = pow(BASE, -1, 2**64)
+    return mix((terms[width:] - terms[:-width]) * _power_table(inverse, len(words))[: len(words) - width + 1])
+
+
 def sort_segments(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """`values` sorted within each segment, and the segment of each."""
     segment = np.repeat(np.arange(len(starts) - 1), np.diff(starts))

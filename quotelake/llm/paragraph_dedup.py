@@ -4,6 +4,9 @@ A paragraph is a line with enough words. Paragraphs that agree in a band of thei
 are candidates; the bands are tuned for recall (at similarity 0.8 one pair in 100,000 is missed), and
 each link is verified by the exact Jaccard similarity of the five-word shingles. Of every
 component the first paragraph stays, all others are cut out of their documents.
+
+Passages that repeat across or inside lines are found by windows of words. Of STEP windows in a row
+the one with the least hash is compared, so equal passages choose equal windows wherever they stand.
 """
 
 from __future__ import annotations
@@ -13,16 +16,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.grams import RUN_CHARS, U64, salt, shingles, sort_segments, word_hashes
+from quotelake.llm.grams import (
+    RUN_CHARS, U64, mix, runs_of_words, salt, shingles, sort_segments, word_hashes, word_places,
+)
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
 from quotelake.llm.shared import keyed, row_key, stored, text_runs
 
 ROWS, BANDS = 3, 16
 #: The shortest line that has a shingle of five words; with it, wrapped passages are compared line by line.
 SHORTEST = 5
+#: Words of a window. A repeated run of WINDOW + STEP - 1 = 51 words holds a chosen window, and of a longer one
+#: at most STEP - 1 words at either end lie in none.
+WINDOW, STEP = 36, 16
 BAND_SCHEMA = "unit binary, bands array<bigint>"
 SET_SCHEMA = "unit binary, n int, bits array<bigint>, grams binary"
 PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int"
+WINDOW_SCHEMA = "name bigint, more int, doc_id bigint, row bigint, tie int, at int"
 CUT_SCHEMA = "doc_id bigint, n_chars bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept string"
 
 
@@ -100,6 +109,96 @@ def _places(min_words: int):
     return run
 
 
+def chosen_windows(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that have the least hash of STEP in a row, or of all in a text with fewer windows:
+    where they begin in `words`, and their hashes."""
+    hashes = runs_of_words(words, WINDOW)
+    n = np.maximum(np.diff(starts) - WINDOW + 1, 0)
+    whole = np.flatnonzero(n)
+    if not len(whole):
+        return np.zeros(0, int), hashes[:0]
+    n, ends = n[whole], np.cumsum(n[whole])
+    first = ends - n
+    at = np.repeat(starts[:-1][whole] - first, n) + np.arange(ends[-1])
+    hashes = hashes[at]
+    # Of each run of STEP windows in one text its least hash; a run that leaves the text has none.
+    least = np.full(len(hashes), ~U64(0))
+    if len(hashes) >= STEP:
+        least[: len(hashes) - STEP + 1] = np.lib.stride_tricks.sliding_window_view(hashes, STEP).min(1)
+    number = np.arange(len(hashes)) - np.repeat(first, n)
+    least[np.repeat(n, n) - number < STEP] = 0
+    # A window is chosen if it is the least of any run that it is in.
+    here = least.copy()
+    for back in range(1, min(STEP, len(hashes))):
+        here[back:] = np.maximum(here[back:], np.where(number[back:] >= back, least[:-back], U64(0)))
+    short = np.repeat(n < STEP, n)
+    here[short] = np.repeat(np.minimum.reduceat(hashes, first), n)[short]
+    chosen = np.flatnonzero(hashes == here)
+    return at[chosen], hashes[chosen]
+
+
+def _windows(batches):
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for own in text_runs(texts, RUN_CHARS):
+            words, starts = word_hashes(texts[own])
+            at, names = chosen_windows(words, starts)
+            more = (runs_of_words(mix(words ^ salt(900)), WINDOW)[at] >> U64(32)).astype(np.uint32).view(np.int32)
+            text = np.searchsorted(starts, at, "right") - 1
+            keys = [batch.column(c).take(pa.array(text + own.start)) for c in ("doc_id", "row", "tie")]
+            yield pa.record_batch(
+                [pa.array(names.view(np.int64)), pa.array(more), *keys, pa.array((at - starts[text]).astype(np.int32))],
+                ["name", "more", "doc_id", "row", "tie", "at"],
+            )
+
+
+def passage_spans(text: str, passages: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of words as places in the text, with the blanks after each; those that touch are one."""
+    begins, ends = word_places(text)
+    out = []
+    for start, stop in sorted(passages):
+        a, b = int(begins[start]), int(ends[stop - 1])
+        while b < len(text) and text[b] == " ":
+            b += 1
+        # What stands between two passages without a word between them goes with them.
+        if out and start <= last:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+            last = max(last, stop)
+        else:
+            out.append((a, b))
+            last = stop
+    return out
+
+
+def cut_passages(text: str, removed: list[int], passages: list[tuple[int, int]]) -> tuple[str, list[dict[str, int]]]:
+    """The text without the lines `removed` and the runs of words `passages`, and the places of what went."""
+    kept, spans = cut_paragraphs(text, removed)
+    if not passages:
+        return kept, spans
+    cuts = passage_spans(text, passages)
+    gone = np.zeros(len(text), bool)
+    for a, b in cuts:
+        gone[a:b] = True
+    whole, left, at, end = set(removed), [], 0, None
+    for i, line in enumerate(text.split("\n")):
+        if i not in whole:
+            # Lines are joined where one passage reaches from the first into the second.
+            if end is not None and not (gone[end] and gone[at - 1]):
+                left.append("\n")
+            stays = ~gone[at : at + len(line)]
+            left.append(line if stays.all() else "".join(c for c, s in zip(line, stays.tolist(), strict=True) if s))
+            end = at + len(line)
+        at += len(line) + 1
+    kept = "".join(left)
+    joined = []
+    for a, b in sorted([*cuts, *((s["start"], s["stop"]) for s in spans)]):
+        if joined and a <= joined[-1]["stop"]:
+            joined[-1]["stop"] = max(joined[-1]["stop"], b)
+        else:
+            joined.append({"start": a, "stop": b})
+    return kept, joined
+
+
 def cut_paragraphs(text: str, removed: list[int]) -> tuple[str, list[dict[str, int]]]:
     """The text without the paragraphs `removed`, and the runs of them as places in the text."""
     gone, kept, spans, at = set(removed), [], [], 0
@@ -117,8 +216,9 @@ def cut_paragraphs(text: str, removed: list[int]) -> tuple[str, list[dict[str, i
 def _cut(batches):
     for batch in batches:
         texts, out = batch.column("text").to_pylist(), []
-        for text, removed in zip(texts, batch.column("removed").to_pylist(), strict=True):
-            kept, spans = cut_paragraphs(text or "", removed or [])
+        lines, passages = batch.column("removed").to_pylist(), batch.column("passages").to_pylist()
+        for text, removed, found in zip(texts, lines, passages, strict=True):
+            kept, spans = cut_passages(text or "", removed or [], [(p["start"], p["stop"]) for p in found or []])
             out.append((len(text or ""), len(text or "") - len(kept), len(spans), spans, kept if text is not None else None))
         columns = list(zip(*out, strict=True)) or [()] * 5
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
@@ -143,6 +243,27 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int
     return later.groupBy("row", "tie").agg(F.sort_array(F.collect_set("paragraph")).alias("removed"))
 
 
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """`row, tie, passages`: the runs of words that go from a document, if any do.
+
+    A window goes if an equal one stands earlier, in the order of `remove_paragraphs`; windows that
+    overlap the first of their kind go only as far as it does not reach.
+    """
+    windows = stored(keyed(docs).mapInArrow(_windows, WINDOW_SCHEMA), "windows")
+    # Which windows repeat is found over short hashes; only those are sent with their places.
+    place = F.xxhash64("row", "tie", "at")
+    several = windows.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high")
+    order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", F.col("at").alias("start"))
+    found = windows.join(several.select("name"), "name", "left_semi").withColumn("place", order).drop("doc_id")
+    found = stored(found, "passages")
+    first = found.groupBy("name", "more").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    later = found.join(first.drop("last"), ["name", "more"]).where("place > first")
+    clear = F.when((F.col("first.row") == F.col("row")) & (F.col("first.tie") == F.col("tie")), F.col("first.start") + WINDOW).otherwise(0)
+    span = F.struct(F.greatest("at", clear).alias("start"), (F.col("at") + WINDOW).alias("stop"))
+    later = later.select("row", "tie", span.alias("span")).where("span.start < span.stop")
+    return later.groupBy("row", "tie").agg(F.collect_set("span").alias("passages"))
+
+
 def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
     """`doc_id, n_chars, n_removed, n_spans, spans, kept` for every row of `docs` (`doc_id, text`).
 
@@ -157,7 +278,23 @@ def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int =
     if threshold < 0.8:
         raise ValueError("the bands are made for similarities of 0.8 or more")
     removed = repeated_paragraphs(docs, threshold, min_words)
-    whole = keyed(docs).join(removed, ["row", "tie"], "left").select("doc_id", "text", "removed")
+    none = F.lit(None).cast("array<struct<start:int,stop:int>>").alias("passages")
+    whole = keyed(docs).join(removed, ["row", "tie"], "left").select("doc_id", "text", "removed", none)
+    return whole.mapInArrow(_cut, CUT_SCHEMA)
+
+
+def remove_passages(docs: DataFrame, threshold: float = 0.8, min_words: int = SHORTEST) -> DataFrame:
+    """As `remove_paragraphs`, and without the passages that repeat inside or across lines.
+
+    Of a run of WINDOW + STEP - 1 words or more that stands earlier in any document, all goes but at
+    most STEP - 1 words at either end; of shorter ones those of WINDOW words and more that hold a
+    chosen window. Words are compared without case and what stands between them.
+    """
+    if threshold < 0.8:
+        raise ValueError("the bands are made for similarities of 0.8 or more")
+    removed = repeated_paragraphs(docs, threshold, min_words)
+    both = removed.join(repeated_passages(docs), ["row", "tie"], "full")
+    whole = keyed(docs).join(both, ["row", "tie"], "left").select("doc_id", "text", "removed", "passages")
     return whole.mapInArrow(_cut, CUT_SCHEMA)
 
 

@@ -177,6 +177,48 @@ def test_a_wrapped_passage_of_the_query(spark, tmp_path):
         assert got[i] == (len(passage) + 1, digest(text.replace(passage + "\n", "")))
 
 
+def test_passages_inside_lines_of_the_query(spark, tmp_path):
+    """Passages between differing text, on one line and wrapped in other ways: all but 15 words at either end go."""
+    rng = random.Random(22)
+    passages = [words_of(rng, n, 10**6).split() for n in (51, 70, 200)]
+    rows, spans = [], {}
+    for i in range(12):
+        before, passage, after = words_of(rng, 30, 10**6).split(), passages[i % 3], words_of(rng, 30, 10**6).split()
+        words, width = before + passage + after, (10**6, 12, 10, 17)[i // 3]
+        rows.append((i, "\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width))))
+        spans[i] = (before, passage, after)
+    got = {r.doc_id: r for r in paragraph_dedup.remove_passages(frame(spark, rows)).collect()}
+    for i, text in rows:
+        before, passage, after = spans[i]
+        kept = got[i].kept.split()
+        stay = len(kept) - len(before) - len(after)
+        # Equal texts choose equal windows, so what stays of a passage is the same in each copy.
+        assert kept[: len(before)] == before and kept[len(before) + stay :] == after
+        assert stay == len(passage) if i < 3 else stay <= min(30, len(passage) - 36)
+        assert got[i].n_removed == len(text) - len(got[i].kept) == sum(s.stop - s.start for s in got[i].spans)
+    assert query_cut(spark, tmp_path, rows) == {i: (r.n_removed, digest(r.kept)) for i, r in got.items()}
+
+
+def test_chosen_windows_and_cuts():
+    rng = random.Random(23)
+    texts = [words_of(rng, n, 9) for n in (0, 20, 36, 40, 51, 52, 300)] + ["a " * 80, "İx Σ " * 40]
+    step, width = paragraph_dedup.STEP, paragraph_dedup.WINDOW
+    together = paragraph_dedup.chosen_windows(*word_hashes(texts))
+    starts, found = word_hashes(texts)[1], []
+    for text, begin in zip(texts, starts, strict=False):
+        words, own = word_hashes([text])
+        at, names = paragraph_dedup.chosen_windows(words, own)
+        assert np.all(np.diff(at) <= step) and (len(at) > 0) == (len(words) >= width)
+        if len(at):
+            assert at[0] < step and len(words) - width - at[-1] < step
+        found += zip((at + begin).tolist(), names.tolist(), strict=True)
+    assert found == list(zip(*(x.tolist() for x in together), strict=True))
+    assert paragraph_dedup.cut_passages("one two three, four\nfive six\nseven", [], [(1, 3)]) == ("one , four\nfive six\nseven", [{"start": 4, "stop": 13}])
+    assert paragraph_dedup.cut_passages("one two\nthree four\nfive", [], [(1, 3)])[0] == "one four\nfive"
+    assert paragraph_dedup.cut_passages("one two\nthree\nfour five", [1], [(1, 3)])[0] == "one \nfour five"
+    assert paragraph_dedup.cut_passages("İİ x\nİ y", [], [(0, 0 + len(word_hashes(["İİ"])[0]))])[0] == "x\nİ y"
+
+
 def test_paragraph_edge_rows(spark):
     line = words_of(random.Random(3), 45)
     schema = "doc_id bigint, text string, unit string, row int, paragraph int, n_chars int, _removed int"
