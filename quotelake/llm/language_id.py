@@ -57,9 +57,17 @@ class LanguageModel:
     log_prior: np.ndarray
     log_likelihood: np.ndarray  # bins by languages
     features: Features
+    usual: np.ndarray  # the mean log likelihood of an n-gram of the labelled texts, by language
+    spread: np.ndarray  # its standard deviation
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The most probable language of each text, and its posterior probability."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The most probable language of each text, its posterior probability, and how far the text is
+        from it: by how much its mean log likelihood of an n-gram is below the usual one of the
+        language, less two standard errors for as many letters."""
         bins, starts = self.features.of(texts)
         sums = np.zeros((len(texts), len(self.languages)))
         filled = np.flatnonzero(np.diff(starts))
@@ -68,7 +76,10 @@ class LanguageModel:
                 sums[filled, j] = np.add.reduceat(self.log_likelihood[:, j][bins], starts[:-1][filled], dtype=np.float64)
         sums += self.log_prior
         best = sums.argmax(1)
-        return best, 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1)
+        n = np.maximum(np.diff(starts), 1)
+        mean = (sums[np.arange(len(texts)), best] - self.log_prior[best]) / n
+        distance = self.usual[best] - mean - 2 * self.spread[best] / np.sqrt(n / len(self.features.orders))
+        return best, 1 / np.exp(sums - sums.max(1, keepdims=True)).sum(1), distance
 
 
 def count_ngrams(labelled: DataFrame, features: Features) -> DataFrame:
@@ -115,9 +126,12 @@ def fit(labelled: DataFrame, features: Features = Features(), most_languages: in
     for lang, at, n in count_ngrams(labelled, features).toLocalIterator():
         counts[at, place[lang]] += n
     prior = np.array([documents[lang] for lang in languages], float)
-    return LanguageModel(
-        languages, np.log(prior / prior.sum()), np.log(counts / counts.sum(0)).astype(np.float32), features
-    )
+    likelihood = np.log(counts / counts.sum(0))
+    # What was seen itself, without the one that is added to each bin.
+    seen = (counts - 1) / np.maximum((counts - 1).sum(0), 1)
+    usual = (seen * likelihood).sum(0)
+    spread = np.sqrt((seen * (likelihood - usual) ** 2).sum(0))
+    return LanguageModel(languages, np.log(prior / prior.sum()), likelihood.astype(np.float32), features, usual, spread)
 
 
 def has_letters(text: Column) -> Column:
@@ -125,23 +139,25 @@ def has_letters(text: Column) -> Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> Column:
-    """A column for `docs`: struct `lang, score` of the language of `text`, from the whole text alone.
+    """A column for `docs`: struct `lang, score, distance` of the language of `text`, from the whole text alone.
 
     `und` with score 0 if the text is null or has no letter, or if nothing was learned. Of languages
-    that are equally probable the first by name is taken.
+    that are equally probable the first by name is taken. The score compares the learned languages
+    with each other only; `distance` tells whether the text is of any of them (see `judge`).
     """
-    unknown = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
+    unknown = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("distance"))
     if model is None:
         return unknown
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, distance double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
-            texts, best, score = batch.tolist(), np.zeros(len(batch), int), np.zeros(len(batch))
+            texts, best = batch.tolist(), np.zeros(len(batch), int)
+            score, distance = np.zeros(len(batch)), np.zeros(len(batch))
             for own in text_runs(texts, RUN_CHARS):
-                best[own], score[own] = model.score(texts[own])
-            yield pd.DataFrame({"lang": np.array(model.languages, object)[best], "score": score})
+                best[own], score[own], distance[own] = model.judge(texts[own])
+            yield pd.DataFrame({"lang": np.array(model.languages, object)[best], "score": score, "distance": distance})
 
     return F.when(has_letters(docs["text"]), predict(docs["text"])).otherwise(unknown)

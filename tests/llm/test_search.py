@@ -220,6 +220,26 @@ def test_pipeline(spark):
     assert ids[4] == ids[3]
 
 
+def test_languages_that_were_not_learned_go(spark):
+    rng = random.Random(31)
+
+    def letters(alphabet):
+        return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(3, 9))) for _ in range(40))
+
+    strange = [
+        "Широкая электрификация южных губерний даст мощный толчок подъёму сельского хозяйства.",
+        "Árvíztűrő tükörfúrógép, és a magyar nyelv szépségei közé tartozik a hosszú szavak használata.",
+        "これは日本語の文章です。今日は天気がいいので散歩に行きましょう。",
+        letters("bcdfghjklmnpqrstvwxz"), letters("abcdefghijklmnopqrstuvwxyz"),
+    ]
+    clean = ["the and of", "Hello", "The cat sat on the mat.", "This work is licensed under the GNU General Public License, version 3."]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    planted = [(900 + i, text, None, "s", len(text)) for i, text in enumerate([*strange, *clean])]
+    got = corpus_pipeline.keep_languages(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), SMALL).collect()
+    assert {r.doc_id for r in got} == {r.doc_id for r in docs.collect()} | {905, 906, 907, 908}
+    assert all(r.lang for r in got)
+
+
 def test_pipeline_of_an_empty_table(spark):
     empty = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
