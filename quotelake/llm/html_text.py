@@ -72,6 +72,7 @@ class Block:
     text: str
     linked: int
     article: int  # the number of the outermost marked article around it, or 0
+    inside: tuple[int, ...]  # the numbers of the elements of `path`
 
 
 def _named_out(name: str, attributes: str, in_article: bool) -> bool:
@@ -104,14 +105,15 @@ class Open(NamedTuple):
     left_out: bool
     linked: bool
     article: int  # its number, or that of the one around it
+    number: int
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, without those in parts that are named as something else."""
     out: list[Block] = []
-    stack = [Open("", "", False, False, 0)]
+    stack = [Open("", "", False, False, 0, 0)]
     pieces: list[str] = []
-    linked = articles = 0
+    linked = articles = opened = 0
 
     def end_block() -> None:
         nonlocal linked
@@ -120,8 +122,9 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            path = tuple(e.label for e in stack if e.name in BLOCK)
-            out.append(Block(path, text, min(linked, len(text)), stack[-1].article))
+            around = [e for e in stack if e.name in BLOCK]
+            path, inside = tuple(e.label for e in around), tuple(e.number for e in around)
+            out.append(Block(path, text, min(linked, len(text)), stack[-1].article, inside))
         linked = 0
 
     def close(upto: int) -> None:
@@ -192,7 +195,8 @@ def blocks(page: str) -> list[Block]:
             article = articles = articles + 1
         if name in BLOCK and len(attributes) > 2 and (c := CLASS.search(attributes)):
             label = f"{name}.{c[1]}"
-        stack.append(Open(name, label, left_out, top.linked or name == "a", article))
+        opened += 1
+        stack.append(Open(name, label, left_out, top.linked or name == "a", article, opened))
     add(page[at:])
     end_block()
     return out
@@ -224,7 +228,8 @@ def main_text(page: str, share: float = 0.5) -> str:
 
     Content paths score at least `share` of the mean over all blocks. The article is the marked
     article with the highest-scoring path, or else the nearest element that holds all content paths; all
-    its blocks belong to it but for lists of links and, without a mark, inner elements of low score.
+    its blocks, at any depth, belong to it but for lists of links and, without a mark, inner elements
+    that are mostly links.
     """
     found = blocks(page)
     if not found:
@@ -241,11 +246,20 @@ def main_text(page: str, share: float = 0.5) -> str:
         while all(len(p) > depth for p in parents) and len({p[depth] for p in parents}) == 1:
             depth += 1
         holder = parents[0][:depth]
-        own = [
-            b for b in found
-            if b.path in content or (b.path[:depth] == holder and len(b.path) <= depth + 1 and 2 * b.linked < len(b.text))
-        ]
-        return "\n".join(b.text for b in own)
+        own = [b for b in found if b.path[:depth] == holder]
+        chars, linked = Counter(), Counter()
+        for b in own:
+            for element in b.inside[depth:]:
+                chars[element] += len(b.text)
+                linked[element] += b.linked
+
+        def among_links(b: Block) -> bool:
+            # A block's own element counts if nothing else of the holder is around it.
+            alone = len(b.path) == depth + 1 and b.path not in content
+            around = b.inside[depth:] if alone else b.inside[depth:-1]
+            return any(2 * linked[element] >= chars[element] for element in around)
+
+        return "\n".join(b.text for b in own if not among_links(b))
     lists = Counter()
     for b in own:
         if any(n == "li" or n.startswith("li.") for n in b.path):

@@ -174,6 +174,20 @@ def test_main_text_without_the_rest(holder):
         assert text.split("\n") == expected
 
 
+def test_main_text_of_an_unmarked_page_with_inner_blocks():
+    """Short blocks one or more levels deeper than the prose are part of the article; lists of links are not."""
+    prose = [f"Paragraph {i}, which is long enough, " + "with words, and commas, and more of both, " * 7 + "to its end." for i in range(5)]
+    items = [f"Item number {i} of a short list, between the paragraphs of it" for i in range(3)]
+    inner = f"<ul>{''.join(f'<li>{x}</li>' for x in items)}<li><a href='x'>linked item</a></li></ul>"
+    inner += "<table><caption>Sizes</caption><tr><th>name</th><td>12 cm</td></tr></table><figure><img src='x'><figcaption>A picture</figcaption></figure>"
+    inner += "<blockquote><div><p>Quoted words</p></div></blockquote>"
+    links = "".join(f"<li><a href='/{i}'>Another story, number {i}, to be read later</a></li>" for i in range(4))
+    p = [f"<p>{x}</p>" for x in prose]
+    holder = f"<div class='post'><h1>Title</h1>{''.join(p[:3])}{inner}{''.join(p[3:])}<div><ul>{links}</ul></div></div>"
+    expected = ["Title", *prose[:3], *items, "linked item", "Sizes", "name", "12 cm", "A picture", "Quoted words", *prose[3:]]
+    assert html_text.main_text(PAGE % holder).split("\n") == expected
+
+
 def test_pages_equal_the_marked_article(spark):
     """The pages of the tables mark their articles, so that a pattern can cut them out."""
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
