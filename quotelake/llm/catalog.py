@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from quotelake.llm import (
-    bpe, decontaminate, html_text, language_id, near_dedup, paragraph_dedup, preferences, suffix_dedup, topk, url_filter,
+    bpe, decontaminate, exact_dedup, html_text, language_id, near_dedup, paragraph_dedup, preferences, suffix_dedup, topk, url_filter,
 )
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
@@ -187,3 +187,18 @@ def op2_paragraph_dedup(t):
 @query("op10_decontaminate")
 def op10_decontaminate(t):
     return decontaminate.contaminated(t.documents, t.benchmark)
+
+
+@query(
+    "op13_exact_dedup",
+    """
+    select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+        row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
+        sha256(coalesce(text, '')) as text_sha256
+    from documents window same as (partition by coalesce(text, ''))
+    """,
+)
+def op13_exact_dedup(t):
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = exact_dedup.exact_groups(t.documents, {"digest": digest})
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
