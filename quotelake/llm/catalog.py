@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from quotelake.llm import (
-    bpe, decontaminate, exact_dedup, html_text, language_id, near_dedup, paragraph_dedup, preferences, suffix_dedup, topk, url_filter,
+    bpe, decontaminate, exact_dedup, fill_middle, html_text, language_id, near_dedup, paragraph_dedup, preferences, suffix_dedup, topk, url_filter, vector_codes,
 )
 from quotelake.llm.shared import ship
 from quotelake.plans.catalog import registry
@@ -202,3 +202,81 @@ def op13_exact_dedup(t):
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     found = exact_dedup.exact_groups(t.documents, {"digest": digest})
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query(
+    "op12_fill_middle",
+    """
+    with drawn as (
+        select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+            list_transform(range(0, 4), lambda g: list_reduce(list_prepend(cast(0 as bigint), list_transform(range(1, 9), lambda i:
+                cast(instr('0123456789abcdef', substr(sha256('1:' || coalesce(cast(doc_id as varchar), '')), 8 * g + i, 1)) - 1
+                    as bigint))), lambda a, d: 16 * a + d)) as h
+        from documents),
+    cut as (
+        select *, cast(len(units) as bigint) as n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as a,
+            greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) as b,
+            case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90
+                then 'plain' when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+        from drawn),
+    parts as (
+        select *, array_to_string(units[1:a], '') as prefix, array_to_string(units[a + 1:b], '') as middle,
+            array_to_string(units[b + 1:n], '') as suffix from cut)
+    select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+        case when form <> 'plain' then length(middle) end as middle_chars,
+        sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+        sha256(case form when 'plain' then text else prefix || middle || suffix end) as restored_sha256
+    from parts
+    """,
+)
+def op12_fill_middle(t):
+    made = fill_middle.fill_in_middle(t.documents)
+    kept = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return fill_middle.restore(made, kept).drop("restored")
+
+
+def _code_sql(rounds=vector_codes.ROUNDS):
+    """The rounds written out: parts, codebook `c<i>` and the entry `b<i>` that is nearest to each part."""
+    assign = """
+    b{i} as materialized (
+        select rid, p, min({{'d': d, 'e': entry}}) as best from (
+            select rid, p, entry, cast(coalesce(list_sum(list_transform(range(1, len(k.part) + 1),
+                lambda i: (k.part[i] - c.part[i]) * (k.part[i] - c.part[i]))), 0) as bigint) as d
+            from parts as k join c{i} as c using (p))
+        group by rid, p),"""
+    step = """
+    s{i} as (
+        select p, entry, list((total - ((total % n) + n) % n) // n order by place) as part from (
+            select p, best.e as entry, place, sum(part[place]) as total, count(*) as n
+            from (select rid, p, part, unnest(range(1, len(part) + 1)) as place from parts) join b{i} using (rid, p)
+            group by all)
+        group by p, entry),
+    c{j} as materialized (
+        select p, entry, coalesce(s.part, c.part) as part from c{i} as c left join s{i} as s using (p, entry)),"""
+    middle = "".join((assign + step).format(i=i, j=i + 1) for i in range(rounds)) + assign.format(i=rounds)
+    return f"""
+    with kept as materialized (
+        select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as rid,
+            list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as vector
+        from embeddings
+        where embedding is not null and list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+    parts as materialized (
+        select rid, p, vector[p * (len(vector) // 4) + 1:(p + 1) * (len(vector) // 4)] as part
+        from (select rid, vector, unnest(range(0, 4)) as p from kept)),
+    c0 as (select p, rid - 1 as entry, part from parts where rid <= 256),{middle}
+    coded as (
+        select vec_id, label, string_agg(lower(printf('%02x', best.e)), '' order by p) as code, cast(sum(best.d) as bigint) as error
+        from b{rounds} join kept using (rid) group by rid, vec_id, label),
+    books as (
+        select sha256(string_agg(array_to_string(part, ','), ',' order by p, entry)) as codebooks_sha256 from c{rounds})
+    select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+    from coded, books
+    """
+
+
+@query("op11_vector_codes", _code_sql())
+def op11_vector_codes(t):
+    coded, codebooks = vector_codes.compress(t.embeddings)
+    digest = F.lit(codebooks.sha256()).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)

@@ -56,3 +56,9 @@ def text_runs(texts: Sequence[str | None], most: int) -> Iterator[slice]:
         size += n
     if begin < len(texts):
         yield slice(begin, len(texts))
+
+
+def finite(vector: Column) -> Column:
+    """Not null, and without null, NaN or infinite components."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
