@@ -26,18 +26,17 @@ from quotelake.operators.windows import with_group_stats
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 #: Scaled components up to here are whole numbers of 64 bits whose sums the rounds can carry.
 MOST = 1 << 62
-#: Components up to here give squared distances of 64 bits in up to 256 dimensions; larger ones are measured in wide integers.
-NARROW = 1 << 26
+#: Components up to SMALL in at most WIDEST dimensions have squared distances that floats hold exactly;
+#: up to NARROW, distances of 64 bits; beyond, they are measured in wide integers.
+SMALL, NARROW, WIDEST = 1 << 20, 1 << 26, 256
 SUM_SCHEMA = "part int, entry int, place int, high bigint, low bigint, rows bigint"
 CODE_SCHEMA = "code string, error bigint"
 _root = np.frompyfunc(math.isqrt, 1, 1)
 
 
 def _roots(squares: np.ndarray) -> np.ndarray:
-    """Whole numbers not below the square roots."""
-    if squares.dtype == object:
-        return _root(squares) + 1
-    return np.sqrt(squares).astype(np.int64) + 1
+    """Whole numbers above the square roots."""
+    return _root(squares) + 1 if squares.dtype == object else np.sqrt(squares).astype(squares.dtype) + 1
 
 
 class Slices:
@@ -57,16 +56,17 @@ class Slices:
         spread = [int(v[-1]) - int(v[0]) for v in self.values]
         self.widest = int(np.argmax(spread)) if width else 0
         self.order = order
+        self.norms = (entries * entries).sum(axis=1) if width else np.zeros(count, entries.dtype)
 
-    def candidates(self, rows: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a row and an entry within its radius in every coordinate, by row, then entry."""
+    def candidates(self, rows: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """For each row and entry, whether the entry lies within the row's radius in every coordinate."""
         masks = np.tile(self.all, (len(rows), 1))
         for j, (values, before) in enumerate(zip(self.values, self.before, strict=True)):
             first = np.searchsorted(values, rows[:, j] - radius, "left")
             last = np.searchsorted(values, rows[:, j] + radius, "right")
             masks &= before[last] ^ before[first]
         bits = np.unpackbits(masks.astype("<u8").view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
-        return np.nonzero(bits)
+        return bits[:, : len(self.entries)].astype(bool)
 
     def distances(self, rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
         gap = rows - self.entries[entries]
@@ -76,7 +76,15 @@ class Slices:
 
     def _best(self, rows: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rows that have candidates, their nearest one (the lowest of equal ones) and its distance."""
-        at, entry = self.candidates(rows, radius)
+        near = self.candidates(rows, radius)
+        if rows.dtype == np.float64:
+            # Most entries are candidates where a part has many dimensions; one product measures them all.
+            squares = (rows * rows).sum(axis=1)[:, None] + self.norms - 2 * (rows @ self.entries.T)
+            squares[~near] = np.inf
+            entry = squares.argmin(axis=1)
+            held = np.flatnonzero(near.any(axis=1))
+            return held, entry[held], squares[held, entry[held]]
+        at, entry = np.nonzero(near)
         squares = self.distances(rows[at], entry)
         held, begin, counts = np.unique(at, return_index=True, return_counts=True)
         if not len(held):
@@ -106,20 +114,27 @@ class Slices:
         return found, error
 
 
+def _kind(values: np.ndarray, width: int) -> type:
+    """The numbers in which distances are exact: floats, whole numbers of 64 bits, or wide ones."""
+    largest = np.abs(values).max(initial=0)
+    return object if largest >= NARROW or width > WIDEST else np.int64 if largest >= SMALL else np.float64
+
+
 def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), dim)
-    return flat if np.abs(flat).max(initial=0) < NARROW and dim <= 256 else flat.astype(object)
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), dim)
 
 
 def _assigned(codebooks: list[np.ndarray]) -> Callable[[np.ndarray], Iterator[tuple]]:
     """A function that assigns rows, some at a time: the rows, and codes and errors by part."""
-    narrow = all(np.abs(c).max(initial=0) < NARROW for c in codebooks)
-    slices = {kind: [Slices(c.astype(kind)) for c in codebooks] for kind in ([np.int64, object] if narrow else [object])}
-    width = codebooks[0].shape[1]
+    width, slices = codebooks[0].shape[1], {}
+    least = _kind(np.concatenate([c.ravel() for c in codebooks]), width)
+    kinds = [np.float64, np.int64, object]
     step = max(64, (1 << 22) // (ENTRIES * max(1, width)))
 
     def run(rows: np.ndarray):
-        kind = np.int64 if rows.dtype == np.int64 and narrow else object
+        kind = max(least, _kind(rows, width), key=kinds.index)
+        if kind not in slices:
+            slices[kind] = [Slices(c.astype(kind)) for c in codebooks]
         for begin in range(0, len(rows), step):
             own = rows[begin : begin + step].astype(kind)
             yield own, [s.nearest(own[:, p * width : (p + 1) * width]) for p, s in enumerate(slices[kind])]
@@ -139,7 +154,7 @@ def _sums(codebooks):
                 for p, (codes, _) in enumerate(found):
                     part = np.zeros(sums.shape[1:], own.dtype)
                     np.add.at(part, codes, own[:, p * width : (p + 1) * width])
-                    sums[p] += part
+                    sums[p] += part if own.dtype == object else part.astype(np.int64).astype(object)
                     rows[p] += np.bincount(codes, minlength=sums.shape[1])
         for p, entry in np.argwhere(rows):
             total = sums[p, entry]
@@ -160,10 +175,10 @@ def _codes(codebooks, columns: list[str]):
             for own, found in assign(_matrix(batch.column("vector"), dim)):
                 digits = np.stack([f[0] for f in found], axis=1).astype(np.uint8)
                 codes += [row.tobytes().hex() for row in digits]
-                total = sum(f[1].astype(object) for f in found)
-                if len(own) and max(total) >= 1 << 63:
-                    raise OverflowError("a squared error has more than 64 bits; scale the vectors down")
-                errors += [int(t) for t in total]
+                total = [int(t) for t in sum(f[1] if own.dtype == np.float64 else f[1].astype(object) for f in found)]
+                if max(total, default=0) >= 1 << 63:
+                    raise OverflowError("a squared error has more than 63 bits; scale the vectors down")
+                errors += total
             held = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*held, pa.array(codes, pa.string()), pa.array(errors, pa.int64())], [*columns, "code", "error"])
 
