@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.grams import U64, mix, salt
 from quotelake.llm.shared import stored, text_runs
+from quotelake.operators.windows import with_group_stats
 
 GRAM_BYTES = 5  # of a shingle's hash that a stored set keeps
 #: The sketch that tells apart members of one bucket: at similarity 0.8 about 102 of the bits differ,
@@ -80,9 +81,10 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     short = F.xxhash64("unit")
     several = members.groupBy("bucket").agg(F.min(short).alias("low"), F.max(short).alias("high")).where("low < high")
     found = stored(members.join(several.select("bucket"), "bucket", "left_semi").distinct(), "members")
-    met = found.join(found.groupBy("bucket").agg(F.count("*").alias("size")), "bucket").groupBy("unit").agg(F.sum("size").alias("met"))
-    hubs = found.join(met, "unit").groupBy("bucket").agg(F.max(F.struct("met", "unit"))["unit"].alias("hub"))
-    return stored(found.join(hubs, "bucket"), "buckets")
+    sized = with_group_stats(found, ["bucket"], {"size": F.count("*")})
+    met = with_group_stats(sized, ["unit"], {"met": F.sum("size")})
+    hub = F.max(F.struct("met", "unit"))["unit"]
+    return stored(with_group_stats(met, ["bucket"], {"hub": hub}).select("bucket", "unit", "hub"), "buckets")
 
 
 def _similar(threshold: float):

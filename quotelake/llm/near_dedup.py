@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.grams import RUN_CHARS, U64, mix, numbered_repeats, salt, shingles, word_hashes
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import keyed, row_key, stored, text_runs
+from quotelake.llm.shared import free_names, keyed, stored, text_runs, with_found
+from quotelake.operators.windows import with_group_stats
 
 ROWS, BANDS = 4, 25  # a pair of similarity 0.8 misses all bands once in 500,000 times
 COORDINATES = ROWS * BANDS
@@ -149,8 +150,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     if threshold < 0.8:
         raise ValueError("the bands are made for similarities of 0.8 or more")
     grouped = stored(_grouped(docs, threshold).select("doc_id", "root"), "near_groups")
-    classes = grouped.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    found = grouped.join(classes, "root").select("doc_id", "class_id", "class_size")
+    # A class may hold a third of all documents; the join is one in which such a key can be split.
+    stats = {"class_id": F.min("doc_id"), "class_size": F.count("*")}
+    found = with_group_stats(grouped, ["root"], stats).select("doc_id", "class_id", "class_size")
     lone = docs.where("text is null").select(F.col("doc_id").cast("bigint").alias("doc_id"))
     return found.unionByName(lone.withColumns({"class_id": F.col("doc_id"), "class_size": F.lit(1).cast("bigint")}))
 
@@ -162,9 +164,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     grouped = _grouped(docs, threshold)
     first = Window.partitionBy("root").orderBy(F.asc_nulls_last("doc_id"), "row", "tie")
     kept = grouped.withColumn("place", F.row_number().over(first)).where("place = 1").select("row", "tie")
-    row, tie = row_key()
-    marked = docs.withColumns({"_row": row, "_tie": tie})
-    match = (marked["_row"] == kept["row"]) & (marked["_tie"] == kept["tie"])
-    chosen = marked.where("text is not null").join(kept, match, "left_semi")
-    once = chosen.withColumn("_copy", F.row_number().over(Window.partitionBy("_row", "_tie").orderBy("_row"))).where("_copy = 1")
-    return once.select(*docs.columns).unionByName(docs.where("text is null"))
+    chosen, names = with_found(docs.where("text is not null"), kept, "left_semi")
+    key, [copy] = [names["row"], names["tie"]], free_names(chosen, "copy")
+    once = chosen.withColumn(copy, F.row_number().over(Window.partitionBy(*key).orderBy(key[0]))).where(F.col(copy) == 1)
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("text is null"))

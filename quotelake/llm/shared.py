@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,47 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), row.alias("row"), tie.alias("tie"), text.alias("text"))
 
 
+def free_names(df: DataFrame, *bases: str) -> list[str]:
+    """The names `bases`, lengthened until `df` has no column of that name in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in bases:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_found(docs: DataFrame, found: DataFrame, how: str = "left") -> tuple[DataFrame, dict[str, str]]:
+    """`docs`, all columns, joined with `found` (`row, tie` as `row_key` gives them, and others), and the
+    names that the columns of `found` have in the result."""
+    names = dict(zip(found.columns, free_names(docs, *found.columns), strict=True))
+    row, tie = row_key()
+    marked = docs.withColumns({names["row"]: row, names["tie"]: tie})
+    return marked.join(found.withColumnsRenamed(names), [names["row"], names["tie"]], how), names
+
+
+def tidy(function: Callable) -> Callable:
+    """`function` over batches, after which the worker gives the memory that it no longer uses back:
+    workers are reused, and what one holds is missing to the next stage on that executor."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def text_runs(texts: Sequence[str | None], most: int) -> Iterator[slice]:
     """Slices of consecutive texts with at most `most` characters each, or one longer text alone."""
     begin, size = 0, 0
