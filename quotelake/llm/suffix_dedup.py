@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.grams import U64, mix, salt
@@ -287,12 +287,14 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     if not 80 <= length <= 128:
         raise ValueError("length must be from 80 to 128")
-    text = F.col("text").cast("string")
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("tie"), text.alias("text"))
+    text, given = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
+    # A null id is replaced by a hash of the text, and told apart by the last bit of the tie.
+    tie = F.hash(text).bitwiseAND(-2).bitwiseOR(given.isNull().cast("int"))
+    source = docs.select(F.coalesce(given, F.xxhash64(text)).alias("doc_id"), tie.alias("tie"), text.alias("text"))
 
     def with_ranges(rows: DataFrame, how: str, *columns: str) -> DataFrame:
         rows = rows.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
-        same = source["doc_id"].eqNullSafe(rows["doc_id"]) & (source["tie"] == rows["tie"])
+        same = (source["doc_id"] == rows["doc_id"]) & (source["tie"] == rows["tie"])
         return source.join(rows, same, how).select(source["doc_id"], source["tie"], "text", "ranges")
 
     def still_open(found: DataFrame) -> DataFrame:
@@ -304,7 +306,12 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     removed = [found.where("not open").select("doc_id", "tie", "start", "stop") for found in (first, second, third)]
     cut_schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
     everything = removed[0].unionByName(removed[1]).unionByName(removed[2])
-    return with_ranges(everything, "left", "start", "stop").mapInArrow(_cut, cut_schema)
+    whole = with_ranges(everything, "left", "start", "stop")
+    return whole.withColumn("doc_id", F.when(~_has_no_id(), F.col("doc_id"))).mapInArrow(_cut, cut_schema)
+
+
+def _has_no_id() -> Column:
+    return F.col("tie").bitwiseAND(1) == 1
 
 
 def _judged(rows: DataFrame, length: int) -> DataFrame:
@@ -320,7 +327,7 @@ def _judged(rows: DataFrame, length: int) -> DataFrame:
         F.when(settled, F.shiftright("packed", 2)).otherwise(count + (length - 1)).cast("int").alias("size"),
         F.when(settled, 0).otherwise(F.shiftright("packed", 2).bitwiseAND(127)).cast("int").alias("anchor"),
     )
-    order = [F.asc_nulls_first("doc_id"), "place"]
+    order = [_has_no_id().desc(), "doc_id", "place"]
     whole = Window.partitionBy("name").orderBy("stretch", *order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stretch = F.when(F.col("kind") != NEWS, F.col("stretch"))
     several = (F.max("kind").over(whole) >= SEVERAL) | (F.min(stretch).over(whole) != F.max(stretch).over(whole))
