@@ -1,9 +1,11 @@
 """Repeated paragraphs: MinHash banding, exact verification, removal by components.
 
-A paragraph is a line with enough words. Paragraphs that agree in a band of their MinHash signature
-are candidates; the bands are tuned for recall (at similarity 0.8 one pair in 100,000 is missed), and
-each link is verified by the exact Jaccard similarity of the five-word shingles. Of every
-component the first paragraph stays, all others are cut out of their documents.
+A paragraph is a line with enough words, or a block: successive shorter lines that have enough words
+together. Paragraphs that agree in a band of their MinHash signature are candidates; the bands are
+tuned for recall (at similarity 0.8 one pair in 100,000 is missed), and each link is verified by the
+exact Jaccard similarity of the five-word shingles. Of every component the first paragraph stays, all
+others are cut out of their documents. A shorter line is never judged alone: it goes as part of
+a run of lines that all stand elsewhere, too, and have enough words together.
 
 Passages that repeat across or inside lines are found by windows of words. Of STEP windows in a row
 the one with the least hash is compared, so equal passages choose equal windows wherever they stand.
@@ -20,17 +22,19 @@ from quotelake.llm.grams import (
     RUN_CHARS, U64, mix, runs_of_words, salt, shingles, sort_segments, word_hashes, word_places,
 )
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import keyed, row_key, stored, text_runs
+from quotelake.llm.shared import keyed, release, stored, text_runs, tidy, with_found
 
 ROWS, BANDS = 3, 16
-#: The shortest line that has a shingle of five words; with it, wrapped passages are compared line by line.
+#: Words that make a line, a block or a run of shorter lines a paragraph.
+LEAST_WORDS = 40
+#: The shortest line that has a shingle of five words; shorter ones stay where they are.
 SHORTEST = 5
 #: Words of a window. A repeated run of WINDOW + STEP - 1 = 51 words holds a chosen window, and of a longer one
 #: at most STEP - 1 words at either end lie in none.
 WINDOW, STEP = 36, 16
 BAND_SCHEMA = "unit binary, bands array<bigint>"
 SET_SCHEMA = "unit binary, n int, bits array<bigint>, grams binary"
-PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int"
+PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int, lines int, words int"
 WINDOW_SCHEMA = "name bigint, more int, doc_id bigint, row bigint, tie int, at int"
 CUT_SCHEMA = "doc_id bigint, n_chars bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept string"
 
@@ -50,41 +54,73 @@ def _distinct_grams(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return grams[fresh], np.concatenate([[0], np.cumsum(np.bincount(segment[fresh], minlength=len(starts) - 1))])
 
 
-def _paragraphs(texts: list[str | None], min_words: int):
-    """For runs of texts, of all paragraphs that count: row, number in its text, grams and where they
-    begin, and the two hashes that name the unit."""
+def _blocks(row: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last but one of the lines of each block: all successive lines of one text that have words,
+    but fewer than `least`, if they are several and have `least` together."""
+    short = (sizes > 0) & (sizes < least)
+    begins = short.copy()
+    begins[1:] &= ~short[:-1] | (row[1:] != row[:-1])
+    ends = short.copy()
+    ends[:-1] &= ~short[1:] | (row[1:] != row[:-1])
+    first, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    enough = (total[stop] - total[first] >= least) & (stop - first > 1)
+    return first[enough], stop[enough]
+
+
+def _lines(texts: list[str | None]):
+    """For runs of texts: where the run begins, and of all its lines the text, the number in it, and the words."""
     for own in text_runs(texts, RUN_CHARS):
         lines = [(t or "").split("\n") for t in texts[own]]
         flat = [line for split in lines for line in split]
         counts = np.array([len(split) for split in lines])
         row = np.repeat(np.arange(own.start, own.stop), counts)
         number = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-        words, starts = word_hashes(flat)
-        long = np.flatnonzero(np.diff(starts) >= max(min_words, 1))
-        if not len(long):
-            continue
-        names = [n[long] for n in sequence_names(words, starts)]
-        sizes = np.diff(starts)[long]
-        ends = np.cumsum(sizes)
-        words = words[np.repeat(starts[long] - ends + sizes, sizes) + np.arange(ends[-1])]
-        yield row[long], number[long], *shingles(words, np.concatenate([[0], ends])), names
-
-
-def _bands(min_words: int):
+        yield row, number, *word_hashes(flat)
+
+
+def _judged(row: np.ndarray, starts: np.ndarray, least: int, blocks: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First and last but one of the lines of each paragraph that is banded."""
+    sizes = np.diff(starts)
+    first = np.flatnonzero(sizes >= max(least, 1))
+    stop = first + 1
+    if blocks:
+        more = _blocks(row, sizes, least)
+        first, stop = np.concatenate([first, more[0]]), np.concatenate([stop, more[1]])
+    return first, stop
+
+
+def _segments(words: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words from each `begin` to its `stop`, one after another, and where each run begins."""
+    sizes = stop - begin
+    ends = np.cumsum(sizes)
+    return words[np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1])], np.concatenate([[0], ends])
+
+
+def _paragraphs(texts: list[str | None], least: int, blocks: bool):
+    """For runs of texts, of all banded paragraphs: grams, where they begin, and the two hashes that name the unit."""
+    for row, _, words, starts in _lines(texts):
+        first, stop = _judged(row, starts, least, blocks)
+        if len(first):
+            own, begins = _segments(words, starts[first], starts[stop])
+            yield *shingles(own, begins), sequence_names(own, begins)
+
+
+def _bands(least: int, blocks: bool):
     def run(batches):
         for batch in batches:
-            for _, _, grams, starts, names in _paragraphs(batch.column("text").to_pylist(), min_words):
+            for grams, starts, names in _paragraphs(batch.column("text").to_pylist(), least, blocks):
                 keys = band_keys(min_hashes(grams, starts, ROWS * BANDS), ROWS)
                 once = np.unique(names[0], return_index=True)[1] if len(names[0]) else []
                 yield pa.record_batch([unit_names(*(n[once] for n in names)), lists(keys[once])], ["unit", "bands"])
 
-    return run
+    return tidy(run)
 
 
-def _sets(min_words: int):
+def _sets(least: int, blocks: bool):
     def run(batches):
         for batch in batches:
-            for _, _, grams, starts, names in _paragraphs(batch.column("text").to_pylist(), min_words):
+            for grams, starts, names in _paragraphs(batch.column("text").to_pylist(), least, blocks):
                 grams, starts = _distinct_grams(grams, starts)
                 once = np.unique(names[0], return_index=True)[1]
                 sizes = np.diff(starts).astype(np.int32)
@@ -94,19 +130,46 @@ def _sets(min_words: int):
                     lists(np.zeros((len(once), 0), U64)), pa.array([sets[i] for i in once], pa.binary()),
                 ], ["unit", "n", "bits", "grams"])
 
-    return run
+    return tidy(run)
+
 
+def _places(least: int, blocks: bool):
+    """Where the banded paragraphs stand, and with `blocks` the shorter lines, which are only equal to equal ones."""
 
-def _places(min_words: int):
     def run(batches):
         for batch in batches:
-            for row, number, _, _, names in _paragraphs(batch.column("text").to_pylist(), min_words):
-                own = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "row", "tie")]
+            for row, number, words, starts in _lines(batch.column("text").to_pylist()):
+                first, stop = _judged(row, starts, least, blocks)
+                if blocks:
+                    sizes = np.diff(starts)
+                    lone = np.flatnonzero((sizes >= SHORTEST) & (sizes < least))
+                    first, stop = np.concatenate([first, lone]), np.concatenate([stop, lone + 1])
+                if not len(first):
+                    continue
+                own, begins = _segments(words, starts[first], starts[stop])
+                keys = [batch.column(c).take(pa.array(row[first])) for c in ("doc_id", "row", "tie")]
+                numbers = [pa.array(x.astype(np.int32)) for x in (number[first], stop - first, np.diff(begins))]
                 yield pa.record_batch(
-                    [unit_names(*names), *own, pa.array(number.astype(np.int32))], ["unit", "doc_id", "row", "tie", "paragraph"]
+                    [unit_names(*sequence_names(own, begins)), *keys, *numbers],
+                    ["unit", "doc_id", "row", "tie", "paragraph", "lines", "words"],
                 )
 
-    return run
+    return tidy(run)
+
+
+def settled_lines(found: list[tuple[int, int, int]], least: int) -> list[int]:
+    """The lines that go, of paragraphs given as first line, lines and words: those of each run of
+    successive lines that has `least` words together."""
+    out, run, words, end = [], [], 0, None
+    for first, lines, count in [*sorted(found), (None, 0, 0)]:
+        if first is None or (end is not None and first > end):
+            out += run if words >= least else []
+            run, words = [], 0
+        if first is not None:
+            run += range(max(first, end or 0), first + lines)
+            words += count
+            end = max(end or 0, first + lines)
+    return out
 
 
 def chosen_windows(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +213,7 @@ def _windows(batches):
                 [pa.array(names.view(np.int64)), pa.array(more), *keys, pa.array((at - starts[text]).astype(np.int32))],
                 ["name", "more", "doc_id", "row", "tie", "at"],
             )
+    release()
 
 
 def passage_spans(text: str, passages: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -213,34 +277,47 @@ def cut_paragraphs(text: str, removed: list[int]) -> tuple[str, list[dict[str, i
     return "\n".join(kept), spans
 
 
-def _cut(batches):
-    for batch in batches:
-        texts, out = batch.column("text").to_pylist(), []
-        lines, passages = batch.column("removed").to_pylist(), batch.column("passages").to_pylist()
-        for text, removed, found in zip(texts, lines, passages, strict=True):
-            kept, spans = cut_passages(text or "", removed or [], [(p["start"], p["stop"]) for p in found or []])
-            out.append((len(text or ""), len(text or "") - len(kept), len(spans), spans, kept if text is not None else None))
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        yield pa.record_batch([
-            batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], span), pa.array(columns[4], pa.string()),
-        ], ["doc_id", "n_chars", "n_removed", "n_spans", "spans", "kept"])
-
-
-def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
-    """`row, tie, removed`: the numbers of the paragraphs that go from a document, if any do."""
+def _cut_batch(texts: pa.Array, removed: pa.Array, passages: pa.Array, least: int):
+    """Of each text what stays, and the places of what goes."""
+    for text, lines, spans in zip(texts.to_pylist(), removed.to_pylist(), passages.to_pylist(), strict=True):
+        gone = settled_lines([(p["paragraph"], p["lines"], p["words"]) for p in lines or []], least)
+        yield text, *cut_passages(text or "", gone, [(p["start"], p["stop"]) for p in spans or []])
+
+
+def _cut(least: int):
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c) for c in ("text", "removed", "passages")]
+            out = [
+                (len(text or ""), len(text or "") - len(kept), len(spans), spans, kept if text is not None else None)
+                for text, kept, spans in _cut_batch(*columns, least)
+            ]
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+            yield pa.record_batch([
+                batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]),
+                pa.array(columns[3], span), pa.array(columns[4], pa.string()),
+            ], ["doc_id", "n_chars", "n_removed", "n_spans", "spans", "kept"])
+
+    return tidy(run)
+
+
+def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = LEAST_WORDS, blocks: bool = False) -> DataFrame:
+    """`row, tie, removed`: the paragraphs that stand elsewhere earlier, as first line, lines and words, for
+    each document that has any. With `blocks`, blocks and shorter lines are among them."""
     source = keyed(docs)
-    buckets = shared_buckets(source.mapInArrow(_bands(min_words), BAND_SCHEMA))
+    buckets = shared_buckets(source.mapInArrow(_bands(min_words, blocks), BAND_SCHEMA))
     candidates = buckets.select("unit").distinct()
-    sets = source.mapInArrow(_sets(min_words), SET_SCHEMA).join(candidates, "unit", "left_semi").dropDuplicates(["unit"])
+    sets = source.mapInArrow(_sets(min_words, blocks), SET_SCHEMA).join(candidates, "unit", "left_semi").dropDuplicates(["unit"])
     roots = group_units(buckets, stored(sets, "paragraph_sets"), threshold)
-    order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", "paragraph")
-    places = source.mapInArrow(_places(min_words), PLACE_SCHEMA).join(roots, "unit", "left")
+    order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", "paragraph", "lines")
+    places = source.mapInArrow(_places(min_words, blocks), PLACE_SCHEMA).join(roots, "unit", "left")
     places = stored(places.withColumn("root", F.coalesce("root", "unit")).drop("unit").withColumn("at", order), "paragraphs")
     # The first of each component, by aggregation; the others find it by their root.
-    first = places.groupBy("root").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last")
-    later = places.join(first.drop("last"), "root").where("at > first")
-    return later.groupBy("row", "tie").agg(F.sort_array(F.collect_set("paragraph")).alias("removed"))
+    first = places.groupBy(F.struct("root").alias("key")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    first = first.where("first < last").select("key.root", "first")
+    later = places.join(first, "root").where("at > first")
+    return later.groupBy("row", "tie").agg(F.collect_set(F.struct("paragraph", "lines", "words")).alias("removed"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -250,21 +327,30 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     overlap the first of their kind go only as far as it does not reach.
     """
     windows = stored(keyed(docs).mapInArrow(_windows, WINDOW_SCHEMA), "windows")
-    # Which windows repeat is found over short hashes; only those are sent with their places.
+    # Which windows repeat is found over short hashes; only those are sent with their places. Keys
+    # are grouped as structs, so that a join shuffles both sides and splits a hot one.
     place = F.xxhash64("row", "tie", "at")
-    several = windows.groupBy("name").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high")
+    several = windows.groupBy(F.struct("name").alias("key")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", F.col("at").alias("start"))
-    found = windows.join(several.select("name"), "name", "left_semi").withColumn("place", order).drop("doc_id")
-    found = stored(found, "passages")
-    first = found.groupBy("name", "more").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    later = found.join(first.drop("last"), ["name", "more"]).where("place > first")
+    found = windows.join(several.where("low < high").select("key.name"), "name", "left_semi")
+    found = stored(found.withColumn("place", order).drop("doc_id"), "passages")
+    first = found.groupBy(F.struct("name", "more").alias("key")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    first = first.where("first < last").select("key.*", "first")
+    later = found.join(first, ["name", "more"]).where("place > first")
     clear = F.when((F.col("first.row") == F.col("row")) & (F.col("first.tie") == F.col("tie")), F.col("first.start") + WINDOW).otherwise(0)
     span = F.struct(F.greatest("at", clear).alias("start"), (F.col("at") + WINDOW).alias("stop"))
     later = later.select("row", "tie", span.alias("span")).where("span.start < span.stop")
     return later.groupBy("row", "tie").agg(F.collect_set("span").alias("passages"))
 
 
-def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
+def _repeated(docs: DataFrame, threshold: float, min_words: int) -> DataFrame:
+    """`row, tie, removed, passages` of documents that lose anything."""
+    if threshold < 0.8:
+        raise ValueError("the bands are made for similarities of 0.8 or more")
+    return repeated_paragraphs(docs, threshold, min_words, blocks=True).join(repeated_passages(docs), ["row", "tie"], "full")
+
+
+def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int = LEAST_WORDS) -> DataFrame:
     """`doc_id, n_chars, n_removed, n_spans, spans, kept` for every row of `docs` (`doc_id, text`).
 
     Paragraphs are lines; those with at least `min_words` words (runs of letters and digits) are
@@ -280,34 +366,38 @@ def remove_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int =
     removed = repeated_paragraphs(docs, threshold, min_words)
     none = F.lit(None).cast("array<struct<start:int,stop:int>>").alias("passages")
     whole = keyed(docs).join(removed, ["row", "tie"], "left").select("doc_id", "text", "removed", none)
-    return whole.mapInArrow(_cut, CUT_SCHEMA)
+    return whole.mapInArrow(_cut(min_words), CUT_SCHEMA)
 
 
-def remove_passages(docs: DataFrame, threshold: float = 0.8, min_words: int = SHORTEST) -> DataFrame:
-    """As `remove_paragraphs`, and without the passages that repeat inside or across lines.
+def remove_passages(docs: DataFrame, threshold: float = 0.8, min_words: int = LEAST_WORDS) -> DataFrame:
+    """As `remove_paragraphs`, with blocks of shorter lines as paragraphs, and without the passages that
+    repeat inside or across lines.
 
-    Of a run of WINDOW + STEP - 1 words or more that stands earlier in any document, all goes but at
-    most STEP - 1 words at either end; of shorter ones those of WINDOW words and more that hold a
-    chosen window. Words are compared without case and what stands between them.
+    A block is all successive lines that have words, but fewer than `min_words`, if they have as many
+    together. Lines of SHORTEST words and more that equal an earlier line go where the successive lines
+    that go have `min_words` words together. Of a run of WINDOW + STEP - 1 words or more that stands
+    earlier in any document, all goes but at most STEP - 1 words at either end; of shorter ones those
+    of WINDOW words and more that hold a chosen window. Words are compared without case and what stands
+    between them.
     """
-    if threshold < 0.8:
-        raise ValueError("the bands are made for similarities of 0.8 or more")
-    removed = repeated_paragraphs(docs, threshold, min_words)
-    both = removed.join(repeated_passages(docs), ["row", "tie"], "full")
-    whole = keyed(docs).join(both, ["row", "tie"], "left").select("doc_id", "text", "removed", "passages")
-    return whole.mapInArrow(_cut, CUT_SCHEMA)
-
-
-def trim_documents(docs: DataFrame, threshold: float = 0.8, min_words: int = 40) -> DataFrame:
-    """All columns of `docs`, with `text` cut as by `remove_paragraphs` and, where there is the
-    column, `n_chars` counted again. A document whose text is cut to nothing but blanks goes."""
-    row, tie = row_key()
-    removed = repeated_paragraphs(docs, threshold, min_words).withColumnsRenamed({"row": "_row", "tie": "_tie", "removed": "_removed"})
-    joined = docs.withColumns({"_row": row, "_tie": tie}).join(removed, ["_row", "_tie"], "left")
-    lines = F.split("text", "\n", -1)
-    numbered = F.filter(lines, lambda line, i: ~F.array_contains("_removed", i))
-    cut = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(numbered, "\n"))
-    kept = joined.withColumn("text", cut).where("_removed is null or text rlike '\\\\S'")
+    whole = keyed(docs).join(_repeated(docs, threshold, min_words), ["row", "tie"], "left")
+    return whole.select("doc_id", "text", "removed", "passages").mapInArrow(_cut(min_words), CUT_SCHEMA)
+
+
+def trim_documents(docs: DataFrame, threshold: float = 0.8, min_words: int = LEAST_WORDS) -> DataFrame:
+    """All columns of `docs`, with `text` cut as by `remove_passages` and, where there is the column,
+    `n_chars` counted again. A document whose text is cut to nothing but blanks goes."""
+    joined, names = with_found(docs, _repeated(docs, threshold, min_words))
+    removed, passages = names["removed"], names["passages"]
+
+    @F.arrow_udf("string")
+    def kept(texts: pa.Array, lines: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else k for t, k, _ in _cut_batch(texts, lines, spans, min_words)], pa.string())
+
+    whole = F.col(removed).isNull() & F.col(passages).isNull()
+    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(kept("text", removed, passages)))
+    joined = joined.where(whole | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        count = F.when(whole, F.col("n_chars")).otherwise(F.length("text"))
+        joined = joined.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -114,6 +114,18 @@ def test_byte_strings_edge_rows(spark):
     assert [(r.n_removed, r.n_spans, r.spans) for r in alone] == [(0, 0, [])] * 2
 
 
+def test_byte_strings_of_null_ids_whose_hashes_collide(spark):
+    """Two texts with the same 32-bit hash and no id are still two documents."""
+    from pyspark.sql import functions as F
+
+    shared = words_of(random.Random(12), 30)[:160]
+    made = spark.range(400_000).select(F.concat(F.lit(shared), F.col("id").cast("string")).alias("text"))
+    pairs = made.groupBy(F.hash("text").alias("h")).agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a < b")
+    first, second = pairs.orderBy("h").select("a", "b").first()
+    got = suffix_dedup.remove_repeats(frame(spark, [(None, first), (None, second)])).collect()
+    assert sorted(r.n_removed for r in got)[0] == 0 and sorted(r.n_removed for r in got)[1] >= 160
+
+
 def test_names_agree_only_for_equal_strings():
     data = np.frombuffer(("abcdefgh" * 30 + "abcdefgx").encode(), np.uint8)
     found = suffix_dedup.names(data, 64)
@@ -219,6 +231,101 @@ def test_chosen_windows_and_cuts():
     assert paragraph_dedup.cut_passages("İİ x\nİ y", [], [(0, 0 + len(word_hashes(["İİ"])[0]))])[0] == "x\nİ y"
 
 
+def brute_passages(rows, least=40, shortest=5, window=36, step=16):
+    """What `remove_passages` leaves, by comparing all paragraphs, lines and windows."""
+    units, lone = [], []
+    for d, text in rows:
+        lines = [WORD.findall(line.lower()) for line in text.split("\n")]
+        run = []
+        for k, words in enumerate([*lines, []]):
+            if 0 < len(words) < least:
+                run.append(k)
+                continue
+            if len(run) > 1 and sum(len(lines[i]) for i in run) >= least:
+                units.append((d, run[0], len(run), [w for i in run for w in lines[i]]))
+            run = []
+            if words:
+                units.append((d, k, 1, words))
+        lone += [(d, k, 1, words) for k, words in enumerate(lines) if shortest <= len(words) < least]
+    sets = [gram_counts(" ".join(u[3])).keys() for u in units]
+    linked = [(a, b) for a in range(len(units)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    groups = defaultdict(list)
+    for i, root in enumerate(roots(len(units), linked)):
+        groups[root].append(units[i][:3] + (len(units[i][3]),))
+    for u in lone:
+        groups[tuple(u[3])].append(u[:3] + (len(u[3]),))
+    gone = defaultdict(dict)
+    for members in groups.values():
+        for d, first, lines, words in sorted(members)[1:]:
+            for k in range(first, first + lines):
+                gone[d][k] = gone[d].get(k, 0) + (words if k == first else 0)
+    kept_lines = {}
+    for d, found in gone.items():
+        runs = []
+        for k in sorted(found):
+            if not runs or k > runs[-1][-1] + 1:
+                runs.append([])
+            runs[-1].append(k)
+        kept_lines[d] = {k for run in runs if sum(found[k] for k in run) >= least for k in run}
+    seen, out = {}, {}
+    for d, text in rows:
+        words, starts = word_hashes([text])
+        plain = WORD.findall(text.lower())
+        passages = []
+        for i in paragraph_dedup.chosen_windows(words, starts)[0].tolist():
+            key = tuple(plain[i : i + window])
+            if key not in seen:
+                seen[key] = (d, i)
+            else:
+                begin = max(i, seen[key][1] + window) if seen[key][0] == d else i
+                if begin < i + window:
+                    passages.append((begin, i + window))
+        out[d] = paragraph_dedup.cut_passages(text, sorted(kept_lines.get(d, ())), passages)[0]
+    return out
+
+
+def test_the_query_against_all_pairs(spark):
+    """Lines, blocks, runs of shorter lines and windows of the given documents, compared one by one."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.orderBy("doc_id").collect()]
+    got = {r.doc_id: r.kept or "" for r in paragraph_dedup.remove_passages(docs).collect()}
+    assert got == brute_passages(rows)
+    assert sum(got[d] != t for d, t in rows) > 10
+
+
+def test_blocks_and_lone_lines(spark):
+    rng = random.Random(77)
+    slogan = "thanks for reading this article"
+    block = [words_of(rng, 14, 10**6).split() for _ in range(6)]
+    rows = [(i, f"{words_of(rng, 50, 10**6)}\n{slogan}") for i in range(30)]
+    for i in range(30, 36):
+        words = [list(line) for line in block]
+        words[i % 6][rng.randrange(14)] = f"e{i}"  # an edited copy in each document
+        rows.append((i, f"{words_of(rng, 45, 10**6)}\n" + "\n".join(map(" ".join, words)) + f"\n\n{words_of(rng, 12, 10**6)}"))
+    got = {r.doc_id: r.kept for r in paragraph_dedup.remove_passages(frame(spark, rows)).collect()}
+    assert got == brute_passages(rows)
+    # A slogan in every document stays; of an edited block only the first copy does.
+    assert all(got[i] == dict(rows)[i] for i in range(31)) and all(len(got[i].split()) == 57 for i in range(31, 36))
+
+
+def test_passages_of_a_very_long_text(spark):
+    rng = random.Random(78)
+    lines = [words_of(rng, rng.choice([8, 20, 60, 300]), 10**6) for _ in range(900)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([words_of(rng, 50), *lines[400:430], words_of(rng, 50)])), (3, "short")]
+    assert len(rows[0][1]) > 2 * paragraph_dedup.RUN_CHARS // 4
+    got = {r.doc_id: r.kept for r in paragraph_dedup.remove_passages(frame(spark, rows)).collect()}
+    assert got == brute_passages(rows)
+
+
+def test_settled_lines():
+    settle = paragraph_dedup.settled_lines
+    assert settle([(0, 1, 45)], 40) == [0] and settle([(0, 1, 12)], 40) == []
+    assert settle([(2, 1, 20), (1, 1, 20), (4, 1, 39)], 40) == [1, 2]
+    assert settle([(3, 4, 50), (5, 1, 9), (8, 1, 12)], 40) == [3, 4, 5, 6]
+    assert settle([(3, 1, 8), (4, 2, 41), (6, 1, 8)], 40) == [3, 4, 5, 6] and settle([], 40) == []
+
+
 def test_paragraph_edge_rows(spark):
     line = words_of(random.Random(3), 45)
     schema = "doc_id bigint, text string, unit string, row int, paragraph int, n_chars int, _removed int"
@@ -227,8 +334,8 @@ def test_paragraph_edge_rows(spark):
     docs = frame(spark, rows, schema)
     got = sorted(((r.doc_id or 0), r.kept) for r in paragraph_dedup.remove_paragraphs(docs).collect() if r.kept is not None)
     assert got == [(0, line), (1, ""), (1, ""), (3, ""), (4, "own\n")]
-    trimmed = paragraph_dedup.trim_documents(docs.drop("_removed"))
-    assert trimmed.columns == ["doc_id", "text", "unit", "row", "paragraph", "n_chars"]
+    trimmed = paragraph_dedup.trim_documents(docs)
+    assert trimmed.columns == docs.columns and {r._removed for r in trimmed.collect()} == {1}
     assert sorted((r.doc_id or 0, r.text, r.n_chars) for r in trimmed.collect() if r.text) == [(0, line, 1), (4, "own\n", 4)]
     assert {r.text for r in trimmed.collect()} == {line, "own\n", "", None}
     assert paragraph_dedup.remove_paragraphs(frame(spark, [], "doc_id bigint, text string")).collect() == []
