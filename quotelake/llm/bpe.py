@@ -1,12 +1,15 @@
 """Byte-level BPE over a table of distinct words.
 
 Texts are split into words where the vocabulary's own rule splits them. Each distinct word is
-encoded once, and its ids are joined back to every place where it stands. Within one part of the
-corpus (a bounded run of documents) a word crosses the network once, however often it occurs.
+encoded once for some hundred parts of the corpus (a part is a bounded run of documents), and its ids are
+joined back to every place where it stands. Within a part a word crosses the network once, however
+often it occurs, and a bucket of the word table holds words of a bounded number of parts, however
+many parts have them.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from collections import defaultdict
@@ -22,7 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quotelake.llm.shared import text_runs
+from quotelake.llm.shared import release, text_runs, tidy
+
+# Spark runs one task on each core; threads of the library's own would only take memory.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Fixed value: where byte-level vocabularies split a text before any merge.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -35,14 +41,15 @@ SIMPLE_WORDS = re.compile(
 BEYOND_SIMPLE = re.compile(r"[^\t\n\r\x20-\x7e\u00c0-\u024f]")
 BEYOND_LATIN = regex.compile(r"[^\x00-\u024f]")
 
-WORD_SCHEMA = "part bigint, bucket int, slots binary, lengths binary, words binary"
-WORD_TYPES = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+WORD_SCHEMA = "part bigint, span bigint, bucket int, slots binary, lengths binary, words binary"
+WORD_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 CODE_SCHEMA = "part bigint, words int, doc_ids array<bigint>, sizes array<int>, codes binary"
 ID_SCHEMA = "part bigint, slots binary, counts binary, ids binary"
 TOKEN_SCHEMA = "doc_id bigint, n_tokens bigint, ids binary, decoded string"
 
 ROW_CHARS = 1 << 20  # characters of the documents that share a row
-BUCKET_BYTES, MOST_BUCKETS = 1 << 22, 1 << 26
+#: Parts that share word buckets: as many of one partition of the input, of so many partitions in a row.
+SPAN_PARTS, SPAN_PARTITIONS, BUCKETS = 64, 8, 64
 CODEC = pa.Codec("zstd", compression_level=3)
 SAME_ORDER = "are the documents read in the same order each time?"
 
@@ -182,16 +189,17 @@ def _part_words(vocabulary, part_chars: int, buckets: int):
             words = list(_distinct(texts, vocabulary.value))
             bucket = np.fromiter((crc32(w.encode()) for w in words), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable")
+            span = (number >> 32) // SPAN_PARTITIONS << 32 | (number & 0xFFFFFFFF) // SPAN_PARTS
             rows = []
             for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-                rows.append((number, int(bucket[own[0]]), _pack(own), *_pack_words([words[i] for i in own])))
+                rows.append((number, span, int(bucket[own[0]]), _pack(own), *_pack_words([words[i] for i in own])))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), WORD_TYPES, strict=True)],
-                    ["part", "bucket", "slots", "lengths", "words"],
+                    ["part", "span", "bucket", "slots", "lengths", "words"],
                 )
 
-    return run
+    return tidy(run)
 
 
 def _part_codes(vocabulary, part_chars: int):
@@ -208,11 +216,11 @@ def _part_codes(vocabulary, part_chars: int):
                     pa.array([_pack(np.concatenate(codes[own]))], pa.binary()),
                 ], ["part", "words", "doc_ids", "sizes", "codes"])
 
-    return run
+    return tidy(run)
 
 
 def _encode_bucket(vocabulary):
-    """One bucket of the word table: each distinct word is encoded once, for all parts that hold it."""
+    """One bucket of the word table: each distinct word is encoded once, for all parts of the span that hold it."""
 
     def run(rows: pa.Table) -> pa.Table:
         held = [_unpack_words(a, b) for a, b in zip(rows["lengths"].to_pylist(), rows["words"].to_pylist(), strict=True)]
@@ -268,35 +276,34 @@ def _join_back(vocabulary):
             doc_ids += own_ids
             out += [raw[4 * a : 4 * b] for a, b in zip(word_ends[:-1], word_ends[1:], strict=True)]
             texts += [text[a:b].decode("utf-8", "replace") for a, b in zip(byte_ends[:-1], byte_ends[1:], strict=True)]
-        return pa.table([
+        made = pa.table([
             pa.array(doc_ids, pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()),
             pa.array(out, pa.binary()), pa.array(texts, pa.string()),
         ], ["doc_id", "n_tokens", "ids", "decoded"])
+        del rows, words, ids, texts, out
+        release()
+        return made
 
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 23, buckets: int | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary_path: str, part_chars: int = 1 << 22, buckets: int | None = None) -> DataFrame:
     """`doc_id, n_tokens, ids, decoded` for every row of `docs` (`doc_id, text`).
 
     `ids` are what the tokenizers library gives for the whole text without adding special tokens, as
     little-endian unsigned 32-bit integers; `decoded` is the text that the ids stand for. Rows
     stay apart when they repeat or share an id; a null text counts as empty and an empty one has no
     ids. Other columns are not read. `part_chars` bounds what one task holds (a longer document is a
-    part of its own); the word table has `buckets` buckets, by default one for each 4 MB of input and
-    at least four for each shuffle partition, so that a bucket stays small at any size. The vocabulary is read by the driver; it must be byte-level BPE.
+    part of its own); the words of up to SPAN_PARTS times SPAN_PARTITIONS parts are dealt into `buckets`
+    buckets (BUCKETS of them by default). The vocabulary is read by the driver; it must be byte-level BPE.
 
     The documents are read twice, and each part must come out the same both times, as it does from a
     stored table; write other plans to a table first. A mismatch ends the job with an error.
     """
-    spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())
+        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if buckets is None:
-        size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES, MOST_BUCKETS))
-    words = source.mapInArrow(_part_words(vocabulary, part_chars, buckets), WORD_SCHEMA)
-    ids = words.groupBy("bucket").applyInArrow(_encode_bucket(vocabulary), ID_SCHEMA)
+    words = source.mapInArrow(_part_words(vocabulary, part_chars, buckets or BUCKETS), WORD_SCHEMA)
+    ids = words.groupBy("span", "bucket").applyInArrow(_encode_bucket(vocabulary), ID_SCHEMA)
     codes = source.mapInArrow(_part_codes(vocabulary, part_chars), CODE_SCHEMA)
     return codes.groupBy("part").cogroup(ids.groupBy("part")).applyInArrow(_join_back(vocabulary), TOKEN_SCHEMA)
