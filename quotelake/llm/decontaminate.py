@@ -10,18 +10,19 @@ for once in 700,000 times. Agreeing pairs are verified by exact containment in t
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm.grams import RUN_CHARS, U64, salt, shingles, word_hashes
-from quotelake.llm.shared import text_runs
+from quotelake.llm.grams import RUN_CHARS, U64, plain_runs, salt, shingles, word_hashes
+from quotelake.llm.shared import stored, text_runs
 
-HASHES = 64
+HASHES, WIDTH = 64, 5
 #: A block of the benchmark holds about so many items and characters; each block is one pass.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 1 << 26
 LEAKS = "array<struct<item_id:bigint,n_shared:int,n_item:int>>"
@@ -49,14 +50,19 @@ class Items:
     ids: tuple[int | None, ...]
     grams: tuple[np.ndarray, ...]  # the distinct shingles of each item, sorted
     partitions: tuple[Partition, ...]
+    short: tuple[tuple[int, np.ndarray, np.ndarray], ...]  # by words: hashes of the items that short, sorted, and the items
 
     @classmethod
     def of(cls, ids: list[int | None], texts: list[str | None]) -> Items:
-        hashes, starts = shingles(*word_hashes(texts))
+        words, word_starts = word_hashes(texts)
+        hashes, starts = shingles(words, word_starts, WIDTH)
         grams = tuple(np.unique(hashes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True))
         by_size: dict[int, list[int]] = {}
-        for i, own in enumerate(grams):
-            if len(own):
+        by_words: dict[int, list[int]] = {}
+        for i, (own, count) in enumerate(zip(grams, np.diff(word_starts).tolist(), strict=True)):
+            if 0 < count < WIDTH:
+                by_words.setdefault(count, []).append(i)
+            elif len(own):
                 by_size.setdefault(1 << (len(own) - 1).bit_length(), []).append(i)
         partitions = []
         for size, own in sorted(by_size.items()):
@@ -67,7 +73,24 @@ class Items:
             bitmap = np.zeros(1 << width, bool)
             bitmap[keys.ravel() >> U64(64 - width)] = True
             partitions.append(Partition(size, keys.ravel()[order], items[order], bitmap, 64 - width))
-        return cls(tuple(ids), grams, tuple(partitions))
+        short = []
+        for count, own in sorted(by_words.items()):
+            keys = np.array([grams[i][0] for i in own], U64)
+            order = np.argsort(keys, kind="stable")
+            short.append((count, keys[order], np.array(own)[order]))
+        return cls(tuple(ids), grams, tuple(partitions), tuple(short))
+
+    def short_hits(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Pairs of document and item of fewer than WIDTH words that it holds, each once."""
+        found = [np.zeros((0, 2), np.int64)]
+        for count, keys, items in self.short:
+            runs, at = plain_runs(words, starts, count, WIDTH)
+            low, high = np.searchsorted(keys, runs, "left"), np.searchsorted(keys, runs, "right")
+            hit = np.flatnonzero(high > low)
+            for shift in range(int((high - low).max(initial=0))):  # items that repeat
+                more = hit[low[hit] + shift < high[hit]]
+                found.append(np.stack([at[more], items[low[more] + shift]], 1))
+        return np.unique(np.concatenate(found), axis=0)
 
     def candidates(self, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Pairs of document and item that agree in a MinHash value of some window, each once."""
@@ -106,8 +129,11 @@ class Items:
 
     def leaks(self, texts: list[str | None], threshold: float) -> list[list[dict[str, int | None]]]:
         """For each text the items whose shingles it holds to a share of at least `threshold`."""
-        grams, starts = shingles(*word_hashes(texts))
+        words, word_starts = word_hashes(texts)
+        grams, starts = shingles(words, word_starts, WIDTH)
         out: list[list[dict[str, int | None]]] = [[] for _ in texts]
+        for row, item in self.short_hits(words, word_starts).tolist():
+            out[row].append({"item_id": self.ids[item], "n_shared": 1, "n_item": 1})
         document, own = -1, grams
         for row, item in self.candidates(grams, starts).tolist():
             if row != document:
@@ -134,37 +160,39 @@ def _search(spark, items: Items, threshold: float):
     return search
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Column:
-    """A column for `docs`: array of `item_id, n_shared, n_item` of the items of `benchmark` (`item_id,
-    text`) that the document's `text` holds.
-
-    An item is held if at least `threshold` of its distinct five-word shingles occur in the document, and
-    they do so near to each other (within twice its length, which is how the search finds it). Words
-    are runs of letters and digits in any case. A text of one to four words is one shingle, so such
-    an item is only found in a document that consists of it; one without words, or a null, never is. Items that
-    repeat are found each. The benchmark is taken in blocks of bounded size, each of which is sent
-    to all tasks and costs one pass over the texts.
-    """
-    spark = docs.sparkSession
+def _blocks(spark: SparkSession, benchmark: DataFrame, threshold: float) -> Iterator[tuple[Callable[[Column], Column], bool]]:
+    """A function from a text to its leaks for each block of the benchmark, and whether it is the last one."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     sizes = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     count = max(1, math.ceil(sizes.n / BLOCK_ITEMS), math.ceil(sizes.chars / BLOCK_CHARS))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    found = []
     for i in range(count):
         rows = items.where(block == i).collect()  # one block, bounded as said
-        if rows:
-            found.append(_search(spark, Items.of(*zip(*rows, strict=True)), threshold)(docs["text"]))
-    none = F.array().cast(LEAKS)
-    return F.concat(none, *found)
+        yield _search(spark, Items.of(*(zip(*rows, strict=True) if rows else ((), ()))), threshold), i == count - 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """`doc_id, item_id, n_shared, n_item, containment`: one row for each document and item it holds."""
-    held = docs.select("doc_id", F.explode(find_leaks(docs, benchmark, threshold)).alias("leak")).select("doc_id", "leak.*")
-    return held.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+    """`doc_id, item_id, n_shared, n_item, containment`: one row for each document (`doc_id, text`) and each
+    item of `benchmark` (`item_id, text`) that it holds.
+
+    An item is held if at least `threshold` of its distinct five-word shingles occur in the document, and
+    they do so near to each other (within twice its length, which is how the search finds it). Words
+    are runs of letters and digits in any case. An item of one to four words is one shingle, which is
+    held by a document in which those words stand in a row; one without words, or a null, is held by
+    none. Items that repeat are found each. The benchmark is taken in blocks of bounded size, each of
+    which is sent to all tasks and costs one pass over the texts; the result of each pass is written
+    before the next block is sent.
+    """
+    found = []
+    for search, last in _blocks(docs.sparkSession, benchmark, threshold):
+        held = docs.select("doc_id", F.explode(search(docs["text"])).alias("leak")).select("doc_id", "leak.*")
+        found.append(held if last and not found else stored(held, "leaks"))
+    return reduce(DataFrame.unionByName, found).withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The rows of `docs`, with all columns, that hold no item."""
-    return docs.withColumn("_leaks", find_leaks(docs, benchmark, threshold)).where("size(_leaks) = 0").select(*docs.columns)
+    for search, last in _blocks(docs.sparkSession, benchmark, threshold):
+        docs = docs.where(F.size(search(docs["text"])) == 0)
+        docs = docs if last else stored(docs, "clean")
+    return docs

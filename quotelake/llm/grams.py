@@ -112,6 +112,19 @@ def shingles(words: np.ndarray, starts: np.ndarray, width: int = 5) -> tuple[np.
     return out, np.concatenate([[0], ends])
 
 
+def plain_runs(words: np.ndarray, starts: np.ndarray, count: int, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes that `shingles` gives to texts of `count` words, fewer than `width`, for all runs of
+    `count` words in each text, and the text of each."""
+    first = np.arange(max(len(words) - count + 1, 0))
+    text = np.searchsorted(starts, first, "right") - 1
+    inside = first + count <= starts[text + 1]
+    first, text = first[inside], text[inside]
+    out = np.zeros(len(first), U64)
+    for k in range(width):
+        out = mix(out + words[first + k] * salt(k)) if k < count else mix(out)
+    return out, text
+
+
 def runs_of_words(words: np.ndarray, width: int) -> np.ndarray:
     """A hash for each run of `width` words, whatever text they are from; empty if there are fewer words."""
     if len(words) < width:

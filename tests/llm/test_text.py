@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from quotelake.llm import bpe, decontaminate, html_text, language_id
 from quotelake.llm.catalog import QUERIES, VOCABULARY
+from quotelake.llm.grams import RUN_CHARS
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\W_]+")
@@ -222,13 +223,17 @@ def grams(text):
 
 
 def brute_leaks(docs, items, threshold=0.8):
-    held = [(i, grams(t)) for i, t in items]
+    """An item of fewer than five words is one shingle of its own length."""
+    held = [(i, grams(t), min(5, len(WORD.findall((t or "").lower())))) for i, t in items]
     found = Counter()
     for d, text in docs:
+        words = WORD.findall((text or "").lower())
+        runs = [{tuple(words[k : k + n]) for k in range(len(words) - n + 1)} for n in range(5)]
         own = grams(text)
-        for i, wanted in held:
-            if wanted and len(wanted & own) >= threshold * len(wanted):
-                found[d, i, len(wanted & own), len(wanted)] += 1
+        for i, wanted, width in held:
+            here = wanted & (runs[width] if width < 5 else own)
+            if wanted and len(here) >= threshold * len(wanted):
+                found[d, i, len(here), len(wanted)] += 1
     return found
 
 
@@ -245,6 +250,7 @@ def test_leaks(spark, monkeypatch, block):
         return [f"w{rng.randrange(2000)}" for _ in range(n)]
 
     items = [(i, words(rng.choice([5, 6, 9, 20, 21, 40, 70, 200]))) for i in range(25)]
+    items += [(100 + n, words(n)) for n in (1, 2, 2, 3, 4, 4)] + [(200, items[-1][1][:3])] * 2
     docs = []
     for d in range(80):
         text = words(rng.choice([0, 3, 50, 500, 3000]))
@@ -268,12 +274,31 @@ def test_leak_edge_rows(spark):
     both = [frame(spark, [(*r, 0) for r in rows], f"{key} bigint, text string, {other} int") for rows, key, other in
             ((docs, "doc_id", "item_id"), (items, "item_id", "doc_id"))]
     assert spark_leaks(*both) == brute_leaks(docs, items)
-    kept = decontaminate.drop_contaminated(*both)
-    assert kept.columns == both[0].columns and sorted(r.doc_id for r in kept.collect()) == [8, 9, 11]
+    kept = decontaminate.drop_contaminated(both[0].withColumn("_leaks", both[0].item_id), both[1])
+    assert kept.columns == [*both[0].columns, "_leaks"]
+    # The item of three words stands in the document of four.
+    assert sorted((r.doc_id, r._leaks) for r in kept.collect()) == [(8, 0), (9, 0)]
     empty = both[0].limit(0), both[1].limit(0)
     assert decontaminate.contaminated(empty[0], both[1]).collect() == decontaminate.contaminated(both[0], empty[1]).collect() == []
 
 
+def test_blocks_of_items_drop_one_after_another(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
+    items = [(i, f"item{i} word word other word item{i}") for i in range(7)]
+    docs = [(i, f"before {items[i][1]} after" if i < 7 else "clean") for i in range(9)]
+    kept = decontaminate.drop_contaminated(frame(spark, docs), frame(spark, items, "item_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [7, 8]
+
+
+def test_leaks_of_a_very_long_document(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(150_000)]
+    items = [(1, " ".join(words[70_000:70_040])), (2, " ".join(words[149_970:])), (3, "not in it at all and never was")]
+    assert len(" ".join(words)) > RUN_CHARS
+    docs = [(1, " ".join(words)), (2, "short")]
+    assert spark_leaks(frame(spark, docs), frame(spark, items, "item_id bigint, text string")) == brute_leaks(docs, items)
+
+
 def test_leaks_of_the_query(spark):
     docs, items = ([tuple(r) for r in spark.read.parquet(f"{SMALL}/{t}.parquet").select(k, "text").collect()] for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
     got = QUERIES["op10_decontaminate"](spark, SMALL).collect()
