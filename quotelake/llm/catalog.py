@@ -93,7 +93,8 @@ def op9_language_id(t):
     scored as (
         select q.vec_id as query_id, c.vec_id as vec_id,
             cast(list_sum(list_transform(range(1, len(c.vector) + 1), lambda i: q.vector[i] * c.vector[i])) as bigint) as score
-        from v as q join v as c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.vector) = len(c.vector)),
+        from (select vec_id, min(vector) as vector from v where vec_id % 100 = 0 group by vec_id) as q
+            join v as c on q.vec_id <> c.vec_id and len(q.vector) = len(c.vector)),
     ranked as (
         select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
     select query_id, rank, vec_id, score from ranked where rank <= 10

@@ -12,19 +12,22 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.llm.shared import finite
+
 SCALE = 1024
-#: Scores of scaled components up to here fit 64 bits for 2,048 dimensions.
-MOST = 1 << 26
+#: Scaled components up to here are whole numbers of 64 bits.
+MOST = 1 << 62
 FOUND_SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 
 
-def usable(vector: Column) -> Column:
-    """Not null, and with finite components that can be scored in 64 bits."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * SCALE >= MOST))
-    return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
+def _highest(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Order of the rows by falling score, equal ones by id; scores may be wide integers."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i])), int)
+    return np.lexsort((ids, -scores))
 
 
 def threshold_top_k(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
@@ -48,7 +51,7 @@ def threshold_top_k(query: np.ndarray, rows: np.ndarray, ids: np.ndarray, order:
         seen[fresh] = True
         best = np.concatenate([best, fresh])
         scores = np.concatenate([scores, rows[fresh] @ query])
-        keep = np.lexsort((ids[best], -scores))[:k]
+        keep = _highest(scores, ids[best])[:k]
         best, scores = best[keep], scores[keep]
         if high == n or not len(used) or seen.all():
             return best
@@ -72,14 +75,15 @@ def _search(k: int):
         out = [np.zeros((3, 0), np.int64)]
         if len(wanted) and len(rows):
             largest = int(np.abs(wanted).max(initial=0)) * int(np.abs(rows).max(initial=0)) * dim
-            kind = np.float64 if largest < 1 << 53 else np.int64  # floats hold such sums exactly, and multiply faster
+            # Floats hold such sums exactly, and multiply faster; sums beyond 64 bits are made of wide integers.
+            kind = np.float64 if largest < 1 << 53 else np.int64 if largest < 1 << 63 else object
             exact, order = rows.astype(kind), np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T)
             for query_id, query in zip(query_ids, wanted.astype(kind), strict=True):
                 # One more for the query itself, and as many as share its id.
                 own = int((ids == query_id).sum())
                 top = threshold_top_k(query, exact, ids, order, k + own)
                 top = top[ids[top] != query_id][:k]
-                score = (rows[top] @ query.astype(np.int64)).astype(np.int64)
+                score = (exact[top] @ query).astype(np.int64)  # fails where a score found has more than 64 bits
                 out.append(np.stack([np.full(len(top), query_id), ids[top], score]))
         found = np.concatenate(out, axis=1)
         return pa.table([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
@@ -92,14 +96,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, query_rows: int =
 
     Both have `vec_id, embedding`. A component x counts as floor(1024 x); the score is the integer
     inner product. Candidates are all rows of the same dimension but those with the query's id; equal
-    scores go to the smaller id. Rows with a null id, or with a vector that is null, holds a null or
-    non-finite component or one beyond 65,535, take no part. Repeated candidates are separate rows; of
-    queries that share an id the smallest vector is taken. Other columns are not read.
+    scores go to the smaller id. Rows with a null id, or with a vector that is null or holds a null or
+    non-finite component, take no part. Repeated candidates are separate rows; of queries that share an id
+    the smallest vector is taken. Scores are exact; one of the k best that has more than 64 bits, or a
+    scaled component of more than 62, ends the job with an error. Other columns are not read.
     """
 
     def scaled(df):
-        ready = df.where("vec_id is not null").where(usable(F.col("embedding")))
-        whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("bigint"))
+        ready = df.where("vec_id is not null").where(finite(F.col("embedding")))
+        wide = F.exists("embedding", lambda x: F.abs(x.cast("double") * SCALE) >= MOST)
+        error = F.raise_error(F.lit("a scaled component has more than 62 bits")).cast("array<bigint>")
+        whole = F.when(wide, error).otherwise(F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("bigint")))
         return ready.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("vector"))
 
     candidates = scaled(vectors)

@@ -121,6 +121,21 @@ def test_top_k_edge_rows(spark):
     assert topk.top_k(empty, empty).collect() == topk.top_k(vectors, empty).collect() == []
 
 
+def test_top_k_of_large_components(spark):
+    """Scores need 64 bits or, on the way to them, more; none is dropped."""
+    rng = random.Random(40)
+    rows = [(i, [rng.choice([1, -1]) * rng.choice([0.5, 3.0, 70_000.0, 80_000.0, 250_000.0]) for _ in range(6)]) for i in range(60)]
+    rows += [(100, [2.0**20, 0.0, 0.0, 0.0, 0.0, 0.0]), (101, [0.0, 2.0**45, 0.0, 0.0, 0.0, 1.0])]
+    vectors = frame(spark, rows, "vec_id bigint, embedding array<float>")
+    wanted = [*range(0, 60, 3), 100]
+    got = topk.top_k(vectors.where("vec_id < 101"), vectors.where(F.col("vec_id").isin(wanted)), k=8)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows[:-1], wanted, 8)
+    got = topk.top_k(vectors, vectors.where("vec_id = 100"), k=5)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, [100], 5)
+    with pytest.raises(Exception, match="62 bits"):
+        topk.top_k(frame(spark, [(1, [1e20]), (2, [1.0])], "vec_id bigint, embedding array<float>"), vectors).collect()
+
+
 def test_threshold_stops_early():
     """The first lists already hold the best rows, so most of the others are never met."""
     rows = np.zeros((4000, 6), np.int64)
@@ -193,7 +208,7 @@ def test_preference_edge_rows(spark):
 def test_pipeline(spark):
     from quotelake.llm.decontaminate import contaminated
     from quotelake.llm.near_dedup import near_duplicates
-    from quotelake.llm.paragraph_dedup import remove_paragraphs
+    from quotelake.llm.paragraph_dedup import remove_passages
     from tests.llm.test_text import encoded
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -209,7 +224,7 @@ def test_pipeline(spark):
     assert after[0].where("lang is null").count() == 0
     classes = {r.class_id for r in near_duplicates(after[0]).collect()}
     assert {i for i in ids[1] if i is not None} == {c for c in classes if c is not None} and max(ids[1].values()) == 1
-    cut = {r.doc_id: r.kept for r in remove_paragraphs(after[1]).collect()}
+    cut = {r.doc_id: r.kept for r in remove_passages(after[1]).collect()}
     assert {r.doc_id: r.text for r in after[2].collect()} == {i: t for i, t in cut.items() if t.strip()}
     assert all(r.n_chars == len(r.text) for r in after[2].collect())
     leaked = {r.doc_id for r in contaminated(after[2], spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
@@ -240,6 +255,27 @@ def test_languages_that_were_not_learned_go(spark):
     assert all(r.lang for r in got)
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    """Null and repeated ids, and columns named as what the stages make on the way."""
+    rng = random.Random(33)
+    sentence = lambda n: " ".join(rng.choice(["the", "and", "of", "house", "river", "stone", "walks", "green"]) for _ in range(n))
+    long = sentence(60)
+    texts = [long, sentence(30) + "\n" + long + "\n" + sentence(20), sentence(50), sentence(50), sentence(12), long, None, ""]
+    rows = [(None if i % 2 else i // 4, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    extra = ["_found", "found", "_row", "row", "tie", "_tie", "_copy", "copy", "_leaks", "_removed", "removed", "passages", "unit", "root", "bucket"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in extra)
+    docs = frame(spark, [(*r, *(f"{c}-{i}" for c in extra)) for i, r in enumerate(rows)], schema, 3)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = corpus_pipeline.stored(stage(spark, docs, SMALL), "test-stage")
+        found = docs.collect()
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        for r in found:
+            assert len({r[c].rsplit("-", 1)[1] for c in extra}) == 1 and all(r[c].startswith(c) for c in extra)
+    numbers = Counter(int(r["_found"].rsplit("-", 1)[1]) for r in found)
+    assert max(numbers.values()) == 1 and {2, 3, 4} <= set(numbers) and not {6, 7} & set(numbers)
+    assert sum(long in r.text for r in found) == 1
+
+
 def test_pipeline_of_an_empty_table(spark):
     empty = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
