@@ -2,7 +2,7 @@
 
 1. Language identification: documents without letters go, and those that are like no language of the labelled ones.
 2. Near duplicates: one document of each class stays.
-3. Repeated paragraphs: all but the first of each group are cut out.
+3. Repeated paragraphs and passages: all but the first of each group are cut out, as in `op2_paragraph_dedup`.
 4. Decontamination: documents that hold a benchmark item go.
 5. Byte-level BPE: what is left becomes token ids, with the digest of the text that they decode to.
 
@@ -20,7 +20,7 @@ from quotelake.llm.decontaminate import drop_contaminated
 from quotelake.llm.language_id import UNDETERMINED, fit, identify
 from quotelake.llm.near_dedup import drop_near_duplicates
 from quotelake.llm.paragraph_dedup import trim_documents
-from quotelake.llm.shared import ship, stored
+from quotelake.llm.shared import free_names, ship, stored
 from quotelake.plans.catalog.registry import Tables
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,14 +37,14 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     ship(spark)
     model = fit(docs)
-    found = docs.withColumn("_found", identify(docs, model))
     if model is None:
-        kept = found.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    else:
-        probable = (F.col("_found.score") >= LEAST_PROBABILITY) & (F.col("_found.distance") <= MOST_DISTANCE)
-        kept = found.where((F.col("_found.lang") != UNDETERMINED) & probable)
-        kept = kept.withColumn("lang", F.coalesce("lang", "_found.lang"))
-    return kept.select(*docs.columns)
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    [name] = free_names(docs, "found")
+    found = F.col(name)
+    marked = docs.withColumn(name, identify(docs, model))
+    probable = (found["score"] >= LEAST_PROBABILITY) & (found["distance"] <= MOST_DISTANCE)
+    kept = marked.where((found["lang"] != UNDETERMINED) & probable)
+    return kept.withColumn("lang", F.coalesce("lang", found["lang"])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
