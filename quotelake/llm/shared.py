@@ -13,15 +13,23 @@ from pyspark.sql import functions as F
 
 from quotelake.session import fresh_path
 
+#: Rows of an Arrow batch. Texts are long: Spark's 10,000 of them fill some 40 MB in the JVM, in its copy for the
+#: worker and in the worker, for every task. A session that asks for another number keeps it.
+BATCH_ROWS, SPARK_BATCH_ROWS = 1_000, "10000"
+
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ship(spark: SparkSession) -> None:
-    """Python workers that start from now on find this package where the driver found it.
+    """Python workers that start from now on find this package where the driver found it, and get
+    texts in batches of BATCH_ROWS.
 
     On a cluster the package is installed or passed with --py-files; this serves drivers
     that import it from a folder that is not their working directory.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == SPARK_BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     environment = spark.sparkContext.environment
     paths = [p for p in (environment.get("PYTHONPATH"), os.environ.get("PYTHONPATH")) if p]
     if PACKAGE_ROOT not in os.pathsep.join(paths).split(os.pathsep):
