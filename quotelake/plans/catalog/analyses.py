@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from quotelake import schemas as S
 from quotelake.functions.times import day_text
-from quotelake.operators.merge import merge_latest
+from quotelake.operators.merge import merge_co_located, merge_latest
 from quotelake.operators.ordering import with_position
 from quotelake.operators.quality import lake_report, staging_report
+from quotelake.operators.windows import keep_latest
 from quotelake.plans import analytics
 from quotelake.plans.catalog.registry import Tables, query
 from quotelake.session import fresh_path
+from quotelake.sources.buckets import BucketedTable
 from quotelake.sources.snapshots import LakeTable
 
 # -- merge ---------------------------------------------------------------------
@@ -164,6 +166,41 @@ def merge_stored_partitions(t: Tables) -> DataFrame:
     return _loaded(t, table, merge, [batch(0, "l_extendedprice", t.lineitem), batch(1, "l_discount", late)])
 
 
+NOTES = "`symbol` bigint, line int, price double, label string, batch int"
+
+
+@query(
+    "merge_stored_buckets",
+    """with keyed as (select l_partkey as symbol, nullif(l_linenumber, 7) as line, l_extendedprice as price,
+         l_returnflag as label, l_linestatus from lineitem),
+       first as (select symbol, line, price, label, 0 as batch from keyed
+         qualify row_number() over (partition by symbol, line order by price desc, label desc) = 1),
+       later as (select symbol, line, price, l_linestatus as label, 1 as batch from keyed where label = 'R'
+         qualify row_number() over (partition by symbol, line order by price desc, l_linestatus desc) = 1)
+       select * from later
+       union all
+       select first.* from first where not exists (select 1 from later
+         where later.symbol = first.symbol and later.line is not distinct from first.line)""",
+)
+def merge_stored_buckets(t: Tables) -> DataFrame:
+    """A table dealt into buckets by a key of two columns, one of them partly NULL: loaded from all line
+    items, and updated from those that came back."""
+    keys = ["symbol", "line"]
+    table = BucketedTable(fresh_path(t.spark, "notes"), S.schema(NOTES), keys=tuple(keys), buckets=16)
+
+    def batch(number: int, label: str, rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("l_partkey").alias("symbol"), F.nullif("l_linenumber", F.lit(7)).alias("line"),
+            F.col("l_extendedprice").alias("price"), F.col(label).alias("label"), F.lit(number).alias("batch"),
+        )
+
+    for rows in (batch(0, "l_returnflag", t.lineitem), batch(1, "l_linestatus", t.lineitem.where("l_returnflag = 'R'"))):
+        table.update(
+            t.spark, rows, lambda old, new: merge_co_located(old, new, keys), lambda new: keep_latest(new, keys, ["price", "label"])
+        )
+    return table.read(t.spark)
+
+
 # -- quality -------------------------------------------------------------------
 
 # The driver tables with the columns that should identify a row.

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,19 +17,24 @@ from quotelake.functions.keys import composite_key, concat_key, same_key, stable
 from quotelake.functions.times import day_text
 from quotelake.operators.filters import not_null
 from quotelake.operators.joins import enrich
-from quotelake.operators.merge import merge_latest, union_all
+from quotelake.operators.merge import merge_co_located, merge_latest, union_all
 from quotelake.operators.projection import rename, select_as
 from quotelake.operators.reshape import explode_array, explode_structs
 from quotelake.operators.windows import keep_latest
+from quotelake.sources.buckets import BucketedTable
 from quotelake.sources.snapshots import LakeTable
 
 Staged = dict[str, DataFrame]
 
+#: Buckets of a new bucketed entity. At a terabyte of news some 4,096 are right.
+BUCKETS = 64
+
 
 @dataclass(frozen=True)
 class EntitySpec:
-    """`partition_by` must derive from the key, see `LakeTable.update`. With
-    `any_source`, any one of the sources gives complete rows of its own."""
+    """`partition_by` must derive from the key, see `LakeTable.update`. A `bucketed` entity is
+    dealt into buckets by its key instead. With `any_source`, any one of the sources gives
+    complete rows of its own."""
 
     name: str
     sources: tuple[str, ...]
@@ -39,13 +44,26 @@ class EntitySpec:
     partition_by: dict[str, Callable[[], Column]] = field(default_factory=dict)
     cluster_by: tuple[str, ...] = ()
     any_source: bool = False
+    bucketed: bool = False
 
     @property
     def schema(self) -> T.StructType:
         return S.entity_schema(self.name)
 
-    def table(self, lake_dir: str) -> LakeTable:
-        return LakeTable(f"{lake_dir}/{self.name}", self.schema, self.partition_by, self.cluster_by)
+    def table(self, lake_dir: str, buckets: int = BUCKETS) -> LakeTable:
+        """`buckets` holds where a bucketed entity is stored for the first time."""
+        path = f"{lake_dir}/{self.name}"
+        if self.bucketed:
+            return BucketedTable(path, self.schema, keys=tuple(self.keys), buckets=buckets)
+        return LakeTable(path, self.schema, self.partition_by, self.cluster_by)
+
+    def update(self, spark: SparkSession, lake_dir: str, incoming: DataFrame, buckets: int = BUCKETS) -> int:
+        """Merge a batch into the stored entity; the number of rows written."""
+        table = self.table(lake_dir, buckets)
+        if isinstance(table, BucketedTable):
+            co_located = lambda stored, latest: merge_co_located(stored, latest, self.keys)
+            return table.update(spark, incoming, co_located, lambda rows: keep_latest(rows, self.keys, self.order_by))
+        return table.update(spark, incoming, self.merge)
 
     def merge(self, existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
         return merge_latest(existing, incoming, self.keys, self.order_by, existing_is_keyed=True)
@@ -152,6 +170,14 @@ BY_INTERVAL_AND_MONTH = {
     "interval": lambda: F.col("interval"),
     "month": lambda: F.substring("date", 1, 7),
 }
+# A contract symbol ends in its expiry (yymmdd), C or P, and the strike with eight digits. Other symbols
+# share one partition. New quotes fall into the months that still trade.
+EXPIRY = r"(\d{2})(\d{2})\d{2}[CP]\d{8}$"
+BY_EXPIRY_MONTH = {
+    "expiry": lambda: F.nullif(
+        F.concat_ws("-", *[F.nullif(F.regexp_extract("contract_symbol", EXPIRY, g), F.lit("")) for g in (1, 2)]), F.lit("")
+    ),
+}
 
 ENTITIES: dict[str, EntitySpec] = {
     e.name: e
@@ -176,9 +202,10 @@ ENTITIES: dict[str, EntitySpec] = {
         EntitySpec(
             "tickers_info_dim", ("tickers_info", "tickers_isin", "tickers_major_holders"), ["ticker"], _info
         ),
-        EntitySpec("news_dim", ("tickers_news",), ["uuid"], _project("tickers_news", "news_dim")),
+        EntitySpec("news_dim", ("tickers_news",), ["uuid"], _project("tickers_news", "news_dim"), bucketed=True),
         EntitySpec(
-            "tickers_news_fact", ("tickers_news",), ["uuid", "ticker"], _project("tickers_news", "tickers_news_fact")
+            "tickers_news_fact", ("tickers_news",), ["uuid", "ticker"],
+            _project("tickers_news", "tickers_news_fact"), bucketed=True,
         ),
         EntitySpec("financial_report_dim", tuple(REPORT_FEEDS), ["reporting_id"], _report_dim, any_source=True),
         *[EntitySpec(f"{feed}_fact", (feed,), ["reporting_id"], _report_fact(feed)) for feed in REPORT_FEEDS],
@@ -202,6 +229,7 @@ ENTITIES: dict[str, EntitySpec] = {
         EntitySpec(
             "tickers_options_fact", ("tickers_options",), ["contract_symbol"],
             _project("tickers_options", "tickers_options_fact"), ("last_trade_date",),
+            BY_EXPIRY_MONTH, ("ticker", "contract_symbol"),
         ),
         EntitySpec(
             "tickers_historical_prices_fact", ("tickers_historical_prices",),
@@ -214,7 +242,7 @@ ENTITIES: dict[str, EntitySpec] = {
             lambda s: s["tweets"].select(*_columns("tweets_dim")),
             ("created_at",), BY_ID_RANGE, ("tweet_id",),
         ),
-        EntitySpec("user_id_dim", ("tweets",), ["user_id"], _users),
+        EntitySpec("user_id_dim", ("tweets",), ["user_id"], _users, bucketed=True),
         EntitySpec(
             "hashtags_dim", ("tweets",), ["tweet_id", "hashtag"], _hashtags,
             partition_by=BY_ID_RANGE, cluster_by=("hashtag",),

@@ -12,7 +12,7 @@ from quotelake.operators.aggregates import duplicate_keys, join_symbols
 from quotelake.operators.ordering import first_n_symbols, preview
 from quotelake.operators.quality import assert_quality, lake_report, staging_report
 from quotelake.plans import analytics
-from quotelake.plans.entities import ENTITIES
+from quotelake.plans.entities import BUCKETS, ENTITIES
 from quotelake.plans.feeds import FEEDS, read_staged, stage_feed
 from quotelake.sources.readers import read_universe
 
@@ -24,9 +24,11 @@ class Lake:
     time so that small ones do not wait for the cluster to drain after large ones.
     """
 
-    def __init__(self, spark: SparkSession, raw_dir: str, staging_dir: str, lake_dir: str, at_once: int = 4):
+    def __init__(
+        self, spark: SparkSession, raw_dir: str, staging_dir: str, lake_dir: str, at_once: int = 4, buckets: int = BUCKETS
+    ):
         self.spark, self.raw_dir, self.staging_dir, self.lake_dir = spark, raw_dir, staging_dir, lake_dir
-        self.at_once = at_once
+        self.at_once, self.buckets = at_once, buckets
 
     def universe(self, symbols: int | None = None) -> DataFrame:
         listed = read_universe(self.spark, f"{self.raw_dir}/universe.csv")
@@ -54,7 +56,7 @@ class Lake:
         def update(name: str) -> int:
             entity = ENTITIES[name]
             incoming = entity.build({f: read_staged(self.spark, f, self.staging_dir) for f in entity.sources})
-            return entity.table(self.lake_dir).update(self.spark, incoming, entity.merge)
+            return entity.update(self.spark, self.lake_dir, incoming, self.buckets)
 
         return self._each(update, entities)
 
@@ -105,7 +107,7 @@ class Lake:
         return analytics.ticker_profile(self.table("tickers_info_dim"), ticker)
 
     def recent_bars(self, ticker: str, interval: str = "1d", n: int = 10) -> DataFrame:
-        return analytics.recent_bars(self.table("tickers_historical_prices_fact"), ticker, interval, n)
+        return analytics.recent_bars(self._newest_bars(ticker, interval, n, "datetime"), ticker, interval, n)
 
     def bars_since(self, ticker: str, interval: str, date: str) -> DataFrame:
         months = F.col("month") >= F.lit(date[:7])
@@ -115,5 +117,21 @@ class Lake:
         return analytics.news_feed(self.table("tickers_news_fact"), self.table("news_dim"), ticker)
 
     def price_vs_posts(self, ticker: str, days: int = 10) -> DataFrame:
-        bars = analytics.daily_bars(self.table("tickers_historical_prices_fact"), ticker, "1d", days)
+        bars = analytics.daily_bars(self._newest_bars(ticker, "1d", days, "date"), ticker, "1d", days)
         return analytics.price_vs_posts(bars, self.posts_per_day(ticker))
+
+    def _newest_bars(self, ticker: str, interval: str, n: int, what: str) -> DataFrame:
+        """The stored prices of as many of the newest months as hold `n` different values of the column
+        `what` for the ticker. Months come from the folder list; looking back doubles their number
+        until they suffice, and each look counts one column of the months that it adds."""
+        entity = "tickers_historical_prices_fact"
+        months = ENTITIES[entity].table(self.lake_dir).partition_values(self.spark, {"interval": interval}, "month")
+        wanted, found, looked = (F.col("ticker") == ticker) & (F.col("interval") == interval), 0, 0
+        while found < n and looked < len(months):
+            more = months[looked : max(1, 2 * looked)]
+            here = self.table(entity, F.col("month").isin(more) & wanted)
+            found += here.select(what).distinct().limit(n).count()
+            looked += len(more)
+        # Bars without a date, which no month holds, only count where the others are too few.
+        newest = F.col("month").isin(months[:looked]) if found >= n else F.lit(True)
+        return self.table(entity, newest & (F.col("interval") == interval))

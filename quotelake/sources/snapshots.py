@@ -26,6 +26,8 @@ from quotelake.session import fresh_path, remove_path
 # Folder prefix of the versions. Spark reads it as a partition column, so no table
 # may have a column of this name.
 VERSION = "snapshot"
+# Fixed value: the folder name that Spark gives a NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,16 @@ class LakeTable:
             stored = stored.where(where)
         return stored if partitions else stored.select(*self.schema.fieldNames())
 
+    def partition_values(self, spark: SparkSession, given: dict[str, str], column: str) -> list[str]:
+        """The values of a partition column, greatest first, where the others have the values `given`. They
+        come from the list of folders; a partition without a value is none."""
+        found = set()
+        for _, folder in self._folders(spark, self._newest(spark)):
+            values = dict(part.split("=", 1) for part in folder.split("/"))
+            if all(values[k] == v for k, v in given.items()) and values[column] != NO_VALUE:
+                found.add(values[column])
+        return sorted(found, reverse=True)
+
     def _scan(self, spark: SparkSession, state: int) -> DataFrame | None:
         if not state:
             return None

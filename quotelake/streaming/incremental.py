@@ -2,7 +2,8 @@
 
 Each run picks up all files that came since the last one, shapes them together, and
 merges their rows into the entities of the feed: one batch, however many files and
-sibling folders the rows are spread over. A run that dies and repeats its batch merges
+sibling folders the rows are spread over. Entities that are joined from several feeds are
+rebuilt for the symbols of the batch. A run that dies and repeats its batch merges
 the same rows again, which changes nothing."""
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotelake.operators.filters import select_posts
+from quotelake.operators.merge import merge_co_located
+from quotelake.operators.windows import keep_latest
 from quotelake.plans.entities import ENTITIES
 from quotelake.plans.feeds import FEEDS, FeedSpec, _has_files
 from quotelake.session import fresh_path, remove_path
+from quotelake.sources.buckets import BucketedTable
 
 
 def entities_of(feed: str) -> list[str]:
@@ -26,6 +30,36 @@ def entities_of(feed: str) -> list[str]:
     ]
 
 
+def joined_entities_of(feed: str) -> list[str]:
+    """The entities that this feed completes together with others."""
+    return [n for n, spec in ENTITIES.items() if feed in spec.sources and n not in entities_of(feed)]
+
+
+def feed_state(feed: str, lake_dir: str) -> BucketedTable:
+    """The latest row of each symbol of a feed that entities are joined from."""
+    return BucketedTable(f"{lake_dir}/_feeds/{feed}", FEEDS[feed].schema, keys=("symbol",))
+
+
+def _update_joined(spark: SparkSession, feed: str, shaped: DataFrame, lake_dir: str) -> None:
+    """Entities made of several feeds: the batch goes into the state of its feed, and the rows of its
+    symbols are built anew from the states of all feeds."""
+    wanted = joined_entities_of(feed)
+    if not wanted:
+        return
+    rows = shaped.where("symbol is not null")
+    feed_state(feed, lake_dir).update(
+        spark, rows, lambda old, new: merge_co_located(old, new, ["symbol"]), lambda new: keep_latest(new, ["symbol"])
+    )
+    symbols = rows.select("symbol").distinct()
+    for name in wanted:
+        states = {}
+        for source in ENTITIES[name].sources:
+            known = feed_state(source, lake_dir).read(spark)
+            known = spark.createDataFrame([], FEEDS[source].schema) if known is None else known
+            states[source] = known.join(symbols, "symbol", "left_semi").select(*FEEDS[source].schema.fieldNames())
+        ENTITIES[name].update(spark, lake_dir, ENTITIES[name].build(states))
+
+
 def merge_new_files(
     spark: SparkSession,
     feed: str,
@@ -53,7 +87,8 @@ def merge_new_files(
         shaped = session.read.schema(spec.schema).parquet(path)
         for name in entities_of(feed):
             entity = ENTITIES[name]
-            entity.table(lake_dir).update(session, entity.build({feed: shaped}), entity.merge)
+            entity.update(session, lake_dir, entity.build({feed: shaped}))
+        _update_joined(session, feed, shaped, lake_dir)
         remove_path(session, path)
 
     query = (

@@ -1,14 +1,16 @@
 """Raw files to a checked lake, with the awkward cases of the payloads."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotelake.__main__ import main
 from quotelake.operators.quality import QualityError
+from quotelake.plans import analytics
 from quotelake.plans.entities import ENTITIES
 from quotelake.plans.feeds import FEEDS, export_posts, read_staged
 from quotelake.plans.lake import Lake
 from quotelake.sources.readers import read_json_documents
-from quotelake.streaming.incremental import entities_of, merge_new_files
+from quotelake.streaming.incremental import entities_of, joined_entities_of, merge_new_files
 from tests.raw_files import post, write_raw
 
 
@@ -109,6 +111,27 @@ def test_price_filters_reach_the_folders_and_the_scan(lake):
     assert "dynamicpruningexpression(id_range" in posts
 
 
+def test_newest_bars_open_the_newest_months(spark, tmp_path):
+    """Twenty months of bars; the last few are found without the others."""
+    rows_in = [(f"20{y}-{m:02d}-{d:02d} 00:00:00", f"20{y}-{m:02d}-{d:02d}", t, float(d), "1d")
+               for y in (21, 22) for m in range(1, 11) for d in range(1, 6) for t in ("MMM", "ABT") if t == "MMM" or (y, m) < (22, 3)]
+    schema = "datetime string, date string, ticker string, close double, interval string"
+    rows_in += [(None, None, "MMM", 0.5, "1d")]
+    made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
+    prices = ENTITIES["tickers_historical_prices_fact"]
+    prices.update(spark, made.lake_dir, spark.createDataFrame(rows_in, schema))
+
+    def months(df):
+        return {r[0].split("month=")[1][:7] for r in df.select(F.input_file_name()).distinct().collect()}
+
+    whole = made.table("tickers_historical_prices_fact")
+    for ticker, n, most in (("MMM", 3, 1), ("MMM", 12, 4), ("ABT", 7, 16), ("MMM", 1000, 21), ("nobody", 3, 21)):
+        assert len(months(made._newest_bars(ticker, "1d", n, "datetime"))) <= most
+        assert rows(made.recent_bars(ticker, n=n)) == rows(analytics.recent_bars(whole, ticker, "1d", n))
+        assert rows(made.price_vs_posts(ticker, n).drop("cnt")) == rows(analytics.daily_bars(whole, ticker, "1d", n))
+    assert months(made._newest_bars("MMM", "1d", 3, "datetime")) == {"2022-10"}
+
+
 def test_analyses(lake):
     assert rows(lake.posts_per_day("MMM")) == [("2022-12-25", 1), ("2022-12-26", 1)]
     feed = lake.news_feed("MMM").collect()
@@ -274,6 +297,26 @@ def test_new_files_are_merged_as_they_come(spark, tmp_path):
     assert "tweets_dim" in entities_of("tweets") and "tickers_info_dim" not in entities_of("tickers_info")
 
 
+def test_profiles_are_joined_from_three_feeds_as_they_come(spark, tmp_path):
+    import json
+
+    write_raw(f"{tmp_path}/raw")
+    whole = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/whole")
+    whole.stage()
+    whole.build(["tickers_info_dim"])
+    made = Lake(spark, whole.raw_dir, f"{tmp_path}/staging", f"{tmp_path}/lake")
+    for feed in ("tickers_isin", "tickers_info", "tickers_major_holders"):
+        assert joined_entities_of(feed) == ["tickers_info_dim"]
+        merge_new_files(spark, feed, made.raw_dir, made.lake_dir, f"{tmp_path}/checkpoint")
+    assert rows(made.table("tickers_info_dim")) == rows(whole.table("tickers_info_dim"))
+    with open(f"{tmp_path}/raw/tickers_isin/later.json", "w") as out:
+        json.dump({"isin": "US-NEW", "symbol": "MMM"}, out)
+    merge_new_files(spark, "tickers_isin", made.raw_dir, made.lake_dir, f"{tmp_path}/checkpoint")
+    before, after = ({r["ticker"]: r.asDict() for r in x.table("tickers_info_dim").collect()} for x in (whole, made))
+    assert after["MMM"] == {**before["MMM"], "isin": "US-NEW"}
+    assert {k: v for k, v in after.items() if k != "MMM"} == {k: v for k, v in before.items() if k != "MMM"}
+
+
 def test_report_feeds_reach_the_shared_dimension_one_by_one(spark, tmp_path):
     write_raw(f"{tmp_path}/raw")
     made = Lake(spark, f"{tmp_path}/raw", f"{tmp_path}/staging", f"{tmp_path}/lake")
