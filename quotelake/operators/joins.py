@@ -6,7 +6,7 @@ time. The keyed side has one row per key, so a frequent key can never multiply."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.operators.windows import keep_latest
@@ -36,3 +36,27 @@ def enrich(
 def join_using(bridge: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join of a bridge table with the dimension it points to."""
     return bridge.join(dim, key)
+
+
+def join_within(
+    rows: DataFrame, others: DataFrame, on: list[str], time: str, other_time: str, seconds: int
+) -> DataFrame:
+    """Pairs of a row and another one of the same key whose times are at most `seconds` apart.
+
+    Time is cut into bins of that width, so partners lie in the same or in neighbouring bins: the other
+    side stands in three of them, and the join is one by equality of key and bin, which also deals
+    a hot key out by time. NULL keys and times have no partners.
+    """
+    shared = {c.lower() for c in rows.columns} & {c.lower() for c in others.columns} - {c.lower() for c in on}
+    if shared:
+        raise ValueError(f"columns would share a name: {sorted(shared)}")
+
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(f"`{column}`").cast("timestamp"))
+
+    width = seconds * 1_000_000
+    left = rows.withColumn("_bin", F.floor(micros(time) / max(width, 1)))
+    at = F.floor(micros(other_time) / max(width, 1))
+    right = others.withColumn("_bin", F.explode(F.array(at - 1, at, at + 1)))
+    met = left.join(right, [*on, "_bin"]).where(F.abs(micros(time) - micros(other_time)) <= width)
+    return met.select(*rows.columns, *[c for c in others.columns if c not in on])

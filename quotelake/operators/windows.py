@@ -5,7 +5,9 @@ cut down before the shuffle or split over tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quotelake.functions.keys import same_key
@@ -45,6 +47,48 @@ def number_rows(
     )
 
 
+def framed(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str | Column],
+    bucket: Column,
+    values: Callable[[WindowSpec], dict[str, Column]],
+    before: int = 1,
+    after: int = 0,
+    block_rows: int = 100_000,
+) -> DataFrame:
+    """`df` with window values that look at most `before` rows back and `after` rows ahead: lag, lead, and
+    aggregates over explicit row frames.
+
+    The rows of a key are numbered bucket by bucket (see `number_rows`; `order_by` should end in a unique
+    column) and cut into blocks. A block borrows the rows next to its borders from its neighbours,
+    so each is computed by itself and no task holds a key as a whole. `values` gets the window and
+    must not reach further than said.
+    """
+    if max(before, after) > block_rows:
+        raise ValueError("a frame may reach over one border only")
+    numbered = number_rows(df, keys, order_by, bucket, "_n").withColumn("_own", F.floor((F.col("_n") - 1) / block_rows))
+    place = (F.col("_n") - 1) % block_rows
+    needed = F.array(
+        F.col("_own"),
+        F.when(place >= block_rows - before, F.col("_own") + 1),
+        F.when((place < after) & (F.col("_own") > 0), F.col("_own") - 1),
+    )
+    spread = numbered.withColumn("_block", F.explode(F.array_compact(needed)))
+    window = Window.partitionBy(*keys, "_block").orderBy("_n")
+    found = values(window)
+    return spread.withColumns(found).where("_block = _own").select(*df.columns, *found)
+
+
+def tiles(df: DataFrame, keys: list[str], order_by: list[str | Column], bucket: Column, count: int, name: str = "tile") -> DataFrame:
+    """`ntile` of each row in its key, from its number and the key's rows: no task holds a key."""
+    numbered = with_group_stats(number_rows(df, keys, order_by, bucket, "_n"), keys, {"_rows": F.count(F.lit(1))})
+    size, larger = F.floor(F.col("_rows") / count), F.col("_rows") % count
+    edge, at = larger * (size + 1), F.col("_n") - 1
+    tile = F.when(at < edge, F.floor(at / (size + 1))).otherwise(larger + F.floor((at - edge) / F.greatest(size, F.lit(1))))
+    return numbered.select(*df.columns, (tile + 1).cast("int").alias(name))
+
+
 def keep_latest(df: DataFrame, keys: list[str], order_by: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """One row per key: the greatest by `order_by`, then by all other columns, so the
     survivor depends on the rows alone and not on their order or partitioning.

@@ -14,6 +14,7 @@ from quotelake.plans.catalog.columns import FLAT_POSTS_SQL, posts_from_events
 from quotelake.plans.catalog.registry import Tables, query
 from quotelake.plans.entities import ENTITIES
 from quotelake.plans.feeds import FEEDS, read_feed, report_rows
+from quotelake.plans.lake import Lake
 from quotelake.session import fresh_path
 from quotelake.sources.writers import write_json_documents
 
@@ -436,15 +437,15 @@ for _feed in FEEDS:
 @query(
     "feed_files_statement",
     f"""select * from ({STAGED_SQL["tickers_cashflow"]})
-        where symbol in (select c_name from customer where c_custkey % 2 = 0)""",
+        where symbol in (select c_name from customer where c_acctbal >= 0)""",
 )
 def feed_files_statement(t: Tables) -> DataFrame:
-    """Statement lines in the sibling folders of the raw files, read for half of the symbols."""
+    """Statement lines in the sibling folders of the raw files, read for the universe of customers that owe nothing."""
     feed, base = FEEDS["tickers_cashflow"], fresh_path(t.spark, "raw")
     lines = RAW[feed.name](t)
     for folder, constants in feed.parts.items():
         lines.where(F.col("period") == constants["period"]).select("value").write.text(f"{base}/{feed.name}/{folder}")
-    universe = t.customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("Symbol"))
+    universe = t.customer.where("c_acctbal >= 0").select(F.col("c_name").alias("Symbol"))
     return read_feed(t.spark, feed, base, universe)
 
 
@@ -580,3 +581,56 @@ def _register_entity(name: str) -> None:
 
 for _entity in ENTITIES:
     _register_entity(_entity)
+
+
+# -- updates of stored entities ------------------------------------------------------
+
+
+def _update_sql(name: str, feed: str, first: str, later: str) -> str:
+    """An entity after two builds, of `first` and `later`: staged rows as SQL over the staged rows `feed`."""
+    keys = " and ".join(f'later."{k}" is not distinct from first."{k}"' for k in KEYS[name].split())
+    built = _entity_sql(name)
+
+    def of(rows: str) -> str:
+        return built.replace(f"{feed} as ({STAGED_SQL[feed]})", f"{feed} as ({rows})", 1)
+
+    staged_rows = f"({STAGED_SQL[feed]})"
+    return f"""with first as ({of(first.format(staged_rows))}), later as ({of(later.format(staged_rows))})
+               select * from later union all select first.* from first where not exists (select 1 from later where {keys})"""
+
+
+def _updated(t: Tables, name: str, feed: str, first: DataFrame, later: DataFrame) -> DataFrame:
+    """The entity that two staged states of its feed leave in a lake."""
+    base = fresh_path(t.spark, "lake")
+    for number, rows in enumerate((first, later)):
+        rows.write.parquet(f"{base}/staged-{number}/{feed}")
+        Lake(t.spark, f"{base}/raw", f"{base}/staged-{number}", f"{base}/lake", buckets=16).build([name])
+    return Lake(t.spark, f"{base}/raw", f"{base}/staged-1", f"{base}/lake").table(name)
+
+
+@query(
+    "lake_update_news",
+    _update_sql(
+        "news_dim", "tickers_news", "select * from {}",
+        "select * replace ('UPDATE: ' || publisher as publisher) from {} where symbol in ('de', 'fr')",
+    ),
+)
+def lake_update_news(t: Tables) -> DataFrame:
+    """News in buckets: all of it, then a second state of what the German and French feeds hold."""
+    rows = staged(t, "tickers_news")
+    later = rows.where("symbol in ('de', 'fr')").withColumn("publisher", F.concat(F.lit("UPDATE: "), "publisher"))
+    return _updated(t, "news_dim", "tickers_news", rows, later)
+
+
+@query(
+    "lake_update_prices",
+    _update_sql(
+        "tickers_historical_prices_fact", "tickers_historical_prices", "select * from {}",
+        "select * replace (close + 1 as close) from {} where date >= '1998-06-01'",
+    ),
+)
+def lake_update_prices(t: Tables) -> DataFrame:
+    """Prices by interval and month: all bars, then corrected ones of the newest months."""
+    rows = staged(t, "tickers_historical_prices")
+    later = rows.where("date >= '1998-06-01'").withColumn("close", F.col("close") + 1)
+    return _updated(t, "tickers_historical_prices_fact", "tickers_historical_prices", rows, later)
