@@ -65,18 +65,23 @@ def test_inferred_payload_schema_sees_every_row(spark):
     assert out.count() == len(texts)
 
 
-@pytest.mark.parametrize("batch_rows, documents", [("100", (10, 20)), ("10000", (2, 10))])
-def test_json_documents_hold_one_batch_at_most(spark, tmp_path, batch_rows, documents):
+@pytest.mark.parametrize("batch_rows", ["7", "10000"])
+@pytest.mark.parametrize("chars, documents", [(3000, (11, 40)), (1 << 26, (2, 16)), (1, (1000, 1000))])
+def test_json_documents_are_cut_by_their_size(spark, tmp_path, batch_rows, chars, documents):
+    """Whatever the Arrow batches hold, a document has as many characters as asked for, or one record."""
     data = [(i, "hot" if i % 3 else "cold", f"v{i}") for i in range(1000)]
     df = spark.createDataFrame(data, "k bigint, grp string, v string")
     path = str(tmp_path / "docs")
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
-    writers.write_json_documents(df, path, "grp", ["k"])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".txt")]
-    sizes = [len(json.loads(open(f).read())) for f in files]
-    assert sum(sizes) == 1000 and max(sizes) <= int(batch_rows) and documents[0] <= len(sizes) <= documents[1] + 10
+    try:
+        writers.write_json_documents(df, path, "grp", ["k"], chars)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    texts = [open(os.path.join(d, f)).read() for d, _, names in os.walk(path) for f in names if f.endswith(".txt")]
+    sizes = [len(json.loads(t)) for t in texts]
+    assert sum(sizes) == 1000 and documents[0] <= len(sizes) <= documents[1]
+    assert all(len(t.strip()) <= chars + 2 or n == 1 for t, n in zip(texts, sizes, strict=True))
     back = readers.read_json_documents(spark, path, df.schema).select(df.columns)
     assert rows(back) == rows(df)
 
