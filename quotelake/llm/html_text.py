@@ -3,7 +3,8 @@
 A page is a list of text blocks, each with the path of block elements that leads to it. Blocks in
 parts that the markup itself names (menus, forms, adverts, ..) are left out. For every path the
 text and the punctuation per block are aggregated, smoothed along the page and fused; paths
-above the threshold hold content, and the element that holds those paths is the article.
+above the threshold hold content, and the element that holds those paths is the article. Where
+the page marks articles, the one with the most text of its own is taken.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ ENDED_BY = {
 }
 INSIDE_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
 P_SCOPE = {"td", "th", "caption", "table", "button", "object"}
+CONTROLS = {"input", "textarea", "select", "button", "form"}
 #: Words in `class`, `id` or `role` that name what is not the article.
 NOT_ARTICLE = set(
     "ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -53,6 +55,12 @@ NOT_ARTICLE = set(
     "comment comments commentlist reply replies respond disqus discussion "
     "share sharing social related recommended recommendations hidden".split()
 )
+#: Those that an article uses of its own parts, too, as an `id` does with any word (it often is the slug of a
+#: heading). An element with nothing but such a word only goes if it is mostly links or holds form controls.
+AMBIGUOUS = set(
+    "alert alerts banner comment dialog disclaimer discussion form login notice notices overlay pager promotion rail "
+    "related reply replies respond search signup skip social sponsor subscription toolbar widget widgets".split()
+)
 PAGE_HEADER = {"header", "banner"}
 NEGATING = {"has", "with", "no", "without", "is", "not"}
 PUNCTUATION = regex.compile(r"[.,;:!?…。，、；：！？¿¡]")
@@ -72,29 +80,38 @@ class Block:
     text: str
     linked: int
     article: int  # the number of the outermost marked article around it, or 0
+    part: int  # of an `article` in a `main`, or 0
     inside: tuple[int, ...]  # the numbers of the elements of `path`
+    doubtful: tuple[int, ...]  # and of those that may be no part of an article
+
+
+OUT, DOUBTFUL = 2, 1
 
 
-def _named_out(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element says of itself that it is no part of an article."""
+def _named_out(name: str, attributes: str, in_article: bool) -> int:
+    """Whether the element says of itself that it is no part of an article (OUT), or may be none (DOUBTFUL)."""
     if not attributes.strip("/> \n\t"):
-        return False
+        return 0
+    verdict = 0
     for key, a, b, c in ATTRIBUTE.findall(attributes.rstrip(">")):
         key, value = key.lower(), a or b or c
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return OUT
         if key == "style" and regex.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return OUT
         if key in ("class", "id", "role") and name not in ("html", "body", "article", "main"):
+            if key == "id" and name in HEADINGS:
+                continue
             words = [w.lower() for w in NAME_WORD.findall(html.unescape(value))]
             for before, word in zip(["", *words], words, strict=False):
                 if before not in NEGATING and (word in NOT_ARTICLE or (word in PAGE_HEADER and not in_article)):
-                    return True
+                    unsure = (in_article and key == "id") or (word in AMBIGUOUS and (in_article or key == "id"))
+                    verdict = max(verdict, DOUBTFUL if unsure else OUT)
         elif key in ("class", "id", "role") and name == "article":
             words = {w.lower() for w in NAME_WORD.findall(value)}
             if words & {"comment", "comments", "reply", "related", "recommended", "ad", "advert", "sponsored", "promo"}:
-                return True
-    return False
+                return OUT
+    return verdict
 
 
 class Open(NamedTuple):
@@ -105,26 +122,30 @@ class Open(NamedTuple):
     left_out: bool
     linked: bool
     article: int  # its number, or that of the one around it
+    part: int
     number: int
+    doubtful: tuple[int, ...]
 
 
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order, without those in parts that are named as something else."""
+    """The text blocks of a page in order, without those in parts that are something else."""
     out: list[Block] = []
-    stack = [Open("", "", False, False, 0, 0)]
+    stack = [Open("", "", False, False, 0, 0, 0, ())]
     pieces: list[str] = []
+    with_controls: set[int] = set()
     linked = articles = opened = 0
 
     def end_block() -> None:
         nonlocal linked
         if not pieces:
             return
-        text = " ".join(html.unescape("".join(pieces)).split())
+        text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
             around = [e for e in stack if e.name in BLOCK]
             path, inside = tuple(e.label for e in around), tuple(e.number for e in around)
-            out.append(Block(path, text, min(linked, len(text)), stack[-1].article, inside))
+            top = stack[-1]
+            out.append(Block(path, text, min(linked, len(text)), top.article, top.part, inside, top.doubtful))
         linked = 0
 
     def close(upto: int) -> None:
@@ -142,6 +163,7 @@ def blocks(page: str) -> list[Block]:
     def add(text: str) -> None:
         nonlocal linked
         if text and not stack[-1].left_out:
+            text = html.unescape(text)  # a reference never reaches over a tag
             pieces.append(text)
             if stack[-1].linked:
                 linked += len(text.strip())
@@ -162,6 +184,8 @@ def blocks(page: str) -> list[Block]:
                 end_block()
             continue
         top = stack[-1]
+        if name in CONTROLS:
+            with_controls.update(top.doubtful)
         if name in INSIDE_P:
             close_nearest({"p"}, P_SCOPE)
         if name in HEADINGS and top.name in HEADINGS:
@@ -184,22 +208,33 @@ def blocks(page: str) -> list[Block]:
         if name in BLOCK:
             end_block()
         top = stack[-1]
-        left_out = (
-            top.left_out
-            or name in NEVER
-            or (name == "header" and not top.article)
-            or (len(attributes) > 2 and _named_out(name, attributes, top.article > 0))
-        )
-        article, label = top.article, name
-        if name in ARTICLE and not left_out and not article:
-            article = articles = articles + 1
+        verdict = _named_out(name, attributes, top.article > 0) if len(attributes) > 2 else 0
+        left_out = top.left_out or name in NEVER or (name == "header" and not top.article) or verdict == OUT
+        article, part, label = top.article, top.part, name
+        if name in ARTICLE and not left_out and (not article or (name == "article" and not part)):
+            articles += 1
+            article, part = article or articles, articles if article else 0
         if name in BLOCK and len(attributes) > 2 and (c := CLASS.search(attributes)):
             label = f"{name}.{c[1]}"
         opened += 1
-        stack.append(Open(name, label, left_out, top.linked or name == "a", article, opened))
+        doubtful = (*top.doubtful, opened) if verdict == DOUBTFUL else top.doubtful
+        stack.append(Open(name, label, left_out, top.linked or name == "a", article, part, opened, doubtful))
     add(page[at:])
     end_block()
-    return out
+    return _without_doubtful(out, with_controls)
+
+
+def _without_doubtful(found: list[Block], with_controls: set[int]) -> list[Block]:
+    """Elements that may be no part of an article go if they hold form controls or are mostly links."""
+    if not any(b.doubtful for b in found):
+        return found
+    chars, linked = Counter(), Counter()
+    for b in found:
+        for element in b.doubtful:
+            chars[element] += len(b.text)
+            linked[element] += b.linked
+    out = with_controls | {e for e in chars if 2 * linked[e] >= chars[e]}
+    return [b for b in found if not out.intersection(b.doubtful)]
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -223,48 +258,57 @@ def path_scores(page: list[Block]) -> dict[tuple[str, ...], float]:
     return {path: sum(s) / len(s) for path, s in scores.items()}
 
 
+def _largest(page: list[Block], number) -> int:
+    """The marked part (by `number`) with the most text of its own, the first of equal ones; 0 if none has
+    more than its links."""
+    mass, chars, linked = Counter(), Counter(), Counter()
+    for b in page:
+        mass[number(b)] += (len(b.text) - b.linked) * (1 + len(PUNCTUATION.findall(b.text)))
+        chars[number(b)] += len(b.text)
+        linked[number(b)] += b.linked
+    of_its_own = [n for n in chars if n and 2 * linked[n] < chars[n]]
+    return max(of_its_own, key=lambda n: (mass[n], -n), default=0)
+
+
 def main_text(page: str, share: float = 0.5) -> str:
     """The article's blocks, in order, one to a line.
 
-    Content paths score at least `share` of the mean over all blocks. The article is the marked
-    article with the highest-scoring path, or else the nearest element that holds all content paths; all
-    its blocks, at any depth, belong to it but for lists of links and, without a mark, inner elements
-    that are mostly links.
+    Of marked articles the one with the most text of its own (and punctuation in it) is taken whole, of
+    several articles in a `main` the same, with what stands beside them. Where none is marked, content
+    paths are those that score at least `share` of the mean over all blocks, and the article is the nearest
+    element that holds all of them; all its blocks, at any depth, belong to it but for inner
+    elements that are mostly links.
     """
     found = blocks(page)
     if not found:
         return ""
+    article = _largest(found, lambda b: b.article)
+    if article:
+        own = [b for b in found if b.article == article]
+        part = _largest(own, lambda b: b.part)
+        return "\n".join(b.text for b in own if b.part in (0, part) or not part)
     scores = path_scores(found)
     limit = share * sum(scores[b.path] for b in found) / len(found)
     content = {p for p, s in scores.items() if s >= limit}
-    marked = {b.article for b in found if b.path in content} - {0}
-    if marked:
-        own = [b for b in found if b.article in marked]
-    else:
-        parents = [p[:-1] for p in content]
-        depth = 0
-        while all(len(p) > depth for p in parents) and len({p[depth] for p in parents}) == 1:
-            depth += 1
-        holder = parents[0][:depth]
-        own = [b for b in found if b.path[:depth] == holder]
-        chars, linked = Counter(), Counter()
-        for b in own:
-            for element in b.inside[depth:]:
-                chars[element] += len(b.text)
-                linked[element] += b.linked
-
-        def among_links(b: Block) -> bool:
-            # A block's own element counts if nothing else of the holder is around it.
-            alone = len(b.path) == depth + 1 and b.path not in content
-            around = b.inside[depth:] if alone else b.inside[depth:-1]
-            return any(2 * linked[element] >= chars[element] for element in around)
-
-        return "\n".join(b.text for b in own if not among_links(b))
-    lists = Counter()
+    parents = [p[:-1] for p in content]
+    depth = 0
+    while all(len(p) > depth for p in parents) and len({p[depth] for p in parents}) == 1:
+        depth += 1
+    holder = parents[0][:depth]
+    own = [b for b in found if b.path[:depth] == holder]
+    chars, linked = Counter(), Counter()
     for b in own:
-        if any(n == "li" or n.startswith("li.") for n in b.path):
-            lists[b.path] += (2 * b.linked >= len(b.text)) or -1
-    return "\n".join(b.text for b in own if lists[b.path] <= 0)
+        for element in b.inside[depth:]:
+            chars[element] += len(b.text)
+            linked[element] += b.linked
+
+    def among_links(b: Block) -> bool:
+        # A block's own element counts if nothing else of the holder is around it.
+        alone = len(b.path) == depth + 1 and b.path not in content
+        around = b.inside[depth:] if alone else b.inside[depth:-1]
+        return any(2 * linked[element] >= chars[element] for element in around)
+
+    return "\n".join(b.text for b in own if not among_links(b))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -277,7 +321,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            texts = [main_text(page or "") for page in batch.column(2).to_pylist()]
+            texts = [main_text(page.as_py() or "") for page in batch.column(2)]
             yield pa.record_batch(
                 [batch.column(0), batch.column(1).cast(pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )

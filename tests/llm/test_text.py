@@ -189,6 +189,52 @@ def test_main_text_of_an_unmarked_page_with_inner_blocks():
     assert html_text.main_text(PAGE % holder).split("\n") == expected
 
 
+PROSE = [f"Paragraph {i}, which is long enough, " + "with words, and commas, and more of both, " * 5 + "to its end." for i in range(4)]
+
+
+@pytest.mark.parametrize("holder", ["<article>%s</article>", "<main>%s</main>", '<div class="post">%s</div>'])
+def test_names_of_headings_and_sections_do_not_cost_them(holder):
+    heads = ["ad-hoc-networks", "related-work", "form-and-function", "comments-on-method"]
+    p = [f"<p>{x}</p>" for x in PROSE]
+    body = "".join(f'<h2 id="{h}">About {h}</h2>{p[i]}' for i, h in enumerate(heads))
+    body += f'<section id="discussion"><h2>Discussion</h2><p>What it means, in the end: much, or not.</p>{p[0]}</section>'
+    body += '<div id="search-results"><p>We searched, and we found, as told above.</p></div>'
+    expected = [x for i, h in enumerate(heads) for x in (f"About {h}", PROSE[i])]
+    expected += ["Discussion", "What it means, in the end: much, or not.", PROSE[0], "We searched, and we found, as told above."]
+    assert html_text.main_text(PAGE % (holder % body)).split("\n") == expected
+
+
+@pytest.mark.parametrize("holder", ["<article>%s</article>", "<main>%s</main>"])
+def test_parts_of_a_marked_article_that_are_none_of_it(holder):
+    body = f"""<h1>Title</h1><p>{PROSE[0]}</p><div class="share"><a href="x">Share</a></div><p>{PROSE[1]}</p>
+    <div id="reply"><p>Write to us, please, now.</p><input name="x"></div><div class="related"><a href="a">More of it</a></div>
+    <div class="newsletter">Sign up, now.</div><div id="comments"><a href="c">12 comments</a></div><p class="sponsored">Buy, buy, buy.</p>"""
+    assert html_text.main_text(PAGE % (holder % body)).split("\n") == ["Title", *PROSE[:2]]
+
+
+def test_sources_and_short_articles():
+    links = "".join(f"<li><a href='/{i}'>Source number {i}, with its title</a></li>" for i in range(4))
+    sources = [f"Source number {i}, with its title" for i in range(4)]
+    page = PAGE % f"<article><p>{PROSE[0]}</p><h2>Sources</h2><ol>{links}</ol></article>"
+    assert html_text.main_text(page).split("\n") == [PROSE[0], "Sources", *sources]
+    beside = "".join(f"<p>{x}</p>" for x in PROSE)
+    assert html_text.main_text(f"<body><article><p>Short</p></article><div class='x'>{beside}</div></body>") == "Short"
+
+
+def test_one_of_several_articles():
+    teaser = "<article><h2>Another story</h2><p>Read it here, soon.</p></article>"
+    own = f"<article><h1>This one</h1><p>{PROSE[0]}</p><p>{PROSE[1]}</p></article>"
+    expected = ["This one", *PROSE[:2]]
+    assert html_text.main_text(PAGE % (teaser + own + teaser)).split("\n") == expected
+    assert html_text.main_text(PAGE % f"<main><p>Seen from afar.</p>{own}{teaser}</main>").split("\n") == ["Seen from afar.", *expected]
+    cards = "".join(f"<article><a href='{i}'>A card that leads away</a></article>" for i in range(5))
+    assert html_text.main_text(PAGE % f"<div class='post'><p>{PROSE[0]}</p><p>{PROSE[1]}</p></div><div>{cards}</div>").split("\n") == PROSE[:2]
+
+
+def test_references_end_at_tags():
+    assert html_text.main_text("<article><p>&<b>lt;</b> &am<!-- x -->p; &lt;b&gt; &amp;lt; a&nbsp;&#8203;b</p></article>") == "&lt; &amp; <b> &lt; a \u200bb"
+
+
 def test_pages_equal_the_marked_article(spark):
     """The pages of the tables mark their articles, so that a pattern can cut them out."""
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
