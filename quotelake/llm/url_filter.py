@@ -5,7 +5,7 @@ a Bloom filter of the listed keys, its second one of the keys of the universe th
 first by mistake, its third one of the listed keys that pass the second by mistake, and so on
 until a level has no mistakes. The universe here is every key that any url of the corpus looks
 up, so each lookup is exact, and needs no join: the levels are a few bits for each listed key
-and travel inside the plan.
+and travel inside the plan, up to a stated number of them.
 """
 
 from __future__ import annotations
@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.shared import stored
 
+#: Bits of a level that travel in the plan: 4 MB, some ten million characters of text. That is enough for about three
+#: million rules; a larger list ends with an error.
+MOST_BITS = 1 << 25
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -92,6 +96,8 @@ class Cascade:
 
 def _level(keys: DataFrame, count: int, mistakes: float, seed: int) -> Level:
     bits = max(64, math.ceil(count * math.log2(1 / mistakes) / math.log(2)))
+    if bits > MOST_BITS:
+        raise ValueError(f"{count} keys need {bits} bits; more than {MOST_BITS} do not go into a plan")
     hashes = max(1, round(bits / count * math.log(2)))
     level = Level((), bits, tuple(range(seed, seed + min(hashes, 30))))
     at = keys.select(F.explode(F.array(*level.positions(F.col("key")))).alias("at"))

@@ -77,6 +77,13 @@ def test_cascade_is_exact_over_its_universe(spark, listed, size):
     assert sum(level.bits for level in cascade.levels) <= 64 * len(cascade.levels) + 40 * max(listed, 1)
 
 
+def test_a_list_that_is_too_long_for_a_plan(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MOST_BITS", 64)
+    keys = spark.range(200).select(F.col("id").cast("string").alias("key"))
+    with pytest.raises(ValueError, match="do not go into a plan"):
+        url_filter.build_cascade(keys.limit(100), keys)
+
+
 def test_url_plan_has_no_python_and_no_join(spark):
     plan = QUERIES["op5_url_filter"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Python" not in plan and "Arrow" not in plan
