@@ -38,6 +38,7 @@ RUN_BYTES = 1 << 20
 SETTLED, SINGLE, SEVERAL, NEWS = 0, 1, 2, 3
 #: `name`; `packed`: the stretch's own name (48 bits), windows less one (7), place of the anchor (7),
 #: kind (2), or for a settled row its length (62) and kind; `place`: tie (32 bits) and start (32).
+CUT_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
 ROW_SCHEMA = "name bigint, packed bigint, doc_id bigint, place bigint"
 
 
@@ -253,7 +254,7 @@ def _edges(length: int, group: int):
     return run
 
 
-def _cut(batches):
+def cut_ranges(batches):
     """The ranges of each document merged, and the bytes outside of them."""
     for batch in batches:
         own, out = _Batch(*batch.columns[:3]), []
@@ -287,10 +288,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     if not 80 <= length <= 128:
         raise ValueError("length must be from 80 to 128")
-    text, given = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
-    # A null id is replaced by a hash of the text, and told apart by the last bit of the tie.
-    tie = F.hash(text).bitwiseAND(-2).bitwiseOR(given.isNull().cast("int"))
-    source = docs.select(F.coalesce(given, F.xxhash64(text)).alias("doc_id"), tie.alias("tie"), text.alias("text"))
+    source = documents(docs)
 
     def with_ranges(rows: DataFrame, how: str, *columns: str) -> DataFrame:
         rows = rows.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
@@ -304,16 +302,26 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     second = _judged(still_open(first).mapInArrow(_edges(length, GROUP), ROW_SCHEMA), length)
     third = _judged(still_open(second).mapInArrow(_edges(length, 1), ROW_SCHEMA), length)
     removed = [found.where("not open").select("doc_id", "tie", "start", "stop") for found in (first, second, third)]
-    cut_schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept binary"
     everything = removed[0].unionByName(removed[1]).unionByName(removed[2])
-    whole = with_ranges(everything, "left", "start", "stop")
-    return whole.withColumn("doc_id", F.when(~_has_no_id(), F.col("doc_id"))).mapInArrow(_cut, cut_schema)
+    return with_their_ids(with_ranges(everything, "left", "start", "stop")).mapInArrow(cut_ranges, CUT_SCHEMA)
+
+
+def documents(docs: DataFrame) -> DataFrame:
+    """`doc_id, tie, text`; both numbers together stand for a document. A null id is replaced by a hash of the
+    text, and told apart by the last bit of the tie."""
+    text, given = F.col("text").cast("string"), F.col("doc_id").cast("bigint")
+    tie = F.hash(text).bitwiseAND(-2).bitwiseOR(given.isNull().cast("int"))
+    return docs.select(F.coalesce(given, F.xxhash64(text)).alias("doc_id"), tie.alias("tie"), text.alias("text"))
 
 
-def _has_no_id() -> Column:
+def has_no_id() -> Column:
     return F.col("tie").bitwiseAND(1) == 1
 
 
+def with_their_ids(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("doc_id", F.when(~has_no_id(), F.col("doc_id")))
+
+
 def _judged(rows: DataFrame, length: int) -> DataFrame:
     """`doc_id, tie, start, stop, anchor, open` of removed ranges, and of first stretches (open)
     whose name has others."""
@@ -327,7 +335,7 @@ def _judged(rows: DataFrame, length: int) -> DataFrame:
         F.when(settled, F.shiftright("packed", 2)).otherwise(count + (length - 1)).cast("int").alias("size"),
         F.when(settled, 0).otherwise(F.shiftright("packed", 2).bitwiseAND(127)).cast("int").alias("anchor"),
     )
-    order = [_has_no_id().desc(), "doc_id", "place"]
+    order = [has_no_id().desc(), "doc_id", "place"]
     whole = Window.partitionBy("name").orderBy("stretch", *order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     stretch = F.when(F.col("kind") != NEWS, F.col("stretch"))
     several = (F.max("kind").over(whole) >= SEVERAL) | (F.min(stretch).over(whole) != F.max(stretch).over(whole))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quotelake.llm import near, near_dedup, paragraph_dedup, suffix_dedup
+from quotelake.llm import near, near_dedup, paragraph_dedup, rank_rounds, suffix_dedup
 from quotelake.llm.grams import shingles, word_hashes
 
 WORD = re.compile(r"[^\W_]+")
@@ -114,6 +114,15 @@ def test_byte_strings_edge_rows(spark):
     assert [(r.n_removed, r.n_spans, r.spans) for r in alone] == [(0, 0, [])] * 2
 
 
+@pytest.mark.parametrize("length, parts", [(100, 3), (8, 1), (37, 2)])
+def test_rounds_of_ranks_give_the_same(spark, length, parts):
+    rng = random.Random(length)
+    base = ["".join(rng.choice("ab cdé") for _ in range(rng.randint(5, 300))) for _ in range(8)]
+    rows = [(i, "".join(rng.choice(base) for _ in range(rng.randint(0, 4)))) for i in range(25)] + [(30, None), (31, "ab" * 150)]
+    got = rank_rounds.remove_repeats_by_ranks(frame(spark, rows, parts=parts), length).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_cut(rows, length)
+
+
 def test_byte_strings_of_null_ids_whose_hashes_collide(spark):
     """Two texts with the same 32-bit hash and no id are still two documents."""
     from pyspark.sql import functions as F
