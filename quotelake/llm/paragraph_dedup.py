@@ -312,7 +312,7 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int
     roots = group_units(buckets, stored(sets, "paragraph_sets"), threshold)
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", "paragraph", "lines")
     places = source.mapInArrow(_places(min_words, blocks), PLACE_SCHEMA).join(roots, "unit", "left")
-    places = stored(places.withColumn("root", F.coalesce("root", "unit")).drop("unit").withColumn("at", order), "paragraphs")
+    places = stored(places.withColumn("root", F.coalesce("root", "unit")).drop("unit"), "paragraphs").withColumn("at", order)
     # The first of each component, by aggregation; the others find it by their root.
     first = places.groupBy(F.struct("root").alias("key")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
     first = first.where("first < last").select("key.root", "first")
@@ -333,7 +333,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     several = windows.groupBy(F.struct("name").alias("key")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", F.col("at").alias("start"))
     found = windows.join(several.where("low < high").select("key.name"), "name", "left_semi")
-    found = stored(found.withColumn("place", order).drop("doc_id"), "passages")
+    found = stored(found, "passages").withColumn("place", order).drop("doc_id")
     first = found.groupBy(F.struct("name", "more").alias("key")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
     first = first.where("first < last").select("key.*", "first")
     later = found.join(first, ["name", "more"]).where("place > first")

@@ -36,11 +36,21 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
 
 
+#: Spark's switch for deleting the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read back: computed once, and safe from lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written to the shared folder and read back: computed once, and safe from lost executors. What
+    it was shuffled through is not needed any more and goes at once."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_key() -> tuple[Column, Column]:
