@@ -128,7 +128,7 @@ def test_newest_bars_open_the_newest_months(spark, tmp_path):
     for ticker, n, most in (("MMM", 3, 1), ("MMM", 12, 4), ("ABT", 7, 16), ("MMM", 1000, 21), ("nobody", 3, 21)):
         assert len(months(made._newest_bars(ticker, "1d", n, "datetime"))) <= most
         assert rows(made.recent_bars(ticker, n=n)) == rows(analytics.recent_bars(whole, ticker, "1d", n))
-        assert rows(made.price_vs_posts(ticker, n).drop("cnt")) == rows(analytics.daily_bars(whole, ticker, "1d", n))
+        assert rows(made.price_vs_posts(ticker, n).select(whole.columns)) == rows(analytics.daily_bars(whole, ticker, "1d", n))
     assert months(made._newest_bars("MMM", "1d", 3, "datetime")) == {"2022-10"}
 
 
