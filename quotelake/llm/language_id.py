@@ -160,4 +160,5 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> Column:
                 best[own], score[own], distance[own] = model.judge(texts[own])
             yield pd.DataFrame({"lang": np.array(model.languages, object)[best], "score": score, "distance": distance})
 
-    return F.when(has_letters(docs["text"]), predict(docs["text"])).otherwise(unknown)
+    # So that a filter on the result does not run the model a second time.
+    return F.when(has_letters(docs["text"]), predict.asNondeterministic()(docs["text"])).otherwise(unknown)

@@ -395,7 +395,8 @@ def trim_documents(docs: DataFrame, threshold: float = 0.8, min_words: int = LEA
         return pa.array([None if t is None else k for t, k, _ in _cut_batch(texts, lines, spans, min_words)], pa.string())
 
     whole = F.col(removed).isNull() & F.col(passages).isNull()
-    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(kept("text", removed, passages)))
+    cut = kept.asNondeterministic()("text", removed, passages)  # so that what looks at the text does not cut it again
+    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
     joined = joined.where(whole | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
         count = F.when(whole, F.col("n_chars")).otherwise(F.length("text"))
