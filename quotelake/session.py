@@ -52,9 +52,20 @@ def build_session(app_name: str = "quotelake", local_cores: int | None = None) -
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or else a folder in
-    the warehouse, which a cluster shares as well."""
+    the warehouse, unless that lies on the disk of one machine of a cluster."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    place = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    refuse_own_disk(spark.sparkContext.master, place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme())
+    return os.path.join(warehouse, "_intermediate")
+
+
+def refuse_own_disk(master: str, scheme: str) -> None:
+    """A cluster without a shared folder would lose what one machine wrote for another."""
+    if scheme == "file" and not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
