@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.grams import U64, mix, salt
-from quotelake.llm.shared import stored, text_runs
+from quotelake.llm.shared import checkpointed, stored, text_runs
 from quotelake.operators.windows import with_group_stats
 
 GRAM_BYTES = 5  # of a shingle's hash that a stored set keeps
@@ -82,24 +82,24 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     several = members.groupBy("bucket").agg(F.min(short).alias("low"), F.max(short).alias("high")).where("low < high")
     found = stored(members.join(several.select("bucket"), "bucket", "left_semi").distinct(), "members")
     sized = with_group_stats(found, ["bucket"], {"size": F.count("*")})
-    met = with_group_stats(sized, ["unit"], {"met": F.sum("size")})
-    hub = F.max(F.struct("met", "unit"))["unit"]
-    return stored(with_group_stats(met, ["bucket"], {"hub": hub}).select("bucket", "unit", "hub"), "buckets")
+    # A unit has a few buckets only; a bucket may have many units, so its key is one that a join can split.
+    met = found.join(sized.groupBy("unit").agg(F.sum("size").alias("met")), "unit")
+    hubs = met.groupBy(F.struct("bucket").alias("key")).agg(F.max(F.struct("met", "unit"))["unit"].alias("hub"))
+    return stored(found.join(hubs.select("key.bucket", "hub"), "bucket").select("bucket", "unit", "hub"), "buckets")
 
 
 def _similar(threshold: float):
     def run(batches):
         for batch in batches:
-            a, b, left, right = (batch.column(i) for i in range(4))
+            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             keep = []
-            for i, (x, y) in enumerate(zip(left.to_pylist(), right.to_pylist(), strict=True)):
+            for i, (x, y) in enumerate(zip(left, right, strict=True)):
                 x, y = (np.frombuffer(s, f"V{GRAM_BYTES}") for s in (x, y))
                 both = len(x) + len(y)
                 shared = both - _distinct(x, y)
                 if shared >= threshold * (both - shared):
                     keep.append(i)
-            at = pa.array(keep, pa.int64())
-            yield pa.record_batch([a.take(at), b.take(at)], ["a", "b"])
+            yield batch.drop_columns(["left", "right"]).take(pa.array(keep, pa.int64()))
 
     return run
 
@@ -123,11 +123,11 @@ def _possible(a: str, b: str, threshold: float, bits: int, most_bits: int) -> Co
 
 
 def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Those of `pairs` (`a, b`) whose sets have a Jaccard similarity of at least `threshold`."""
+    """Those of `pairs` (`a, b` and others) whose sets have a Jaccard similarity of at least `threshold`."""
     grams = sets.select("unit", "grams")
     met = pairs.join(grams.withColumnsRenamed({"unit": "a", "grams": "left"}), "a")
-    met = met.join(grams.withColumnsRenamed({"unit": "b", "grams": "right"}), "b").select("a", "b", "left", "right")
-    return met.mapInArrow(_similar(threshold), "a binary, b binary")
+    met = met.join(grams.withColumnsRenamed({"unit": "b", "grams": "right"}), "b").select(*pairs.columns, "left", "right")
+    return met.mapInArrow(_similar(threshold), pairs.schema)
 
 
 def _owned_grams(batches):
@@ -205,31 +205,36 @@ def group_units(buckets: DataFrame, sets: DataFrame, threshold: float, bits: int
     # A pair is made in one of the buckets that it shares.
     once = F.col("bucket") == F.array_min(F.array_intersect("a_.buckets", "b_.buckets"))
     crossing = members.join(others, "bucket").where(apart & enough & _possible("a_", "b_", threshold, SKETCH, MOST_DIFFERING) & once)
-    second = verified_links(crossing.select("a", "b"), sets, threshold)
-    # The first links are as good as their roots.
-    return components(roots.select(F.col("root").alias("a"), F.col("unit").alias("b")).unionByName(second))
+    second = verified_links(crossing.select("a", "b", "root", "root_b"), sets, threshold)
+    # Only the roots that these links join need a new one.
+    joined = components(second.select(F.col("root").alias("a"), F.col("root_b").alias("b")))
+    moved = roots.join(joined.select(F.col("unit").alias("root"), F.col("root").alias("top")), "root", "left")
+    return moved.select("unit", F.coalesce("top", "root").alias("root")).unionByName(joined)
 
 
 def components(links: DataFrame) -> DataFrame:
     """`unit, root` for each unit of `links` (`a, b`); the root is the smallest unit it is linked to.
 
-    Alternates two steps until nothing changes: every unit hands its larger neighbours to the
-    smallest one, then its smaller ones. Each round is a few keyed jobs, and is written to the
-    shared folder.
+    Alternates two steps until each component is a star around its root: every unit hands its larger
+    neighbours to the smallest one, then its smaller ones. Each round is a few keyed jobs, and its
+    edges are checkpointed.
     """
-    edges = stored(
+    edges = checkpointed(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    state = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("low").alias("b")).repartition("a")
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a").select(F.col("b").alias("u"), "low", "a")
         small = small.select(F.explode(F.array("u", "a")).alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
-        edges = stored(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("a").alias("unit"), F.col("b").alias("root"))
-        state = now
+        edges = checkpointed(small, "edges")
+    return edges.select(F.col("a").alias("unit"), F.col("b").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each `a` has one edge and no `b` is an `a`; each `a` is larger than its `b`."""
+    ends = [F.struct(F.col(c).alias("unit"), F.lit(n).alias("n")) for c, n in (("a", 1), ("b", 0))]
+    units = edges.select(F.inline(F.array(*ends))).groupBy("unit").agg(F.sum("n").alias("lower"), F.min("n").alias("least"))
+    return units.where("lower > 1 or lower = 1 and least = 0").count() == 0

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.grams import RUN_CHARS, U64, mix, numbered_repeats, salt, shingles, word_hashes
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import free_names, keyed, stored, text_runs, with_found
+from quotelake.llm.shared import checkpointed, free_names, keyed, stored, text_runs, with_found
 from quotelake.operators.windows import with_group_stats
 
 ROWS, BANDS = 4, 25  # a pair of similarity 0.8 misses all bands once in 500,000 times
@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     if threshold < 0.8:
         raise ValueError("the bands are made for similarities of 0.8 or more")
-    grouped = stored(_grouped(docs, threshold).select("doc_id", "root"), "near_groups")
+    grouped = checkpointed(_grouped(docs, threshold).select("doc_id", "root"), "near_groups")
     # A class may hold a third of all documents; the join is one in which such a key can be split.
     stats = {"class_id": F.min("doc_id"), "class_size": F.count("*")}
     found = with_group_stats(grouped, ["root"], stats).select("doc_id", "class_id", "class_size")

@@ -429,6 +429,19 @@ def test_components_of_a_long_chain(spark):
     assert {bytes(r.unit): bytes(r.root) for r in got if r.unit != r.root} == expected
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    written = []
+    for name in ("stored", "checkpointed"):
+        write = getattr(near, name, None)
+        monkeypatch.setattr(near, name, lambda df, at, write=write: written.append(at) or write(df, at), raising=False)
+    star = spark.createDataFrame([(bytes([i]), b"\0") for i in range(1, 9)] + [(b"\xf5", b"\xf0")], "a binary, b binary")
+    assert {(bytes(r.unit), bytes(r.root)) for r in near.components(star).collect()} == {
+        *((bytes([i]), b"\0") for i in range(1, 9)), (b"\xf5", b"\xf0")
+    }
+    assert written == ["edges"]
+    assert near.components(star.where("a = b")).collect() == []
+
+
 def test_kept_digest_of_the_query(spark):
     from quotelake.llm.catalog import QUERIES
 
