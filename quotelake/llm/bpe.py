@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -154,8 +153,7 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
 
 
-def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
-    raw = [w.encode() for w in words]
+def _pack_words(raw: list[bytes]) -> tuple[bytes, bytes]:
     text = b"".join(raw)
     return _pack(np.fromiter(map(len, raw), np.int64, len(raw))), len(text).to_bytes(4, "little") + CODEC.compress(text, asbytes=True)
 
@@ -166,19 +164,75 @@ def _unpack_words(lengths: bytes, text: bytes) -> list[str]:
     return [raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def _distinct(texts: list[str], vocabulary: str) -> dict[str, int]:
-    """The distinct words of `texts`, numbered as they first come."""
-    found: dict[str, int] = {}
-    for text in texts:
-        found.update(dict.fromkeys(split_words(text, vocabulary)))
-    return dict(zip(found, range(len(found)), strict=True))
-
-
-def _numbered(texts: list[str], vocabulary: str) -> tuple[dict[str, int], list[np.ndarray]]:
-    """The same, and each text as word numbers."""
-    slots: dict[str, int] = defaultdict()
-    slots.default_factory = slots.__len__
-    return slots, [np.fromiter(map(slots.__getitem__, split_words(t, vocabulary)), np.uint32) for t in texts]
+def _byte_classes() -> np.ndarray:
+    """Of each byte of a simple text: 0 white space, 1 letter, 2 digit, 3 anything else. The bytes of a
+    letter of two bytes are letters; the two signs among these letters are seen to by `_simple_starts`."""
+    classes = np.full(256, 3, np.uint8)
+    classes[[9, 10, 13, 32]] = 0
+    classes[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+    classes[48:58] = 2
+    return classes
+
+
+BYTE_CLASSES = _byte_classes()
+#: The two signs, as pairs of bytes, and the two letters of the longer contractions.
+SIGNS, ENDINGS = (0xC397, 0xC3B7), [int.from_bytes(e, "big") for e in (b"re", b"ve", b"ll")]
+
+
+def _simple_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the words of simple texts begin, as SIMPLE_WORDS finds them, in the bytes of all texts; no word
+    crosses one of `bounds`, where the texts begin."""
+    n, classes = len(raw), BYTE_CLASSES[raw]
+    pairs = (raw[:-1].astype(np.uint16) << 8) | raw[1:]
+    for at in np.flatnonzero((pairs == SIGNS[0]) | (pairs == SIGNS[1])):
+        classes[at : at + 2] = 3
+    first = np.zeros(n + 1, bool)
+    first[bounds] = True
+    starts = first[:n].copy()
+    starts[1:] |= classes[1:] != classes[:-1]
+    # The last white space before a word: a blank belongs to the word, any other is a word of its own.
+    last = np.flatnonzero((classes[:-1] == 0) & (classes[1:] != 0) & ~first[1:n])
+    starts[last] = True
+    starts[last[raw[last] == 32] + 1] = False
+    # A contraction begins with an apostrophe that begins a word, and what follows it is a new word.
+    mark = np.flatnonzero((raw[:-1] == 39) & starts[:-1] & ~first[1:n])
+    one = mark[np.isin(raw[mark + 1], np.frombuffer(b"stmd", np.uint8))]
+    mark = mark[mark + 2 < n]
+    two = mark[np.isin(pairs[mark + 1], ENDINGS) & ~first[mark + 2]]
+    for held, width in ((one, 2), (two, 3)):
+        starts[held + 1] = False
+        starts[(held + width)[held + width < n]] = True
+    return np.flatnonzero(starts)
+
+
+def _words(texts: list[str], vocabulary: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of `texts` as they first come, all words as their numbers, and how many each text has."""
+    specials = _specials(vocabulary)
+    places = [np.zeros(0, np.int64)]
+    simple = [not BEYOND_SIMPLE.search(t) and not (specials and specials.search(t)) for t in texts]
+    raw = [t.encode() for t in texts]
+    starts_at = np.cumsum([0, *map(len, raw)])
+    every = np.frombuffer(b"".join(raw), np.uint8)
+    i = 0
+    while i < len(texts):
+        j = i + 1
+        if simple[i]:
+            while j < len(texts) and simple[j]:
+                j += 1
+            a, b = starts_at[i], starts_at[j]
+            if b > a:
+                places.append(a + _simple_starts(every[a:b], starts_at[i : j + 1] - a))
+        else:
+            lengths = [len(w.encode()) for w in split_words(texts[i], vocabulary)]
+            places.append(starts_at[i] + np.cumsum([0, *lengths[:-1]]) if lengths else places[0])
+        i = j
+    places = np.concatenate(places)
+    sizes = np.diff(np.searchsorted(places, starts_at))
+    offsets = np.append(places, len(every))
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(places), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(every)]
+    ).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), sizes
 
 
 def _part_words(vocabulary, part_chars: int, buckets: int):
@@ -186,8 +240,8 @@ def _part_words(vocabulary, part_chars: int, buckets: int):
 
     def run(batches):
         for number, _, texts in _parts(batches, part_chars):
-            words = list(_distinct(texts, vocabulary.value))
-            bucket = np.fromiter((crc32(w.encode()) for w in words), np.int64, len(words)) % buckets
+            words = _words(texts, vocabulary.value)[0].to_pylist()
+            bucket = np.fromiter((crc32(w) for w in words), np.int64, len(words)) % buckets
             order = np.argsort(bucket, kind="stable")
             span = (number >> 32) // SPAN_PARTITIONS << 32 | (number & 0xFFFFFFFF) // SPAN_PARTS
             rows = []
@@ -207,13 +261,14 @@ def _part_codes(vocabulary, part_chars: int):
 
     def run(batches):
         for number, ids, texts in _parts(batches, part_chars):
-            slots, codes = _numbered(texts, vocabulary.value)
+            distinct, codes, counts = _words(texts, vocabulary.value)
+            ends = np.concatenate([[0], np.cumsum(counts)])
             for own in text_runs(texts, ROW_CHARS):
-                sizes = list(map(len, codes[own]))
+                sizes = counts[own].tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([number], pa.int64()), pa.array([len(slots)], pa.int32()),
+                    pa.array([number], pa.int64()), pa.array([len(distinct)], pa.int32()),
                     pa.array([ids[own]], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([_pack(np.concatenate(codes[own]))], pa.binary()),
+                    pa.array([_pack(codes[ends[own.start] : ends[own.stop]])], pa.binary()),
                 ], ["part", "words", "doc_ids", "sizes", "codes"])
 
     return tidy(run)

@@ -77,6 +77,20 @@ def test_word_split_equals_the_library():
 # --- languages
 
 
+def test_words_of_a_part_are_those_of_its_texts():
+    with open(VOCABULARY, encoding="utf-8") as f:
+        vocabulary = f.read()
+    rng = random.Random(5)
+    pieces = [*"'  \n\tarsZ\u00e9\u00d7\u00f7\u01ff17.-", "'s", "'re", "'ll", "  ", "\r\n", "<|endoftext|>", "\u65e5\u672c", "\u2003"]
+    for _ in range(2000):
+        texts = ["".join(rng.choices(pieces[: rng.choice((19, len(pieces)))], k=rng.randrange(9))) for _ in range(rng.randrange(6))]
+        expected = [bpe.split_words(t, vocabulary) for t in texts]
+        distinct, codes, sizes = bpe._words(texts, vocabulary)
+        words = [w.decode() for w in distinct.to_pylist()]
+        assert words == list(dict.fromkeys(w for own in expected for w in own))
+        assert [words[c] for c in codes] == [w for own in expected for w in own] and sizes.tolist() == list(map(len, expected))
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     got = QUERIES["op9_language_id"](spark, SMALL)
     lang = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang")
