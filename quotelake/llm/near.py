@@ -3,8 +3,8 @@
 A unit is a content (a document's or paragraph's words), named by 16 bytes, so exact copies are one
 unit from the start. Units that share a bucket are candidates. No bucket is expanded into all its
 pairs: first each member is compared with one hub; members that this leaves in different
-components are then compared with each other, as far as their sizes, their sketches and the
-shingles that they share with any other candidate allow a link.
+components are then compared with each other where they share one of their rarest shingles and
+have enough of the others left for a link.
 """
 
 from __future__ import annotations
@@ -13,17 +13,16 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm.grams import U64, mix, salt
-from quotelake.llm.shared import checkpointed, stored, text_runs
+from quotelake.llm.shared import checkpointed, stored
 from quotelake.operators.windows import with_group_stats
 
 GRAM_BYTES = 5  # of a shingle's hash that a stored set keeps
-#: The sketch that tells apart members of one bucket: at similarity 0.8 about 102 of the bits differ,
-#: and 165 are six deviations more. It is made for as many grams at once.
-SKETCH, MOST_DIFFERING, SKETCH_GRAMS = 1024, 165, 1 << 17
+#: What a bound on a count of grams may be off in floating point.
+ROUNDING = 1e-6
 
 
 def unit_names(first: np.ndarray, second: np.ndarray) -> pa.Array:
@@ -133,45 +132,29 @@ def verified_links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataF
 def _owned_grams(batches):
     """One row for each gram of each set."""
     for batch in batches:
-        sets = batch.column(1).to_pylist()
+        sets = batch.column(2).to_pylist()
         sizes = [len(x) // GRAM_BYTES for x in sets]
         wide = np.zeros((sum(sizes), 8), np.uint8)
         wide[:, :GRAM_BYTES] = np.frombuffer(b"".join(sets), np.uint8).reshape(-1, GRAM_BYTES)
-        owners = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-        yield pa.record_batch([pa.array(wide.view("<i8").ravel()), pa.array(owners)], ["gram", "owner"])
+        owners, counts = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
+        yield pa.record_batch([pa.array(wide.view("<i8").ravel()), pa.array(owners), pa.array(counts)], ["gram", "owner", "n"])
 
 
-def _bit_sketches(batches):
-    """Of SKETCH MinHash values of each set one bit: two sets differ in half of the places where
-    their values do."""
-    for batch in batches:
-        units, sizes, sets = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-        for own in text_runs(sets, GRAM_BYTES * SKETCH_GRAMS):
-            counts = np.array([len(x) // GRAM_BYTES for x in sets[own]])
-            wide = np.zeros((counts.sum(), 8), np.uint8)
-            wide[:, :GRAM_BYTES] = np.frombuffer(b"".join(sets[own]), np.uint8).reshape(-1, GRAM_BYTES)
-            grams, starts = wide.view("<u8").ravel(), np.cumsum(counts) - counts
-            bits = np.empty((len(counts), SKETCH), np.uint8)
-            for k in range(SKETCH):
-                least = np.minimum.reduceat((grams ^ salt(2 * k + 2000)) * (salt(2 * k + 2001) | U64(1)), starts)
-                bits[:, k] = mix(least) & U64(1)
-            at = slice(own.start, own.stop)
-            names, sizes_here = (c.slice(at.start, at.stop - at.start) for c in (units, sizes))
-            yield pa.record_batch([names, sizes_here, lists(np.packbits(bits, axis=1).view("<u8"))], ["unit", "n", "bits"])
-
-
-def open_sizes(sets: DataFrame) -> DataFrame:
-    """`unit, n, bits, shared`: a sketch of each set, and how many of its grams occur in any other.
-
-    Two sets have no more in common than the smaller of these numbers, which keeps variants of
-    one text apart that differ from all others in their own places.
+def rare_grams(sets: DataFrame, threshold: float) -> DataFrame:
+    """`gram, owner, n, rest`: of each set the grams by which it can meet a similar one.
+
+    All sets have their grams in one order, the rarest first; `rest` counts those from this gram to the
+    last. Of two sets, all that they share lies in the rest of both from the first gram that they share, so a
+    pair is needed only at a gram after which enough is left. Variants of one text that each differ from
+    it in their own places have few such grams, or none, in common.
     """
-    owned = sets.select(F.xxhash64("unit").alias("owner"), "grams").mapInArrow(_owned_grams, "gram bigint, owner bigint")
-    alone = owned.groupBy("gram").agg(F.count("*").alias("times"), F.min("owner").alias("owner")).where("times = 1")
-    alone = alone.groupBy("owner").agg(F.count("*").alias("alone"))
-    sketched = sets.select("unit", "n", "grams").mapInArrow(_bit_sketches, "unit binary, n int, bits array<bigint>")
-    counted = sketched.withColumn("owner", F.xxhash64("unit")).join(alone, "owner", "left")
-    return counted.select("unit", "n", "bits", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    owned = sets.select(F.xxhash64("unit").alias("owner"), "n", "grams")
+    owned = owned.mapInArrow(_owned_grams, "gram bigint, owner bigint, n int")
+    times = owned.groupBy(F.struct("gram").alias("key")).agg(F.count("*").alias("times")).where("times > 1")
+    met = owned.join(times.select("key.gram", "times"), "gram")
+    last = Window.partitionBy("owner").orderBy(F.desc("times"), F.desc("gram"))
+    met = met.withColumn("rest", F.row_number().over(last)).drop("times")
+    return met.where(F.col("rest") >= threshold * F.col("n") - ROUNDING)
 
 
 def group_units(buckets: DataFrame, sets: DataFrame, threshold: float, bits: int = 0, most_bits: int = 0) -> DataFrame:
@@ -195,23 +178,37 @@ def group_units(buckets: DataFrame, sets: DataFrame, threshold: float, bits: int
     placed = buckets.join(roots, "unit", "left").withColumn("root", F.coalesce("root", "unit"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     open_ = stored(placed.where("unit <> hub").join(mixed.select("bucket"), "bucket", "left_semi").drop("hub"), "open_buckets")
-    own = open_.groupBy("unit").agg(F.collect_set("bucket").alias("buckets"))
-    light = open_sizes(sets.join(own.select("unit"), "unit", "left_semi")).join(own, "unit")
-    members = with_light(open_.withColumnRenamed("unit", "a"), "a", stored(light, "open_units")).select("bucket", "a", "a_", "root")
-    others = members.select("bucket", F.col("a").alias("b"), F.col("a_").alias("b_"), F.col("root").alias("root_b"))
-    common = F.least("a_.shared", "b_.shared")
-    enough = common >= threshold * (F.col("a_.n") + F.col("b_.n") - common)
-    apart = (F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b"))
-    # A pair is made in one of the buckets that it shares.
-    once = F.col("bucket") == F.array_min(F.array_intersect("a_.buckets", "b_.buckets"))
-    crossing = members.join(others, "bucket").where(apart & enough & _possible("a_", "b_", threshold, SKETCH, MOST_DIFFERING) & once)
-    second = verified_links(crossing.select("a", "b", "root", "root_b"), sets, threshold)
+    own = open_.groupBy("unit").agg(F.collect_set("bucket").alias("buckets"), F.min("root").alias("root"))
+    own = stored(own.withColumn("owner", F.xxhash64("unit")), "open_units")
+    rare = rare_grams(sets.join(own.select("unit"), "unit", "left_semi"), threshold)
+    second = verified_links(crossing_pairs(rare.join(own.select("owner", "root"), "owner"), own, threshold), sets, threshold)
     # Only the roots that these links join need a new one.
     joined = components(second.select(F.col("root").alias("a"), F.col("root_b").alias("b")))
     moved = roots.join(joined.select(F.col("unit").alias("root"), F.col("root").alias("top")), "root", "left")
     return moved.select("unit", F.coalesce("top", "root").alias("root")).unionByName(joined)
 
 
+def crossing_pairs(rare: DataFrame, own: DataFrame, threshold: float) -> DataFrame:
+    """`a, b, root, root_b`: pairs of units of different roots that share a bucket and may be similar.
+
+    `rare` is from `rare_grams`, with the roots; `own` has `unit, owner, root, buckets`.
+    """
+    # Rows of the root that has a gram most often meet those of the others, and not each other.
+    roots = rare.groupBy(F.struct("gram", "root").alias("key")).agg(F.count("*").alias("times")).select("key.*", "times")
+    most = roots.groupBy(F.struct("gram").alias("key")).agg(F.max(F.struct("times", "root"))["root"].alias("main"), F.count("*").alias("roots"))
+    rare = stored(rare.join(most.where("roots > 1").select("key.gram", "main"), "gram"), "rare_grams")
+    others = rare.withColumnsRenamed({"owner": "owner_b", "n": "n_b", "rest": "rest_b", "root": "root_b"}).drop("main")
+    common = F.least("rest", "rest_b")
+    enough = common >= threshold * (F.col("n") + F.col("n_b") - common) - ROUNDING
+    apart = (F.col("root") != F.col("root_b")) & ((F.col("owner") < F.col("owner_b")) | (F.col("root_b") == F.col("main")))
+    met = rare.where("root <> main").join(others, "gram").where(apart & enough)
+    met = met.select(F.least("owner", "owner_b").alias("owner"), F.greatest("owner", "owner_b").alias("owner_b")).distinct()
+    first = own.select("owner", F.col("unit").alias("a"), "root", "buckets")
+    second = own.select(F.col("owner").alias("owner_b"), F.col("unit").alias("b"), F.col("root").alias("root_b"), F.col("buckets").alias("more"))
+    met = met.join(first, "owner").join(second, "owner_b").where(F.arrays_overlap("buckets", "more"))
+    return met.select("a", "b", "root", "root_b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """`unit, root` for each unit of `links` (`a, b`); the root is the smallest unit it is linked to.
 

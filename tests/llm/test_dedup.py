@@ -390,6 +390,27 @@ def test_near_duplicates_of_one_large_family(spark):
     assert {r.doc_id: r.class_id for r in got} == dict(enumerate(roots(len(rows), linked)))
 
 
+def test_pairs_of_one_large_family(spark, monkeypatch):
+    """Variants of one text that are too far from it for a link, with edits that recur, do not all meet each other."""
+    rng = random.Random(21)
+    base = words_of(rng, 120, 5000).split(" ")
+
+    def variant(edits, letter):
+        at = {place: f"{letter}{rng.randrange(3)}" for place in rng.sample(range(5, 115, 5), edits)}
+        return " ".join(at.get(i, word) for i, word in enumerate(base))
+
+    rows = [(i, variant(1, "f") if i % 2 else variant(3, "e")) for i in range(200)]
+    checked, verify = [], near.verified_links
+    monkeypatch.setattr(near, "verified_links", lambda pairs, *more: checked.append(pairs.count()) or verify(pairs, *more))
+    grams = [gram_counts(t) for _, t in rows]
+    linked = [(a, b) for a in range(len(rows)) for b in range(a) if weighted_jaccard(grams[a], grams[b]) >= 0.8]
+    expected = roots(len(rows), linked)
+    assert 20 < len(set(expected)) < 100
+    got = near_dedup.near_duplicates(frame(spark, rows, parts=7)).collect()
+    assert {r.doc_id: r.class_id for r in got} == dict(enumerate(expected))
+    assert checked[1] < 5 * len(rows)
+
+
 def test_near_duplicate_edge_rows(spark):
     text = words_of(random.Random(6), 30)
     schema = "doc_id bigint, text string, unit int, row int, root string, bands int"
