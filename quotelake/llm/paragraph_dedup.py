@@ -22,7 +22,8 @@ from quotelake.llm.grams import (
     RUN_CHARS, U64, mix, runs_of_words, salt, shingles, sort_segments, word_hashes, word_places,
 )
 from quotelake.llm.near import band_keys, gram_sets, group_units, lists, sequence_names, shared_buckets, unit_names
-from quotelake.llm.shared import keyed, release, stored, text_runs, tidy, with_found
+from quotelake.llm.shared import keyed, release, stored, text_runs, tidy, with_found, written
+from quotelake.session import remove_path
 
 ROWS, BANDS = 3, 16
 #: Words that make a line, a block or a run of shorter lines a paragraph.
@@ -32,19 +33,20 @@ SHORTEST = 5
 #: Words of a window. A repeated run of WINDOW + STEP - 1 = 51 words holds a chosen window, and of a longer one
 #: at most STEP - 1 words at either end lie in none.
 WINDOW, STEP = 36, 16
-BAND_SCHEMA = "unit binary, bands array<bigint>"
 SET_SCHEMA = "unit binary, n int, bits array<bigint>, grams binary"
-PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int, lines int, words int"
+PLACE_SCHEMA = "unit binary, doc_id bigint, row bigint, tie int, paragraph int, lines int, words int, bands array<bigint>"
 WINDOW_SCHEMA = "name bigint, more int, doc_id bigint, row bigint, tie int, at int"
 CUT_SCHEMA = "doc_id bigint, n_chars bigint, n_removed bigint, n_spans bigint, spans array<struct<start:int,stop:int>>, kept string"
 
 
 def min_hashes(grams: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
     """`count` MinHash values for each segment; every segment has a gram."""
-    out = np.empty((len(starts) - 1, count), U64)
+    out, held = np.empty((count, len(starts) - 1), U64), np.empty_like(grams)
     for k in range(count):
-        out[:, k] = np.minimum.reduceat((grams ^ salt(2 * k + 500)) * (salt(2 * k + 501) | U64(1)), starts[:-1])
-    return out
+        np.bitwise_xor(grams, salt(2 * k + 500), out=held)
+        np.multiply(held, salt(2 * k + 501) | U64(1), out=held)
+        np.minimum.reduceat(held, starts[:-1], out=out[k])
+    return out.T
 
 
 def _distinct_grams(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,17 +108,6 @@ def _paragraphs(texts: list[str | None], least: int, blocks: bool):
             yield *shingles(own, begins), sequence_names(own, begins)
 
 
-def _bands(least: int, blocks: bool):
-    def run(batches):
-        for batch in batches:
-            for grams, starts, names in _paragraphs(batch.column("text").to_pylist(), least, blocks):
-                keys = band_keys(min_hashes(grams, starts, ROWS * BANDS), ROWS)
-                once = np.unique(names[0], return_index=True)[1] if len(names[0]) else []
-                yield pa.record_batch([unit_names(*(n[once] for n in names)), lists(keys[once])], ["unit", "bands"])
-
-    return tidy(run)
-
-
 def _sets(least: int, blocks: bool):
     def run(batches):
         for batch in batches:
@@ -134,12 +125,14 @@ def _sets(least: int, blocks: bool):
 
 
 def _places(least: int, blocks: bool):
-    """Where the banded paragraphs stand, and with `blocks` the shorter lines, which are only equal to equal ones."""
+    """Where the banded paragraphs stand, the first of equal ones with its bands, and with `blocks` the
+    shorter lines, which are only equal to equal ones."""
 
     def run(batches):
         for batch in batches:
             for row, number, words, starts in _lines(batch.column("text").to_pylist()):
                 first, stop = _judged(row, starts, least, blocks)
+                judged = len(first)
                 if blocks:
                     sizes = np.diff(starts)
                     lone = np.flatnonzero((sizes >= SHORTEST) & (sizes < least))
@@ -147,11 +140,19 @@ def _places(least: int, blocks: bool):
                 if not len(first):
                     continue
                 own, begins = _segments(words, starts[first], starts[stop])
-                keys = [batch.column(c).take(pa.array(row[first])) for c in ("doc_id", "row", "tie")]
+                names = sequence_names(own, begins)
+                banded = np.zeros(len(first), bool)
+                banded[np.unique(names[0][:judged], return_index=True)[1]] = True
+                keys = np.empty((0, BANDS), U64)
+                if judged:
+                    grams, held = shingles(own[: begins[judged]], begins[: judged + 1])
+                    keys = band_keys(min_hashes(grams, held, ROWS * BANDS), ROWS)[banded[:judged]]
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.where(banded, BANDS, 0))]), pa.int32())
+                copies = [batch.column(c).take(pa.array(row[first])) for c in ("doc_id", "row", "tie")]
                 numbers = [pa.array(x.astype(np.int32)) for x in (number[first], stop - first, np.diff(begins))]
                 yield pa.record_batch(
-                    [unit_names(*sequence_names(own, begins)), *keys, *numbers],
-                    ["unit", "doc_id", "row", "tie", "paragraph", "lines", "words"],
+                    [unit_names(*names), *copies, *numbers, pa.ListArray.from_arrays(ends, lists(keys).values)],
+                    ["unit", "doc_id", "row", "tie", "paragraph", "lines", "words", "bands"],
                 )
 
     return tidy(run)
@@ -172,6 +173,16 @@ def settled_lines(found: list[tuple[int, int, int]], least: int) -> list[int]:
     return out
 
 
+def _slid(values: np.ndarray, width: int, least_or_most: np.ufunc) -> np.ndarray:
+    """The least or most of each `width` values in a row."""
+    size = 1
+    while size < width:
+        step = min(size, width - size)
+        values = least_or_most(values[:-step], values[step:])
+        size += step
+    return values
+
+
 def chosen_windows(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The windows that have the least hash of STEP in a row, or of all in a text with fewer windows:
     where they begin in `words`, and their hashes."""
@@ -187,13 +198,11 @@ def chosen_windows(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, n
     # Of each run of STEP windows in one text its least hash; a run that leaves the text has none.
     least = np.full(len(hashes), ~U64(0))
     if len(hashes) >= STEP:
-        least[: len(hashes) - STEP + 1] = np.lib.stride_tricks.sliding_window_view(hashes, STEP).min(1)
+        least[: len(hashes) - STEP + 1] = _slid(hashes, STEP, np.minimum)
     number = np.arange(len(hashes)) - np.repeat(first, n)
     least[np.repeat(n, n) - number < STEP] = 0
-    # A window is chosen if it is the least of any run that it is in.
-    here = least.copy()
-    for back in range(1, min(STEP, len(hashes))):
-        here[back:] = np.maximum(here[back:], np.where(number[back:] >= back, least[:-back], U64(0)))
+    # A window is chosen if it is the least of any run that it is in; runs that begin in the text before have none.
+    here = _slid(np.concatenate([np.zeros(STEP - 1, U64), least]), STEP, np.maximum)
     short = np.repeat(n < STEP, n)
     here[short] = np.repeat(np.minimum.reduceat(hashes, first), n)[short]
     chosen = np.flatnonzero(hashes == here)
@@ -250,7 +259,8 @@ def cut_passages(text: str, removed: list[int], passages: list[tuple[int, int]])
             if end is not None and not (gone[end] and gone[at - 1]):
                 left.append("\n")
             stays = ~gone[at : at + len(line)]
-            left.append(line if stays.all() else "".join(c for c, s in zip(line, stays.tolist(), strict=True) if s))
+            edges = np.flatnonzero(np.diff(stays, prepend=False, append=False)).tolist()
+            left.append("".join(line[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             end = at + len(line)
         at += len(line) + 1
     kept = "".join(left)
@@ -280,6 +290,9 @@ def cut_paragraphs(text: str, removed: list[int]) -> tuple[str, list[dict[str, i
 def _cut_batch(texts: pa.Array, removed: pa.Array, passages: pa.Array, least: int):
     """Of each text what stays, and the places of what goes."""
     for text, lines, spans in zip(texts.to_pylist(), removed.to_pylist(), passages.to_pylist(), strict=True):
+        if not lines and not spans:
+            yield text, text or "", []
+            continue
         gone = settled_lines([(p["paragraph"], p["lines"], p["words"]) for p in lines or []], least)
         yield text, *cut_passages(text or "", gone, [(p["start"], p["stop"]) for p in spans or []])
 
@@ -306,13 +319,19 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = 0.8, min_words: int
     """`row, tie, removed`: the paragraphs that stand elsewhere earlier, as first line, lines and words, for
     each document that has any. With `blocks`, blocks and shorter lines are among them."""
     source = keyed(docs)
-    buckets = shared_buckets(source.mapInArrow(_bands(min_words, blocks), BAND_SCHEMA))
+    noted, path = written(source.mapInArrow(_places(min_words, blocks), PLACE_SCHEMA), "places")
+    banded = noted.where("size(bands) > 0")
+    buckets = shared_buckets(banded.select("unit", "bands"))
     candidates = buckets.select("unit").distinct()
-    sets = source.mapInArrow(_sets(min_words, blocks), SET_SCHEMA).join(candidates, "unit", "left_semi").dropDuplicates(["unit"])
+    # One document for each candidate gives its set.
+    picked = banded.groupBy("unit").agg(F.min(F.struct("row", "tie")).alias("one")).join(candidates, "unit", "left_semi")
+    chosen = source.join(picked.select("one.*").distinct(), ["row", "tie"], "left_semi").mapInArrow(_sets(min_words, blocks), SET_SCHEMA)
+    sets = chosen.join(candidates, "unit", "left_semi").dropDuplicates(["unit"])
     roots = group_units(buckets, stored(sets, "paragraph_sets"), threshold)
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", "paragraph", "lines")
-    places = source.mapInArrow(_places(min_words, blocks), PLACE_SCHEMA).join(roots, "unit", "left")
+    places = noted.drop("bands").join(roots, "unit", "left")
     places = stored(places.withColumn("root", F.coalesce("root", "unit")).drop("unit"), "paragraphs").withColumn("at", order)
+    remove_path(docs.sparkSession, path)
     # The first of each component, by aggregation; the others find it by their root.
     first = places.groupBy(F.struct("root").alias("key")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
     first = first.where("first < last").select("key.root", "first")
@@ -326,7 +345,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     A window goes if an equal one stands earlier, in the order of `remove_paragraphs`; windows that
     overlap the first of their kind go only as far as it does not reach.
     """
-    windows = stored(keyed(docs).mapInArrow(_windows, WINDOW_SCHEMA), "windows")
+    windows, path = written(keyed(docs).mapInArrow(_windows, WINDOW_SCHEMA), "windows")
     # Which windows repeat is found over short hashes; only those are sent with their places. Keys
     # are grouped as structs, so that a join shuffles both sides and splits a hot one.
     place = F.xxhash64("row", "tie", "at")
@@ -334,6 +353,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNotNull(), "doc_id", "tie", "row", F.col("at").alias("start"))
     found = windows.join(several.where("low < high").select("key.name"), "name", "left_semi")
     found = stored(found, "passages").withColumn("place", order).drop("doc_id")
+    remove_path(docs.sparkSession, path)
     first = found.groupBy(F.struct("name", "more").alias("key")).agg(F.min("place").alias("first"), F.max("place").alias("last"))
     first = first.where("first < last").select("key.*", "first")
     later = found.join(first, ["name", "more"]).where("place > first")

@@ -43,6 +43,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back: computed once, and safe from lost executors. What
     it was shuffled through is not needed any more and goes at once."""
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, and its path, for `remove_path` when nothing reads it any more."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -50,7 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:

@@ -327,6 +327,26 @@ def test_passages_of_a_very_long_text(spark):
     assert got == brute_passages(rows)
 
 
+def test_texts_are_cut_into_words_twice(spark, monkeypatch):
+    """Once for paragraphs and once for windows; sets are made of documents that hold a candidate only."""
+    rng = random.Random(31)
+    copied = words_of(rng, 60, 5000)
+    near_copy = {3: copied, 7: copied + "y"}
+    rows = [(i, "\n".join([words_of(rng, 50, 5000), near_copy.get(i) or words_of(rng, 45, 5000)])) for i in range(30)]
+    docs, read = frame(spark, rows), []
+    call = type(docs).mapInArrow
+
+    def spy(df, *more, **named):
+        if "text" in df.columns:
+            read.append(df.count())
+        return call(df, *more, **named)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", spy)
+    found = paragraph_dedup._repeated(docs, 0.8, paragraph_dedup.LEAST_WORDS).collect()
+    assert sorted(read)[-2:] == [30, 30] and sorted(read)[:-2] == [2]
+    assert [[tuple(p) for p in r.removed] for r in found] == [[(1, 1, 60)]]
+
+
 def test_settled_lines():
     settle = paragraph_dedup.settled_lines
     assert settle([(0, 1, 45)], 40) == [0] and settle([(0, 1, 12)], 40) == []
